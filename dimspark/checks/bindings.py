@@ -54,6 +54,7 @@ class Sources:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
         self._roles: dict[str, Callable[[], DataFrame]] = {
             "StateProvinces": self.state_provinces,
             "Countries": self.countries,
@@ -87,7 +88,9 @@ class Sources:
         return self._roles[role]()
 
     def _table(self, name: str) -> DataFrame:
-        return table(self._spark, self._sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = table(self._spark, self._sf_dir, name)
+        return self._tables[name]
 
     # Reference data
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimspark.checks.bindings import Sources, table
 from dimspark.functions.scalars import (
@@ -161,18 +162,17 @@ def pit_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.col("o_orderdate").alias("valid_from"),
-        safe_int(F.substring("o_orderpriority", 1, 1), src["CustomerCategories"].schema["customercategoryid"].dataType)
-        .alias("category_id"),
+        safe_int(F.substring("o_orderpriority", 1, 1), T.StringType()).alias("category_id"),
         F.expr("o_custkey div 10").alias("bill_to_id"),
     )
     categories = src["CustomerCategories"].select(
-        safe_int(F.col("customercategoryid"), src["CustomerCategories"].schema["customercategoryid"].dataType).alias("id"),
+        safe_int(F.col("customercategoryid"), T.StringType()).alias("id"),
         F.col("customercategoryname").alias("category"),
         safe_timestamp(F.col("validfrom")).alias("c_from"),
         safe_timestamp(F.col("validto")).alias("c_to"),
     )
     bill_to = src["Customers"].select(
-        safe_int(F.col("customerid"), src["Customers"].schema["customerid"].dataType).alias("id"),
+        safe_int(F.col("customerid"), T.StringType()).alias("id"),
         F.col("customername").alias("bill_to_customer"),
         safe_timestamp(F.col("validfrom")).alias("b_from"),
         safe_timestamp(F.col("validto")).alias("b_to"),
@@ -206,7 +206,7 @@ def _customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return version_dimension(_customer_versions(spark, sf_dir), "o_custkey", "version_key", ties=["o_orderkey"])
 
 
@@ -225,7 +225,7 @@ def dense_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Key lookups
 
 
-def _shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("customer_id"), "l_shipdate"
@@ -234,8 +234,8 @@ def _shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lookup(strategy: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        dim = store(_customer_dim(spark, sf_dir))
-        lines = _shipped_lines(spark, sf_dir)
+        dim = store(customer_dim(spark, sf_dir))
+        lines = shipped_lines(spark, sf_dir)
         return lookup_key(
             lines, dim, "customer_id", "o_custkey", "l_shipdate", "version_key", "customer_key", strategy
         )
@@ -257,7 +257,7 @@ def lookup_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("valid_from"),
         (F.col("o_orderdate") + F.make_dt_interval(F.pmod("o_orderkey", F.lit(700)).cast("int"))).alias("valid_to"),
     )
-    lines = _shipped_lines(spark, sf_dir)
+    lines = shipped_lines(spark, sf_dir)
     return lookup_key(lines, dim, "customer_id", "o_custkey", "l_shipdate", "version_key", "customer_key", "ranked")
 
 
@@ -373,9 +373,9 @@ def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orphan_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose customer version is no longer the current one."""
-    dim = store(_customer_dim(spark, sf_dir))
+    dim = store(customer_dim(spark, sf_dir))
     keyed = lookup_key(
-        _shipped_lines(spark, sf_dir), dim, "customer_id", "o_custkey", "l_shipdate", "version_key", "customer_key"
+        shipped_lines(spark, sf_dir), dim, "customer_id", "o_custkey", "l_shipdate", "version_key", "customer_key"
     )
     current = dim.where(F.col("valid_to") == ts_literal(END_OF_TIME))
     return orphan_keys(keyed, current, "customer_key", "version_key")
@@ -400,7 +400,7 @@ def with_lineage_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, {"dim_customer_versions": _customer_dim(spark, sf_dir)})
+    register_views(spark, {"dim_customer_versions": customer_dim(spark, sf_dir)})
     return spark.sql(
         "SELECT version_key, o_custkey, o_orderpriority, valid_from FROM dim_customer_versions "
         "WHERE o_orderpriority = '1-URGENT' ORDER BY valid_from DESC, version_key LIMIT 5"

@@ -46,9 +46,10 @@ def safe_timestamp(col: Column, source_type: T.DataType | None = None) -> Column
         return col
     if isinstance(source_type, (T.TimestampType, T.DateType)):
         return col.cast("timestamp_ntz")
-    text = F.substring(col.cast("string"), 1, 26)
-    # Spark also reads a bare year or a time of day; only a full date counts here.
-    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    # Spark also reads a bare year or a time of day; only text with a full date is kept.
+    # Extraction, unlike a condition, needs the text once.
+    text = F.regexp_extract(F.substring(col.cast("string"), 1, 26), r"^\s*\d{4}-\d{1,2}-\d{1,2}.*$", 0)
+    return text.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def safe_date(col: Column, source_type: T.DataType | None = None) -> Column:
@@ -57,7 +58,9 @@ def safe_date(col: Column, source_type: T.DataType | None = None) -> Column:
         return col
     if isinstance(source_type, (T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
-    return F.try_to_date(F.substring(col.cast("string"), 1, 10), "yyyy-MM-dd")
+    # A cast also takes a bare year or month, but does not raise and catch an
+    # exception for each bad value, as parsing with a pattern does.
+    return F.regexp_extract(F.substring(col.cast("string"), 1, 10), r"^\d{4}-\d{1,2}-\d{1,2}$", 0).try_cast("date")
 
 
 def strict_date(col: Column) -> Column:

@@ -44,6 +44,12 @@ class History:
         return self.longest <= LONGEST_JOINED
 
 
+def periods(df: DataFrame, key: str | Column, start: str, end: str) -> DataFrame:
+    """The columns that ``measure`` takes."""
+    key = F.col(key) if isinstance(key, str) else key
+    return df.select(key.alias("_id"), F.col(start).alias("_start"), F.col(end).alias("_end"))
+
+
 def measure(tables: Mapping[str, DataFrame]) -> dict[str, History]:
     """Measure (``_id``, ``_start``, ``_end``) tables in a single job.
 

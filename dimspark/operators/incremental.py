@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.functions.scalars import END_OF_TIME, START_OF_TIME, ts_literal
-from dimspark.operators.versions import dense_key
+from dimspark.operators.versions import version_dimension
 from dimspark.sources.tables import read_table, write_table
 
 
@@ -54,20 +54,21 @@ def incremental_scd2(
     ties: Sequence[str] | None = None,
     mode: Literal["append_only", "close_previous"] = "append_only",
 ) -> DataFrame:
-    """The new content of a versioned dimension after loading closed ``versions``.
+    """The new content of a versioned dimension after a load of all source ``versions``.
 
     Without a target all versions are loaded. Otherwise only those that start
     after every stored one are, with keys that continue from the greatest stored
-    key. None of them can match a stored (key, start), so the merge comes down to
-    an append. ``append_only`` leaves the formerly current version open, where it
-    overlaps its successor; ``close_previous`` ends it at the first new start.
+    key. A version that late is only ever followed by one as late, so the filter
+    comes first and periods are closed over the new versions alone. None of them
+    can match a stored (key, start), so the merge comes down to an append.
+    ``append_only`` leaves the formerly current version open, where it overlaps
+    its successor; ``close_previous`` ends it at the first new start.
     """
-    others = [c for c in versions.columns if c not in (key, start)] if ties is None else list(ties)
-    order = [key, start, *others]
     if target is None:
-        return dense_key(versions, order, key_name)
+        return version_dimension(versions, key, key_name, start, ties, end)
     last_key = watermark(target, key_name, F.lit(0).cast("bigint")).scalar()
-    added = dense_key(incremental_filter(versions, target, start), order, key_name, start=last_key)
+    new = incremental_filter(versions, target, start)
+    added = version_dimension(new, key, key_name, start, ties, end, above=last_key)
     stored = target
     if mode == "close_previous":
         successor = added.groupBy(F.col(key).alias("_id")).agg(F.min(start).alias("_successor"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from dimspark.functions.periods import covers_open_closed
 from dimspark.functions.scalars import UNKNOWN_KEY, safe_int
-from dimspark.operators.histories import History, covering_versions, joined_versions, latest_versions, measure
+from dimspark.operators.histories import History, covering_versions, joined_versions, latest_versions, measure, periods
 
 Strategy = Literal["auto", "broadcast", "union_window", "ranked"]
 
@@ -72,11 +72,7 @@ def lookup_key(
 def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """``fact`` with one key column per lookup. Each dimension is measured once."""
     tables = {
-        look.name: look.dim.select(
-            _bigint(look.dim, look.dim_id).alias("_id"),
-            F.col(look.start).alias("_start"),
-            F.col(look.end).alias("_end"),
-        )
+        look.name: periods(look.dim, _bigint(look.dim, look.dim_id), look.start, look.end)
         for look in lookups
         if look.strategy != "union_window"
     }

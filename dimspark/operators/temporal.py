@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimspark.functions.periods import covers_closed_open
-from dimspark.operators.histories import covering_versions, measure
+from dimspark.operators.histories import History, covering_versions, measure, periods
 
 
 def point_in_time_join(
@@ -20,7 +20,7 @@ def point_in_time_join(
     start: str = "valid_from",
     end: str = "valid_to",
     how: Literal["left", "inner"] = "left",
-    history: Literal["auto", "short", "long"] = "auto",
+    history: History | None = None,
 ) -> DataFrame:
     """Join ``left`` to the ``right`` versions whose ``[start, end)`` covers ``left[at]``.
 
@@ -31,17 +31,14 @@ def point_in_time_join(
     Short histories are joined on the id, and the planner broadcasts ``right`` if
     its size allows. With long ones that would compare each row with the whole
     history of its id, so the versions in force are found from a sorted order.
-    ``auto`` measures ``right`` first; a caller that knows may say so.
+    ``history`` is measured unless given; several can be measured in one job.
     """
     left_id, right_id = on
     payload = [c for c in right.columns if c not in (right_id, start, end)]
-    if history == "auto":
-        periods = right.select(
-            F.col(right_id).alias("_id"), F.col(start).alias("_start"), F.col(end).alias("_end")
-        )
-        history = "short" if measure({"right": periods})["right"].short else "long"
+    if history is None:
+        history = measure({"right": periods(right, right_id, start, end)})["right"]
 
-    if history == "short":
+    if history.short:
         versions = right.withColumnsRenamed({right_id: "_vid", start: "_start", end: "_end"})
         in_force = covers_closed_open(F.col(at), F.col("_start"), F.col("_end"))
         condition = (F.col(left_id) == F.col("_vid")) & in_force

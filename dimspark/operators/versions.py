@@ -21,19 +21,19 @@ def _rows_before() -> Column:
     return F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
 
 
-def _key(first: Column | int) -> Column:
-    start = first if isinstance(first, Column) else F.lit(first)
-    return (start + F.col("_before") + place_in_slice() + 1).cast("bigint")
+def _key(above: Column | int) -> Column:
+    """The row's place in the whole order, counted up from ``above``."""
+    return (above + F.col("_before") + place_in_slice() + 1).cast("bigint")
 
 
-def dense_key(df: DataFrame, order: Sequence[str], key_name: str, start: Column | int = 0) -> DataFrame:
-    """Add ``start + row_number() over (order by order)``, numbered slice by slice.
+def dense_key(df: DataFrame, order: Sequence[str], key_name: str, above: Column | int = 0) -> DataFrame:
+    """Add ``above + row_number() over (order by order)``, numbered slice by slice.
 
-    One range shuffle, no single-task sort. ``start`` may be a scalar subquery.
+    One range shuffle, no single-task sort. ``above`` may be a scalar subquery.
     """
     rows = order_rows(df, _named(order))
     slices = rows.groupBy(SLICE).agg(F.count("*").alias("_rows")).select(SLICE, _rows_before().alias("_before"))
-    return rows.join(F.broadcast(slices), SLICE).select(_key(start).alias(key_name), *df.columns)
+    return rows.join(F.broadcast(slices), SLICE).select(_key(above).alias(key_name), *df.columns)
 
 
 def with_next(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -90,9 +90,10 @@ def version_dimension(
     start: str = "valid_from",
     ties: Sequence[str] | None = None,
     end: str = "valid_to",
+    above: Column | int = 0,
 ) -> DataFrame:
     """``scd2_close`` and ``dense_key`` in one pass, as both need the same order."""
     open_rows = df.drop(end)
     others = _other_columns(open_rows, key, start)
     rows, _ = with_next(open_rows, key, start, others if ties is None else ties)
-    return rows.select(_key(0).alias(key_name), *open_rows.columns, _end().alias(end))
+    return rows.select(_key(above).alias(key_name), *open_rows.columns, _end().alias(end))

@@ -12,18 +12,14 @@ from pyspark.sql import functions as F
 
 from dimspark.functions.scalars import with_default
 from dimspark.operators.incremental import incremental_scd2
-from dimspark.operators.versions import scd2_close, version_dimension
+from dimspark.operators.versions import version_dimension
 
 
 def dim_city(versions: DataFrame, target: DataFrame | None = None, mode: str = "append_only") -> DataFrame:
     """City dimension from ``city_versions``; with a ``target``, its content after an incremental load."""
     population = with_default(F.col("latest_recorded_population"), 0)
     versions = versions.withColumn("latest_recorded_population", population)
-    if target is None:
-        return version_dimension(versions, "wwi_city_id", "city_key")
-    # Periods are closed over all versions, and only then cut to the new ones.
-    closed = scd2_close(versions, "wwi_city_id")
-    return incremental_scd2(target, closed, "wwi_city_id", "city_key", mode=mode)
+    return incremental_scd2(target, versions, "wwi_city_id", "city_key", mode=mode)
 
 
 def dim_customer(versions: DataFrame) -> DataFrame:

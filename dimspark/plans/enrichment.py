@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimspark.functions.scalars import with_default
+from dimspark.operators.histories import measure, periods
 from dimspark.operators.temporal import point_in_time_join
 from dimspark.operators.versions import scd2_close
 from dimspark.plans.staging import int_of, timestamp_of
@@ -25,8 +26,12 @@ def _names(df: DataFrame, key: str, name: str, alias: str) -> DataFrame:
     return df.select(int_of(df, key).alias("_lookup"), F.col(name).alias(alias), *_period(df))
 
 
-def _name_at(base: DataFrame, names: DataFrame, key: str) -> DataFrame:
-    return point_in_time_join(base, names, (key, "_lookup"), "valid_from", "_from", "_to", "left")
+def _as_of_start(base: DataFrame, lookups: dict[str, DataFrame], how: str) -> DataFrame:
+    """Join versioned lookup tables, by id column of ``base``, as of ``valid_from``."""
+    histories = measure({key: periods(df, "_lookup", "_from", "_to") for key, df in lookups.items()})
+    for key, df in lookups.items():
+        base = point_in_time_join(base, df, (key, "_lookup"), "valid_from", "_from", "_to", how, histories[key])
+    return base
 
 
 def _contact(base: DataFrame, people: DataFrame, key: str) -> DataFrame:
@@ -52,10 +57,7 @@ def city_versions(stg_city: DataFrame, state_provinces: DataFrame, countries: Da
         "subregion",
         *_period(countries),
     )
-    placed = point_in_time_join(
-        stg_city, states, ("state_province_id", "_lookup"), "valid_from", "_from", "_to", "inner"
-    )
-    placed = point_in_time_join(placed, nations, ("_country", "_lookup"), "valid_from", "_from", "_to", "inner")
+    placed = _as_of_start(stg_city, {"state_province_id": states, "_country": nations}, "inner")
     return placed.select(
         "wwi_city_id",
         "city",
@@ -83,11 +85,12 @@ def customer_versions(
     customers: DataFrame,
 ) -> DataFrame:
     """Customer versions with category, buying group, contact and bill-to name."""
-    named = _name_at(
-        stg_customer, _names(categories, "customercategoryid", "customercategoryname", "_category"), "customer_category_id"
-    )
-    named = _name_at(named, _names(buying_groups, "buyinggroupid", "buyinggroupname", "_group"), "buying_group_id")
-    named = _name_at(named, _names(customers, "customerid", "customername", "_bill_to"), "bill_to_customer_id")
+    lookups = {
+        "customer_category_id": _names(categories, "customercategoryid", "customercategoryname", "_category"),
+        "buying_group_id": _names(buying_groups, "buyinggroupid", "buyinggroupname", "_group"),
+        "bill_to_customer_id": _names(customers, "customerid", "customername", "_bill_to"),
+    }
+    named = _as_of_start(stg_customer, lookups, "left")
     return _contact(named, people, "primary_contact_personid").select(
         "wwi_customer_id",
         "customer",
@@ -112,9 +115,10 @@ def enrich_customer(
 
 def supplier_versions(stg_supplier: DataFrame, categories: DataFrame, people: DataFrame) -> DataFrame:
     """Supplier versions with category and contact."""
-    named = _name_at(
-        stg_supplier, _names(categories, "suppliercategoryid", "suppliercategoryname", "_category"), "suppliercategoryid"
-    )
+    lookups = {
+        "suppliercategoryid": _names(categories, "suppliercategoryid", "suppliercategoryname", "_category")
+    }
+    named = _as_of_start(stg_supplier, lookups, "left")
     return _contact(named, people, "primarycontactpersonid").select(
         "wwi_supplier_id",
         "supplier",

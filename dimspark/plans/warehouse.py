@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from dimspark.plans import dimensions, enrichment, facts, staging
 from dimspark.sources.shared import store
@@ -22,12 +22,13 @@ def write_all(plans: Mapping[str, Callable[[], DataFrame]], write: Writer) -> di
 
     One small dimension cannot keep a cluster busy; several can.
     """
+    in_session = inheritable_thread_target(SparkSession.getActiveSession())
+
+    def build(name: str) -> DataFrame:
+        return in_session(lambda: write(name, plans[name]()))()
+
     with ThreadPoolExecutor(CONCURRENT_BUILDS) as pool:
-        running = {
-            name: pool.submit(inheritable_thread_target(lambda name=name, plan=plan: write(name, plan())))
-            for name, plan in plans.items()
-        }
-        return {name: done.result() for name, done in running.items()}
+        return dict(zip(plans, pool.map(build, plans), strict=True))
 
 
 def store_all(plans: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
