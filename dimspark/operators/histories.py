@@ -128,32 +128,47 @@ def _covers(covers: Covers, version: str) -> Column:
 
 def joined_versions(moments: DataFrame, versions: DataFrame, covers: Covers) -> DataFrame:
     """Every (moment, covering version) by a plain join on the id; for short histories."""
-    return (
-        moments.join(versions.withColumnRenamed("_id", "_vid"), (F.col("_id") == F.col("_vid")) & _covers(covers, "_version"))
-        .select("_id", "_at", "_version")
+    same_id = F.col("_id") == F.col("_vid")
+    return moments.join(versions.withColumnRenamed("_id", "_vid"), same_id & _covers(covers, "_version")).select(
+        "_id", "_at", "_version"
     )
 
 
-def covering_versions(moments: DataFrame, versions: DataFrame, covers: Covers, inclusive: bool) -> DataFrame:
-    """Every (moment, covering version) for long histories.
+def _outliving(versions: DataFrame) -> DataFrame:
+    """Versions that end after their successor starts; a chained history has none."""
+    flat = versions.where("_id IS NOT NULL AND _version.start IS NOT NULL").select(
+        "_id", F.col("_version.start").alias("_start"), "_version"
+    )
+    outlives = F.col("_version.end").isNull() | (F.col("_version.end") > F.col("_next.start"))
+    return with_next(flat, "_id", "_start", ["_version"]).where(F.col("_next").isNotNull() & outlives).select(
+        F.col("_id").alias("_oid"), F.col("_version").alias("_older")
+    )
+
 
-    A version that covers a moment is either the last one to start before it or
-    outlives its successor. Only the latter, which chained histories do not have
-    at all, are joined on the id.
+def _older_versions(latest: DataFrame, versions: DataFrame, covers: Covers) -> DataFrame:
+    """Covering versions that are older than the latest one of their moment.
+
+    To cover a moment in spite of a later start elsewhere, a version must outlive
+    its successor, so only such versions are joined on the id.
     """
+    same_id = F.col("_id") == F.col("_oid")
+    condition = same_id & (F.col("_older") < F.col("_version")) & _covers(covers, "_older")
+    return latest.join(_outliving(versions), condition).select("_id", "_at", F.col("_older").alias("_version"))
+
+
+def covering_versions(moments: DataFrame, versions: DataFrame, covers: Covers, inclusive: bool) -> DataFrame:
+    """Every (moment, covering version) for long histories."""
     latest = latest_versions(moments, versions, inclusive)
-    newest = latest.where(_covers(covers, "_version"))
+    older = _older_versions(latest, versions, covers)
+    return latest.where(_covers(covers, "_version")).unionByName(older)
 
-    flat = versions.where("_id IS NOT NULL AND _version.start IS NOT NULL").select(
-        "_id", F.col("_version.start").alias("_start"), "_version"
-    )
-    followed, _ = with_next(flat, "_id", "_start", ["_version"])
-    outliving = followed.where(
-        F.col("_next").isNotNull()
-        & (F.col("_version.end").isNull() | (F.col("_version.end") > F.col("_next.start")))
-    ).select(F.col("_id").alias("_oid"), F.col("_version").alias("_older"))
-    older = latest.join(
-        outliving,
-        (F.col("_id") == F.col("_oid")) & (F.col("_older") < F.col("_version")) & _covers(covers, "_older"),
-    ).select("_id", "_at", F.col("_older").alias("_version"))
-    return newest.unionByName(older)
+
+def newest_covering_version(moments: DataFrame, versions: DataFrame, covers: Covers, inclusive: bool) -> DataFrame:
+    """The covering version with the latest start of each moment that has one; for long histories.
+
+    Older versions are searched only for moments whose latest version has ended.
+    """
+    latest = latest_versions(moments, versions, inclusive)
+    older = _older_versions(latest.where(~_covers(covers, "_version")), versions, covers)
+    newest_older = older.groupBy("_id", "_at").agg(F.max("_version").alias("_version"))
+    return latest.where(_covers(covers, "_version")).unionByName(newest_older)

@@ -8,14 +8,17 @@ Ways to find it, all with the same result where they apply:
 
 ``broadcast``     one join on the id with the period as a further condition; the
                   dimension is broadcast while its measured size allows and
-                  shuffled beyond that. For chained histories, which match at
-                  most once. Adaptive execution splits busy ids.
+                  shuffled beyond that, when adaptive execution splits busy ids.
+                  For short chained histories, which match at most once.
 ``union_window``  facts' distinct (id, time) pairs and versions are put into one
                   sorted order. For long histories, and for append-only loads,
                   whose open rows overlap.
-``ranked``        all covering versions of the distinct (id, time) pairs, of
-                  which the newest is kept. For any periods.
+``ranked``        the newest of all covering versions of the distinct (id, time)
+                  pairs. For any periods.
 ``auto``          measures the dimension and takes the first that is right.
+
+``broadcast`` is taken only if the measurement allows it, and is ``auto``
+otherwise. The other two may be asked for by a caller that knows the dimension.
 """
 
 from __future__ import annotations
@@ -29,7 +32,14 @@ from pyspark.sql import functions as F
 
 from dimspark.functions.periods import covers_open_closed
 from dimspark.functions.scalars import UNKNOWN_KEY, safe_int
-from dimspark.operators.histories import History, covering_versions, joined_versions, latest_versions, measure, periods
+from dimspark.operators.histories import (
+    History,
+    joined_versions,
+    latest_versions,
+    measure,
+    newest_covering_version,
+    periods,
+)
 
 Strategy = Literal["auto", "broadcast", "union_window", "ranked"]
 
@@ -95,7 +105,7 @@ def choose(history: History) -> Strategy:
 
 def _add_key(keyed: DataFrame, fact: DataFrame, look: Lookup, history: History | None) -> DataFrame:
     """Add a key to ``keyed``; moments come from ``fact``, which has none of the earlier lookups in its plan."""
-    strategy = choose(history) if look.strategy == "auto" else look.strategy
+    strategy = choose(history) if look.strategy in ("auto", "broadcast") else look.strategy
     columns = keyed.columns
     fact_id, at = _bigint(fact, look.fact_id), F.col(look.at)
     versions = look.dim.select(
@@ -137,7 +147,7 @@ def _resolve(moments: DataFrame, versions: DataFrame, strategy: Strategy, histor
         )
     if history.short:
         matches = joined_versions(moments, versions, covers_open_closed)
+        newest = matches.groupBy("_id", "_at").agg(F.max("_version").alias("_version"))
     else:
-        matches = covering_versions(moments, versions, covers_open_closed, inclusive=False)
-    newest = F.max_by("_version.key", "_version")
-    return matches.groupBy("_id", "_at").agg(newest.alias("_key"))
+        newest = newest_covering_version(moments, versions, covers_open_closed, inclusive=False)
+    return newest.select("_id", "_at", F.col("_version.key").alias("_key"))

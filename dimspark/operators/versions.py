@@ -36,11 +36,12 @@ def dense_key(df: DataFrame, order: Sequence[str], key_name: str, above: Column
     return rows.join(F.broadcast(slices), SLICE).select(_key(above).alias(key_name), *df.columns)
 
 
-def with_next(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def with_next(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> DataFrame:
     """Ordered rows with ``_next``, a struct holding the start of the key's next version.
 
     ``_next`` is NULL for the last version of a key; a struct tells that apart
-    from a next version whose start is NULL. Also returns the slice table.
+    from a next version whose start is NULL. ``_before`` counts the rows of
+    earlier slices.
     """
     rows = order_rows(df, _named([key, start, *ties]))
     head = F.min_by(F.struct(F.col(key).alias("key"), F.col(start).alias("start")), POSITION)
@@ -54,10 +55,9 @@ def with_next(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> tuple
         F.col("_following.key").eqNullSafe(F.col(key)) & F.col("_following").isNotNull(),
         F.struct(F.col("_following.start").alias("start")),
     )
-    joined = rows.join(F.broadcast(slices), SLICE).withColumn(
+    return rows.join(F.broadcast(slices), SLICE).withColumn(
         "_next", F.coalesce(F.lead(F.struct(F.col(start).alias("start"))).over(in_slice), following)
     )
-    return joined, slices
 
 
 def _end() -> Column:
@@ -79,7 +79,7 @@ def scd2_close(
     """
     open_rows = df.drop(end)
     others = _other_columns(open_rows, key, start)
-    rows, _ = with_next(open_rows, key, start, others if ties is None else ties)
+    rows = with_next(open_rows, key, start, others if ties is None else ties)
     return rows.select(*open_rows.columns, _end().alias(end))
 
 
@@ -95,5 +95,5 @@ def version_dimension(
     """``scd2_close`` and ``dense_key`` in one pass, as both need the same order."""
     open_rows = df.drop(end)
     others = _other_columns(open_rows, key, start)
-    rows, _ = with_next(open_rows, key, start, others if ties is None else ties)
+    rows = with_next(open_rows, key, start, others if ties is None else ties)
     return rows.select(_key(above).alias(key_name), *open_rows.columns, _end().alias(end))
