@@ -1,0 +1,49 @@
+"""What the plans must and must not contain."""
+
+import os
+
+import pytest
+
+from dimspark.checks import queries
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "name", ["q_fct_order", "q_fct_transaction", "q_stage_sale", "q_dim_customer", "q_lookup_ranked", "q_pit_left"]
+)
+def test_no_products_and_no_python(spark, name):
+    text = plan(queries.QUERIES[name](spark, SF_DIR))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapInPandas"):
+        assert operator not in text
+
+
+def test_only_the_slice_table_is_ordered_in_one_task(spark):
+    text = plan(queries.dense_key_query(spark, SF_DIR))
+    # One row per slice is all that meets in a single partition; the versions never do.
+    lines = text.splitlines()
+    single = [n for n, line in enumerate(lines) if "SinglePartition" in line]
+    assert len(single) == 1
+    assert "HashAggregate" in lines[single[0] + 1] and "_slice" in lines[single[0] + 1]
+
+
+def test_fact_lookups_add_no_shuffle(spark):
+    text = plan(queries.fct_order(spark, SF_DIR))
+    assert text.count("hashpartitioning") <= 2  # the order header and its lines
+    assert text.count("BroadcastHashJoin") >= 5
+
+
+def test_scans_read_only_what_is_needed(spark):
+    text = plan(queries.QUERIES["q_not_null"](spark, SF_DIR).select("wwi_order_id"))
+    lines = [line for line in text.splitlines() if "lineitem.parquet" in line]
+    assert len(lines) == 1 and "l_extendedprice" not in lines[0].split("ReadSchema")[1]
+
+
+def test_filters_reach_the_scan(spark):
+    text = plan(queries.cutoff_window_query(spark, SF_DIR))
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate" in text
