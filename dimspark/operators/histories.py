@@ -22,7 +22,7 @@ BROADCAST_ROWS = 1_000_000
 
 # A hash or merge join on the id compares a moment with every version of that
 # id. Up to this length that is cheaper than sorting moments and versions.
-LONGEST_JOINED = 100
+LONGEST_JOINED = 256
 
 Covers = Callable[[Column, Column, Column], Column]
 

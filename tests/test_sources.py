@@ -18,7 +18,7 @@ from dimspark.sources import (
 )
 
 
-def test_schemas_are_valid():
+def test_schemas_are_valid(spark):
     assert len(SOURCE_SCHEMAS) == 23
     assert all(source_schema(name).fields for name in SOURCE_SCHEMAS)
 
