@@ -278,8 +278,7 @@ def _keyed(staged: str, columns: str, lookups: list[tuple[str, str, str, str, st
         f"facts AS (SELECT *, row_number() OVER () AS row_id FROM {staged}), {', '.join(matches)} "
         f"SELECT {', '.join([*keys, columns])} FROM facts {' '.join(joins)}"
     )
-    prefix = _with(text)
-    return prefix.replace("\nfacts AS", ",\nfacts AS", 1)
+    return _with(text).replace("\nfacts AS", ",\nfacts AS", 1)
 
 
 def _roles(**roles: str) -> list[tuple[str, str, str, str, str]]:
@@ -299,6 +298,8 @@ def _dim_city_incremental() -> str:
     return _with(text).replace("\nfirst_versions AS", ",\nfirst_versions AS", 1)
 
 
+_MODELS["city_loads"] = _dim_city_incremental()
+
 _LOOKUP = _keyed(
     "shipped_lines",
     "l_orderkey, l_linenumber, l_partkey, customer_id, l_shipdate",
@@ -356,8 +357,9 @@ ORACLES: dict[str, str] = {
     },
     "q_dim_employee": _with("SELECT * FROM dim_user"),
     "q_dim_city_incremental": _dim_city_incremental(),
-    "q_dim_date": """SELECT d AS date_key, year(d) AS year, quarter(d) AS quarter, month(d) AS month, day(d) AS day,
-        isodow(d) AS day_of_week, weekofyear(d) AS week_of_year, monthname(d) AS month_name, isodow(d) > 5 AS is_weekend,
+    "q_dim_date": """SELECT d AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
+        CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week,
+        CAST(weekofyear(d) AS INTEGER) AS week_of_year, monthname(d) AS month_name, isodow(d) > 5 AS is_weekend,
         COALESCE(n, 0) AS orders FROM (SELECT CAST(unnest(generate_series(
             date_trunc('year', min(o_orderdate)), date_trunc('year', max(o_orderdate)) + INTERVAL 1 YEAR - INTERVAL 1 DAY,
             INTERVAL 1 DAY)) AS DATE) AS d FROM orders)
@@ -377,6 +379,12 @@ ORACLES: dict[str, str] = {
         [("customer_key", "customer_id", "overlapping_versions", "o_custkey", "version_key")],
         "l_shipdate",
     ).replace("d.valid_to DESC", "d.valid_to DESC, d.version_key DESC"),
+    "q_lookup_append_only": _keyed(
+        "shipped_lines",
+        "l_orderkey, l_linenumber, l_partkey, customer_id, l_shipdate",
+        [("city_key", "customer_id", "city_loads", "wwi_city_id", "city_key")],
+        "l_shipdate",
+    ),
     "q_fct_order": _keyed(
         "stg_order",
         "order_date_key, picked_date_key, wwi_order_id, wwi_backorder_id, description, package, quantity, "

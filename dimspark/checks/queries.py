@@ -261,6 +261,13 @@ def lookup_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_key(lines, dim, "customer_id", "o_custkey", "l_shipdate", "version_key", "customer_key", "ranked")
 
 
+def lookup_append_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into a dimension that was loaded twice, so that old and new versions are open at once."""
+    dim = store(dim_city_incremental(spark, sf_dir))
+    lines = shipped_lines(spark, sf_dir)
+    return lookup_key(lines, dim, "customer_id", "wwi_city_id", "l_shipdate", "city_key", "city_key")
+
+
 # Dimensions
 
 
@@ -449,6 +456,7 @@ QUERIES: dict[str, Query] = {
     "q_lookup_ranked": _lookup("ranked"),
     "q_lookup_long_history": lookup_long_history,
     "q_lookup_overlapping": lookup_overlapping,
+    "q_lookup_append_only": lookup_append_only,
     "q_fct_order": fct_order,
     "q_fct_sale": _fact("sale", "city", "customer", "stock_item", "employee"),
     "q_fct_transaction": _fact("transaction", "customer", "supplier", "transaction_type", "payment_method"),

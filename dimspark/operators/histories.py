@@ -79,6 +79,8 @@ def measure(tables: Mapping[str, DataFrame]) -> dict[str, History]:
             F.coalesce(F.min(~F.col("reversed") & F.col("starts").eqNullSafe(F.col("ends"))), F.lit(True)).alias("chained"),
         )
 
+    if not tables:
+        return {}
     summaries = reduce(DataFrame.unionByName, [summary(n, df) for n, df in tables.items()])
     return {r["name"]: History(r["rows"], r["longest"], r["chained"]) for r in summaries.collect()}
 
@@ -134,13 +136,33 @@ def joined_versions(moments: DataFrame, versions: DataFrame, covers: Covers) ->
     )
 
 
-def _outliving(versions: DataFrame) -> DataFrame:
-    """Versions that end after their successor starts; a chained history has none."""
+def _with_successor(versions: DataFrame) -> DataFrame:
+    """Versions with ``_next``, the start of the next version of the same id."""
     flat = versions.where("_id IS NOT NULL AND _version.start IS NOT NULL").select(
         "_id", F.col("_version.start").alias("_start"), "_version"
     )
+    return with_next(flat, "_id", "_start", ["_version"])
+
+
+def cut_at_successor(versions: DataFrame) -> DataFrame:
+    """Versions that end no later than the next one starts.
+
+    ``_outlives`` and ``_ends_early`` tell whether a version ended after or before
+    that. Ends must not be NULL.
+    """
+    end, successor = F.col("_version.end"), F.col("_next.start")
+    return _with_successor(versions).select(
+        "_id",
+        F.col("_version").withField("end", F.least(end, successor)).alias("_version"),
+        F.coalesce(end > successor, F.lit(False)).alias("_outlives"),
+        F.coalesce(end < successor, F.lit(False)).alias("_ends_early"),
+    )
+
+
+def _outliving(versions: DataFrame) -> DataFrame:
+    """Versions that end after their successor starts; a chained history has none."""
     outlives = F.col("_version.end").isNull() | (F.col("_version.end") > F.col("_next.start"))
-    return with_next(flat, "_id", "_start", ["_version"]).where(F.col("_next").isNotNull() & outlives).select(
+    return _with_successor(versions).where(F.col("_next").isNotNull() & outlives).select(
         F.col("_id").alias("_oid"), F.col("_version").alias("_older")
     )
 

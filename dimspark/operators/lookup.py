@@ -9,13 +9,15 @@ Ways to find it, all with the same result where they apply:
 ``broadcast``     one join on the id with the period as a further condition; the
                   dimension is broadcast while its measured size allows and
                   shuffled beyond that, when adaptive execution splits busy ids.
-                  For short chained histories, which match at most once.
+                  For short histories without overlaps, which match at most once.
 ``union_window``  facts' distinct (id, time) pairs and versions are put into one
                   sorted order. For long histories, and for append-only loads,
                   whose open rows overlap.
 ``ranked``        the newest of all covering versions of the distinct (id, time)
                   pairs. For any periods.
 ``auto``          measures the dimension and takes the first that is right.
+                  Overlaps that the newest version simply overrides, as after
+                  append-only loads, are cut out of the dimension beforehand.
 
 ``broadcast`` is taken only if the measurement allows it, and is ``auto``
 otherwise. The other two may be asked for by a caller that knows the dimension.
@@ -34,12 +36,14 @@ from dimspark.functions.periods import covers_open_closed
 from dimspark.functions.scalars import UNKNOWN_KEY, safe_int
 from dimspark.operators.histories import (
     History,
+    cut_at_successor,
     joined_versions,
     latest_versions,
     measure,
     newest_covering_version,
     periods,
 )
+from dimspark.sources.shared import store
 
 Strategy = Literal["auto", "broadcast", "union_window", "ranked"]
 
@@ -81,15 +85,20 @@ def lookup_key(
 
 def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """``fact`` with one key column per lookup. Each dimension is measured once."""
-    tables = {
-        look.name: periods(look.dim, _bigint(look.dim, look.dim_id), look.start, look.end)
-        for look in lookups
-        if look.strategy != "union_window"
-    }
-    histories = measure(tables) if tables else {}
+    histories = measure(
+        {
+            look.name: periods(look.dim, _bigint(look.dim, look.dim_id), look.start, look.end)
+            for look in lookups
+            if look.strategy != "union_window"
+        }
+    )
+    chosen = {}
+    for look in lookups:
+        if look.name not in chosen:
+            chosen[look.name] = _choose(look, histories.get(look.name))
     keyed = fact
     for look in lookups:
-        keyed = _add_key(keyed, fact, look, histories.get(look.name))
+        keyed = _add_key(keyed, fact, look, histories.get(look.name), *chosen[look.name])
     return keyed
 
 
@@ -97,23 +106,37 @@ def _bigint(df: DataFrame, column: str) -> Column:
     return safe_int(F.col(column), df.schema[column].dataType)
 
 
-def choose(history: History) -> Strategy:
-    if not history.chained:
-        return "ranked"
-    return "broadcast" if history.short else "union_window"
-
-
-def _add_key(keyed: DataFrame, fact: DataFrame, look: Lookup, history: History | None) -> DataFrame:
+def _versions(look: Lookup) -> DataFrame:
+    """The dimension as (``_id``, ``_version``), without periods that cover nothing."""
+    version = F.struct(F.col(look.start).alias("start"), F.col(look.end).alias("end"), F.col(look.key).alias("key"))
+    covers_something = F.col("_id").isNotNull() & (F.col("_version.start") < F.col("_version.end"))
+    return look.dim.select(_bigint(look.dim, look.dim_id).alias("_id"), version.alias("_version")).where(covers_something)
+
+
+def _choose(look: Lookup, history: History | None) -> tuple[DataFrame, Strategy]:
+    """The versions to look up, and how."""
+    versions = _versions(look)
+    if look.strategy in ("union_window", "ranked"):
+        return versions, look.strategy
+    joined: Strategy = "broadcast" if history.short else "union_window"
+    if history.chained:
+        return versions, joined
+    # Ending each version where its successor starts leaves the newest in force
+    # everywhere, as after an append-only load. It changes a result only where a
+    # version has ended early and an older one still runs.
+    cut = store(cut_at_successor(versions))
+    per_id = cut.groupBy("_id").agg(F.max("_ends_early").alias("gap"), F.max("_outlives").alias("overlap"))
+    if per_id.where("gap AND overlap").isEmpty():
+        return cut.select("_id", "_version"), joined
+    return versions, "ranked"
+
+
+def _add_key(
+    keyed: DataFrame, fact: DataFrame, look: Lookup, history: History | None, versions: DataFrame, strategy: Strategy
+) -> DataFrame:
     """Add a key to ``keyed``; moments come from ``fact``, which has none of the earlier lookups in its plan."""
-    strategy = choose(history) if look.strategy in ("auto", "broadcast") else look.strategy
     columns = keyed.columns
     fact_id, at = _bigint(fact, look.fact_id), F.col(look.at)
-    versions = look.dim.select(
-        _bigint(look.dim, look.dim_id).alias("_id"),
-        F.struct(
-            F.col(look.start).alias("start"), F.col(look.end).alias("end"), F.col(look.key).alias("key")
-        ).alias("_version"),
-    )
     # A missing id matches nothing, yet all such rows would meet in one shuffle
     # partition. The first join key scatters them; the second keeps the match exact.
     scattered = F.coalesce(fact_id, F.xxhash64(*columns))

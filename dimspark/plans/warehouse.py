@@ -36,11 +36,18 @@ def store_all(plans: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFra
     return write_all(plans, lambda _, df: store(df))
 
 
-def dimension_plans(src: Mapping[str, DataFrame]) -> dict[str, Callable[[], DataFrame]]:
-    """The seven dimensions by entity name, from source tables by source name."""
+def dimension_plans(
+    src: Mapping[str, DataFrame], stored_city: DataFrame | None = None
+) -> dict[str, Callable[[], DataFrame]]:
+    """The seven dimensions by entity name, from source tables by source name.
+
+    ``stored_city`` is the city dimension of the last run; it is loaded
+    incrementally, the others are rebuilt.
+    """
     return {
         "city": lambda: dimensions.dim_city(
-            enrichment.city_versions(staging.stage_city(src["Cities"]), src["StateProvinces"], src["Countries"])
+            enrichment.city_versions(staging.stage_city(src["Cities"]), src["StateProvinces"], src["Countries"]),
+            stored_city,
         ),
         "customer": lambda: dimensions.dim_customer(
             enrichment.customer_versions(
@@ -96,10 +103,13 @@ def fact_plans(
 
 
 def build_warehouse(
-    src: Mapping[str, DataFrame], write: Writer, as_of: Column | None = None
+    src: Mapping[str, DataFrame], write: Writer, as_of: Column | None = None, stored_city: DataFrame | None = None
 ) -> dict[str, DataFrame]:
-    """Build and write all dimensions, then all facts; returns ``dim_*`` and ``fct_*`` tables."""
-    dims = write_all(dimension_plans(src), lambda name, df: write(f"dim_{name}", df))
+    """Build and write all dimensions, then all facts; returns ``dim_*`` and ``fct_*`` tables.
+
+    ``write`` must not replace the table that ``stored_city`` reads.
+    """
+    dims = write_all(dimension_plans(src, stored_city), lambda name, df: write(f"dim_{name}", df))
     facts_written = write_all(fact_plans(src, dims, as_of), lambda name, df: write(f"fct_{name}", df))
     tables = {f"dim_{name}": df for name, df in dims.items()}
     return tables | {f"fct_{name}": df for name, df in facts_written.items()}

@@ -135,10 +135,29 @@ def test_measure(spark, ts):
     assert (empty.rows, empty.longest, empty.chained) == (0, 0, True)
 
 
-def test_choice(spark):
-    assert lookup.choose(histories.History(10, 3, True)) == "broadcast"
-    assert lookup.choose(histories.History(10, 1000, True)) == "union_window"
-    assert lookup.choose(histories.History(10, 3, False)) == "ranked"
+def test_choice(spark, ts):
+    def chosen(*data):
+        dim = spark.createDataFrame(data, DIM)
+        history = measure({"x": periods(dim, "id", "valid_from", "valid_to")})["x"]
+        versions, strategy = lookup._choose(Lookup(dim, "id", "id", "key", "found"), history)
+        return strategy, sorted(r["_version"]["end"] for r in versions.collect())
+
+    # Chained; gaps only; overlaps that the newest overrides; an older version that reaches into a gap.
+    assert chosen((1, 1, ts(0), ts(5)), (1, 2, ts(5), ts(9))) == ("broadcast", [ts(5), ts(9)])
+    assert chosen((1, 1, ts(0), ts(4)), (1, 2, ts(5), ts(9))) == ("broadcast", [ts(4), ts(9)])
+    assert chosen((1, 1, ts(0), ts(9)), (1, 2, ts(5), ts(9)), (2, 1, ts(0), ts(4)), (2, 2, ts(5), ts(6))) == (
+        "broadcast",
+        [ts(4), ts(5), ts(6), ts(9)],
+    )
+    assert chosen((1, 1, ts(0), ts(9)), (1, 2, ts(1), ts(2)), (1, 3, ts(4), ts(5))) == ("ranked", [ts(2), ts(5), ts(9)])
+
+
+@pytest.mark.parametrize("strategy", ["auto", "ranked"])
+def test_periods_with_gaps_and_without_end(spark, ts, size, strategy):
+    dim = [(1, 1, ts(0), ts(4)), (1, 2, ts(6), ts(8)), (1, 3, ts(7), None), (1, 4, None, ts(9)), (1, 5, ts(7), ts(3))]
+    fact = [(n, 1, ts(n)) for n in range(12)]
+    found = look_up(spark.createDataFrame(fact, FACT), spark.createDataFrame(dim, DIM), strategy)
+    assert found == brute_force(fact, dim)
 
 
 def test_rows_without_id_are_scattered(spark, ts, monkeypatch):
