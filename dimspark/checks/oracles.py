@@ -36,7 +36,9 @@ def _close(source: str, key: str, columns: list[str], ties: list[str] | None = N
 
 
 def _number(closed: str, key: str, key_name: str, columns: list[str], ties: list[str] | None = None) -> str:
-    order = _first([key, "valid_from", *(columns if ties is None else ties)])
+    # Of versions that are equal in every column, the one with the empty period comes
+    # first; without the end in the order their numbers would be left to chance.
+    order = _first([key, "valid_from", *(columns if ties is None else ties), "valid_to"])
     return (
         f"SELECT CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS {key_name}, "
         f"{', '.join([key, *columns, 'valid_from', 'valid_to'])} FROM {closed}"
@@ -288,7 +290,7 @@ def _roles(**roles: str) -> list[tuple[str, str, str, str, str]]:
 def _dim_city_incremental() -> str:
     loaded = _MODELS["city_versions"]
     columns = ", ".join(["wwi_city_id", *_CITY, "valid_from", "valid_to"])
-    order = _first(["wwi_city_id", "valid_from", *_CITY])
+    order = _first(["wwi_city_id", "valid_from", *_CITY, "valid_to"])
     text = f"""first_versions AS ({loaded} WHERE valid_from <= TIMESTAMP '1998-01-01'),
     first_closed AS ({_close("first_versions", "wwi_city_id", _CITY)}),
     target AS ({_number("first_closed", "wwi_city_id", "city_key", _CITY)})
