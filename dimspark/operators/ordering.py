@@ -4,16 +4,21 @@
 ``Window.partitionBy(id)`` puts all rows of a busy id there. Both are avoided by
 sorting across range partitions ("slices"): sampled bounds over *all* order
 columns split a busy id by time, ties and origin, so no slice depends on how
-many rows one id has. What crosses a slice border is then carried by a table
-with one row per slice, small enough to broadcast whatever the data.
+many rows one id has. What a row needs from its neighbours is found while the
+sorted rows are written, without a further shuffle; what crosses a slice border is
+then carried by a table with one row per slice, small enough to broadcast
+whatever the data.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimspark.sources.shared import store
 
@@ -24,15 +29,20 @@ _PLACE_BITS = 33
 SLICE = "_slice"
 POSITION = "_position"
 
+Batches = Iterator[pa.RecordBatch]
+# What is added to the rows of a slice, and how.
+Scan = tuple[Sequence[T.StructField], Callable[[Batches], Batches]]
 
-def order_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+
+def order_rows(df: DataFrame, order: Sequence[Column], scan: Scan | None = None) -> DataFrame:
     """``df`` sorted by ``order`` (NULLs first), with ``_slice`` and ``_position``.
 
     ``_position`` grows along the total order. The result is a written table:
     range bounds are sampled, so a second evaluation could cut differently, and
     all readers must see the same slices. The last order column is the number of
     the input partition: it spreads exact copies, and unlike a random number it
-    is the same when a lost task runs again.
+    is the same when a lost task runs again. ``scan`` adds columns to the sorted
+    rows of each slice on their way.
     """
     keys = [F.asc_nulls_first(c) for c in (*order, F.col("_origin"))]
     placed = (
@@ -42,6 +52,9 @@ def order_rows(df: DataFrame, order: Sequence[Column]) -> DataFrame:
         .drop("_origin")
         .withColumn(POSITION, F.monotonically_increasing_id())
     )
+    if scan is not None:
+        fields, run = scan
+        placed = placed.mapInArrow(run, T.StructType([*placed.schema.fields, *fields]))
     return store(placed).withColumn(SLICE, F.shiftright(POSITION, _PLACE_BITS))
 
 
@@ -57,3 +70,64 @@ def across_slices() -> Window:
     as the range shuffle had partitions.
     """
     return Window.orderBy(SLICE)
+
+
+def _same(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Equal, or both NULL."""
+    both_null = pc.and_(pc.is_null(a), pc.is_null(b))
+    return pc.or_(both_null, pc.fill_null(pc.equal(a, b), False))
+
+
+def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
+
+
+def next_of_key(key: str, start: T.StructField) -> Scan:
+    """Adds ``_next``: a struct with the ``start`` of the next row if that has the same ``key``, else NULL."""
+
+    def run(batches: Batches) -> Batches:
+        def marked(batch: pa.RecordBatch, following: pa.RecordBatch | None) -> pa.RecordBatch:
+            def shifted(name: str) -> pa.Array:
+                own = batch.column(name)
+                last = pa.nulls(1, own.type) if following is None else following.column(name).slice(0, 1)
+                return pa.concat_arrays([own.slice(1), last])
+
+            same = _same(batch.column(key), shifted(key)).to_numpy(zero_copy_only=False).copy()
+            if following is None:
+                same[-1] = False
+            values = pa.StructArray.from_arrays([shifted(start.name)], names=["start"], mask=pa.array(~same))
+            return _with(batch, "_next", values)
+
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                if held is not None:
+                    yield marked(held, batch)
+                held = batch
+        if held is not None:
+            yield marked(held, None)
+
+    return [T.StructField("_next", T.StructType([T.StructField("start", start.dataType)]))], run
+
+
+def last_of_key(key: str, value: T.StructField) -> Scan:
+    """Adds ``_seen``: the last ``value`` that is not NULL among this row and those of its ``key`` before it."""
+
+    def run(batches: Batches) -> Batches:
+        import numpy as np
+
+        kept: tuple[pa.Array, pa.Array] | None = None  # key and value of the last row that had one
+        for batch in batches:
+            keys, values = batch.column(key), batch.column(value.name)
+            has = pc.is_valid(values).to_numpy(zero_copy_only=False)
+            places = np.maximum.accumulate(np.where(has, np.arange(1, len(has) + 1), 0))
+            before = kept or (pa.nulls(1, keys.type), pa.nulls(1, values.type))
+            at = pa.array(places)
+            of_key = pa.concat_arrays([before[0], keys]).take(at)
+            seen = pa.concat_arrays([before[1], values]).take(at)
+            yield _with(batch, "_seen", pc.if_else(_same(of_key, keys), seen, pa.nulls(len(seen), seen.type)))
+            if len(places) and places[-1]:
+                last = int(places[-1]) - 1
+                kept = keys.slice(last, 1), values.slice(last, 1)
+
+    return [T.StructField("_seen", value.dataType)], run

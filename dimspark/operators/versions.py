@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimspark.functions.scalars import END_OF_TIME, ts_literal
-from dimspark.operators.ordering import POSITION, SLICE, across_slices, order_rows, place_in_slice
+from dimspark.operators.ordering import POSITION, SLICE, across_slices, next_of_key, order_rows, place_in_slice
 
 
 def _named(columns: Sequence[str]) -> list[Column]:
@@ -41,23 +41,21 @@ def with_next(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> DataF
 
     ``_next`` is NULL for the last version of a key; a struct tells that apart
     from a next version whose start is NULL. ``_before`` counts the rows of
-    earlier slices.
+    earlier slices. Within a slice the next row is seen when the slice is written,
+    so the one range shuffle is all.
     """
-    rows = order_rows(df, _named([key, start, *ties]))
+    rows = order_rows(df, _named([key, start, *ties]), next_of_key(key, df.schema[start]))
     head = F.min_by(F.struct(F.col(key).alias("key"), F.col(start).alias("start")), POSITION)
     slices = (
         rows.groupBy(SLICE)
         .agg(F.count("*").alias("_rows"), head.alias("_head"))
         .select(SLICE, _rows_before().alias("_before"), F.lead("_head").over(across_slices()).alias("_following"))
     )
-    in_slice = Window.partitionBy(SLICE, key).orderBy(POSITION)
     following = F.when(
         F.col("_following.key").eqNullSafe(F.col(key)) & F.col("_following").isNotNull(),
         F.struct(F.col("_following.start").alias("start")),
     )
-    return rows.join(F.broadcast(slices), SLICE).withColumn(
-        "_next", F.coalesce(F.lead(F.struct(F.col(start).alias("start"))).over(in_slice), following)
-    )
+    return rows.join(F.broadcast(slices), SLICE).withColumn("_next", F.coalesce("_next", following))
 
 
 def _end() -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +18,31 @@ SETTINGS = {
 }
 
 
+def require_settings(spark: SparkSession) -> None:
+    """Fail if a setting that decides results is missing.
+
+    Without ANSI mode a strict date turns bad text into NULL; with a zone other than
+    UTC zoned and unzoned times shift against each other.
+    """
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
+        found = spark.conf.get(key, "")
+        if found.lower() not in (SETTINGS[key].lower(), *(["etc/utc", "z", "+00:00"] if "Zone" in key else [])):
+            raise ValueError(f"{key} is {found!r}; it must be {SETTINGS[key]!r}")
+
+
+def use_local_folder(spark: SparkSession) -> SparkSession:
+    """Give a session on one machine a temporary shared folder if it has none.
+
+    A cluster session is left alone: its folder must be named in
+    ``spark.checkpoint.dir``.
+    """
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not named and re.fullmatch(r"local(\[.*\])?", context.master):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="dimspark-"))
+    return spark
+
+
 def local_session(cores: str | int | None = None, **extra: str) -> SparkSession:
     """A session for tests and measurements on one machine."""
     cores = cores or os.environ.get("BENCH_CPUS", "8")
@@ -31,4 +58,4 @@ def local_session(cores: str | int | None = None, **extra: str) -> SparkSession:
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return use_local_folder(spark)

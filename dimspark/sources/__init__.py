@@ -1,5 +1,6 @@
+from dimspark.sources.loads import append_load, load_names, read_loads
 from dimspark.sources.schemas import SOURCE_SCHEMAS, source_schema
-from dimspark.sources.shared import shared_folder, store
+from dimspark.sources.shared import collected, remove_stored, scratch, shared_folder, store
 from dimspark.sources.tables import (
     as_view,
     layer_path,
@@ -12,12 +13,18 @@ from dimspark.sources.tables import (
 
 __all__ = [
     "SOURCE_SCHEMAS",
+    "append_load",
     "as_view",
+    "collected",
     "layer_path",
+    "load_names",
+    "read_loads",
     "read_seed",
     "read_source",
     "read_table",
     "register_views",
+    "remove_stored",
+    "scratch",
     "shared_folder",
     "source_schema",
     "store",

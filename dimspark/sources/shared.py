@@ -2,28 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
+class Scratch:
+    """The tables stored while it is open."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+    @contextmanager
+    def suspended(self) -> Iterator[None]:
+        """Tables stored inside belong to whoever surrounds this scratch, and outlive it."""
+        place = _open.index(self)
+        _open.remove(self)
+        try:
+            yield
+        finally:
+            _open.insert(place, self)
+
+    def remove(self, spark: SparkSession) -> None:
+        while self.paths:
+            delete(spark, self.paths.pop())
+
+
+# The innermost is last. The first holds what no other does.
+_open: list[Scratch] = [Scratch()]
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or set as checkpoint folder.
 
-    Only a local session may run without the setting; it then gets a folder of
-    its own. On a cluster a machine-local folder would lose data with its
-    executor, so the setting is required there.
+    It is always required: a folder of this machine's own would lose data with an
+    executor. ``dimspark.session`` has a function that gives local sessions one.
     """
-    context = spark.sparkContext
-    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    folder = spark.conf.get(SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder that every executor can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="dimspark-"))
-        folder = context.getCheckpointDir()
+        raise ValueError(f"set {SETTING} to a folder that every executor can reach")
     return folder.rstrip("/")
 
 
@@ -31,8 +51,46 @@ def store(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a scan of the written table.
 
     The result has no lineage to recompute, exact size statistics for the
-    planner and parquet column pruning for each of its readers.
+    planner and parquet column pruning for each of its readers. The table stays
+    until the surrounding ``scratch`` ends, or ``remove_stored`` is called.
     """
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    _open[-1].paths.append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
+def remove_stored(spark: SparkSession) -> None:
+    """Remove all tables stored outside a ``scratch``; no DataFrame may read them any more."""
+    _open[0].remove(spark)
+
+
+@contextmanager
+def collected() -> Iterator[Scratch]:
+    """Tables stored inside are noted, to be removed by the caller when they are no longer read."""
+    scratch = Scratch()
+    _open.append(scratch)
+    try:
+        yield scratch
+    finally:
+        _open.remove(scratch)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Tables stored inside are removed at the end, also after a failure.
+
+    For work that ends with a written result. Threads started inside share it.
+    """
+    own = None
+    try:
+        with collected() as own:
+            yield own
+    finally:
+        if own is not None:
+            own.remove(spark)
