@@ -2,6 +2,7 @@ from dimspark.operators.cutoff import cutoff_window, update_cutoff, with_lineage
 from dimspark.operators.incremental import (
     incremental_filter,
     incremental_scd2,
+    load_scd2,
     merge_table,
     merge_upsert,
     watermark,
@@ -17,6 +18,7 @@ __all__ = [
     "dense_key",
     "incremental_filter",
     "incremental_scd2",
+    "load_scd2",
     "lookup_key",
     "lookup_keys",
     "merge_table",

@@ -1,32 +1,42 @@
 """Measuring version tables, and finding the versions that cover a moment.
 
 A version table is passed as (``_id``, ``_version``) where ``_version`` is a
-struct that begins with ``start`` and ``end``; moments are (``_id``, ``_at``).
+narrow struct that begins with ``start`` and ``end`` and tells versions apart;
+moments are (``_id``, ``_at``). Which of the ways below is taken never changes a
+result, only its cost.
 """
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dimspark.operators.ordering import POSITION, SLICE, across_slices, order_rows
+from dimspark.operators.ordering import POSITION, SLICE, across_slices, last_of_key, order_rows
 from dimspark.operators.versions import with_next
 
-# A version row of a key lookup is three bigint-sized values and a key, so this
-# many rows stay well under 200 MB as a broadcast hash table.
-BROADCAST_ROWS = 1_000_000
+# Settings of a session, with their defaults. The bytes that the broadcast tables of
+# one fact may take together, and the longest history that is joined on its id: a
+# hash or merge join compares a moment with every version of that id, and up to this
+# length that is cheaper than sorting moments and versions.
+BROADCAST_BYTES = ("dimspark.broadcastBytes", 128 << 20)
+LONGEST_JOINED = ("dimspark.longestJoined", 256)
 
-# A hash or merge join on the id compares a moment with every version of that
-# id. Up to this length that is cheaper than sorting moments and versions.
-LONGEST_JOINED = 256
+# What a version of a key lookup takes in a broadcast hash table: an id, two times
+# and a key of eight bytes each, and as much again for the table.
+VERSION_BYTES = 64
 
 Covers = Callable[[Column, Column, Column], Column]
 
 
+def setting(spark: SparkSession, named: tuple[str, int]) -> int:
+    return int(spark.conf.get(named[0], str(named[1])))
+
+
 @dataclass(frozen=True)
 class History:
     """What a version table looks like, measured over all of its rows."""
@@ -36,12 +46,11 @@ class History:
     chained: bool
 
     @property
-    def small(self) -> bool:
-        return self.rows <= BROADCAST_ROWS
+    def bytes(self) -> int:
+        return self.rows * VERSION_BYTES
 
-    @property
-    def short(self) -> bool:
-        return self.longest <= LONGEST_JOINED
+    def short(self, spark: SparkSession) -> bool:
+        return self.longest <= setting(spark, LONGEST_JOINED)
 
 
 def periods(df: DataFrame, key: str | Column, start: str, end: str) -> DataFrame:
@@ -85,12 +94,31 @@ def measure(tables: Mapping[str, DataFrame]) -> dict[str, History]:
     return {r["name"]: History(r["rows"], r["longest"], r["chained"]) for r in summaries.collect()}
 
 
+_known: weakref.WeakKeyDictionary[DataFrame, dict[tuple, History]] = weakref.WeakKeyDictionary()
+
+
+def measure_once(wanted: Mapping[str, tuple[DataFrame, Column, str, str, str]]) -> dict[str, History]:
+    """Measure dimensions, each DataFrame object once however many facts look it up.
+
+    ``wanted``: by name, the DataFrame, its id, and the names of id, start and end.
+    """
+    missing = {}
+    for name, (df, key, *columns) in wanted.items():
+        if tuple(columns) not in _known.setdefault(df, {}):
+            missing[name] = periods(df, key, *columns[1:])
+    for name, history in measure(missing).items():
+        df, _, *columns = wanted[name]
+        _known[df][tuple(columns)] = history
+    return {name: _known[df][tuple(columns)] for name, (df, _, *columns) in wanted.items()}
+
+
 def latest_versions(moments: DataFrame, versions: DataFrame, inclusive: bool) -> DataFrame:
     """Each moment with the last version that started before it (or at it, if ``inclusive``).
 
     Moments and versions are put into one order by id and time, where the answer
-    is the last version seen. A slice that begins inside an id takes the last
-    version of the slices before it. Moments without such a version are left out.
+    is the last version seen while a slice is written. A slice that begins inside
+    an id takes the last version of the slices before it. Moments without such a
+    version are left out.
     """
     moment_side, version_side = (1, 0) if inclusive else (0, 1)
     struct_type = versions.schema["_version"].dataType
@@ -101,7 +129,8 @@ def latest_versions(moments: DataFrame, versions: DataFrame, inclusive: bool) ->
             "_id", F.col("_version.start").alias("_at"), F.lit(version_side).alias("_side"), "_version"
         )
     )
-    rows = order_rows(points, [F.col(c) for c in ("_id", "_at", "_side", "_version")])
+    order = [F.col(c) for c in ("_id", "_at", "_side", "_version")]
+    rows = order_rows(points, order, last_of_key("_id", points.schema["_version"]))
 
     is_version = F.col("_side") == version_side
     last_in_slice = F.max_by(F.struct("_id", "_version"), F.when(is_version, F.col(POSITION)))
@@ -111,15 +140,12 @@ def latest_versions(moments: DataFrame, versions: DataFrame, inclusive: bool) ->
         .agg(last_in_slice.alias("_last"))
         .select(SLICE, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
     )
-    so_far = Window.partitionBy(SLICE, "_id").orderBy(POSITION).rowsBetween(Window.unboundedPreceding, 0)
-    found = F.coalesce(
-        F.last("_version", ignorenulls=True).over(so_far),
-        F.when(F.col("_carried._id") == F.col("_id"), F.col("_carried._version")),
-    )
+    of_earlier_slices = F.when(F.col("_carried._id") == F.col("_id"), F.col("_carried._version"))
     return (
-        rows.join(F.broadcast(carried), SLICE)
-        .withColumn("_found", found)
-        .where(~is_version & F.col("_found").isNotNull())
+        rows.where(~is_version)
+        .join(F.broadcast(carried), SLICE)
+        .withColumn("_found", F.coalesce("_seen", of_earlier_slices))
+        .where(F.col("_found").isNotNull())
         .select("_id", "_at", F.col("_found").alias("_version"))
     )
 
@@ -148,7 +174,8 @@ def cut_at_successor(versions: DataFrame) -> DataFrame:
     """Versions that end no later than the next one starts.
 
     ``_outlives`` and ``_ends_early`` tell whether a version ended after or before
-    that. Ends must not be NULL.
+    that, ``_reach`` is its own end, and ``_last_end`` that of the id's last version.
+    Ends must not be NULL.
     """
     end, successor = F.col("_version.end"), F.col("_next.start")
     return _with_successor(versions).select(
@@ -156,6 +183,8 @@ def cut_at_successor(versions: DataFrame) -> DataFrame:
         F.col("_version").withField("end", F.least(end, successor)).alias("_version"),
         F.coalesce(end > successor, F.lit(False)).alias("_outlives"),
         F.coalesce(end < successor, F.lit(False)).alias("_ends_early"),
+        end.alias("_reach"),
+        F.when(F.col("_next").isNull(), end).alias("_last_end"),
     )
 
 
@@ -167,15 +196,40 @@ def _outliving(versions: DataFrame) -> DataFrame:
     )
 
 
+def _micros(time: Column) -> Column:
+    """Microseconds of an unzoned time; only differences and order matter here."""
+    return F.unix_micros(time.cast("timestamp"))
+
+
 def _older_versions(latest: DataFrame, versions: DataFrame, covers: Covers) -> DataFrame:
     """Covering versions that are older than the latest one of their moment.
 
     To cover a moment in spite of a later start elsewhere, a version must outlive
-    its successor, so only such versions are joined on the id.
+    its successor, so only such versions are compared. They are grouped by length:
+    one of up to 2**n microseconds lies in one or two cells of that width, and
+    meets only the moments in those cells, of which it covers a fair share. The
+    work thus follows the number of results; an id with many moments and many
+    versions is spread over its cells.
     """
-    same_id = F.col("_id") == F.col("_oid")
-    condition = same_id & (F.col("_older") < F.col("_version")) & _covers(covers, "_older")
-    return latest.join(_outliving(versions), condition).select("_id", "_at", F.col("_older").alias("_version"))
+    outliving = _outliving(versions).withColumn("_from", _micros(F.col("_older.start")))
+    until = F.coalesce(_micros(F.col("_older.end")), F.lit((1 << 62) - 1))
+    outliving = outliving.withColumn("_until", F.greatest(until, F.col("_from")))
+    length = F.greatest(F.col("_until") - F.col("_from"), F.lit(1)).cast("double")
+    outliving = outliving.withColumn("_width", F.least(F.ceil(F.log2(length)).cast("int") + 1, F.lit(62)))
+
+    def cell(micros: Column) -> Column:
+        return F.call_function("shiftright", micros, F.col("_width"))
+
+    outliving = outliving.withColumn("_cell", F.explode(F.array_distinct(F.array(cell(F.col("_from")), cell(F.col("_until"))))))
+    # There are 62 widths at most. A moment is looked up once for each that occurs.
+    widths = [r["_width"] for r in outliving.select("_width").distinct().collect()]
+    if not widths:
+        return latest.select("_id", "_at", "_version").where(F.lit(False))
+    placed = latest.withColumn("_width", F.explode(F.array(*map(F.lit, sorted(widths)))))
+    placed = placed.withColumn("_cell", cell(_micros(F.col("_at")))).withColumnRenamed("_width", "_mwidth").withColumnRenamed("_cell", "_mcell")
+    met = (F.col("_id") == F.col("_oid")) & (F.col("_mwidth") == F.col("_width")) & (F.col("_mcell") == F.col("_cell"))
+    condition = met & (F.col("_older") < F.col("_version")) & _covers(covers, "_older")
+    return placed.join(outliving, condition).select("_id", "_at", F.col("_older").alias("_version"))
 
 
 def covering_versions(moments: DataFrame, versions: DataFrame, covers: Covers, inclusive: bool) -> DataFrame:

@@ -4,7 +4,7 @@ A fact row gets the key of the version whose period ``(start, end]`` covers its
 time, the newest if several do, and the unknown key if none does. Rows are never
 dropped or multiplied.
 
-Ways to find it, all with the same result where they apply:
+Ways to find it, all with the same result:
 
 ``broadcast``     one join on the id with the period as a further condition; the
                   dimension is broadcast while its measured size allows and
@@ -19,30 +19,36 @@ Ways to find it, all with the same result where they apply:
                   Overlaps that the newest version simply overrides, as after
                   append-only loads, are cut out of the dimension beforehand.
 
-``broadcast`` is taken only if the measurement allows it, and is ``auto``
-otherwise. The other two may be asked for by a caller that knows the dimension.
+The first two are wishes: where the measured periods don't allow them, the lookup
+goes on as ``auto`` does. Broadcasts of all lookups of a fact share one budget of
+bytes. If any lookup needs the fact's moments, the fact is written once, so that
+its plan is evaluated once and a moment is the same wherever it is used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimspark.functions.periods import covers_open_closed
 from dimspark.functions.scalars import UNKNOWN_KEY, safe_int
 from dimspark.operators.histories import (
+    BROADCAST_BYTES,
     History,
     cut_at_successor,
     joined_versions,
     latest_versions,
-    measure,
+    measure_once,
     newest_covering_version,
-    periods,
+    setting,
 )
+from dimspark.operators.joins import scattered
 from dimspark.sources.shared import store
 
 Strategy = Literal["auto", "broadcast", "union_window", "ranked"]
@@ -63,8 +69,19 @@ class Lookup:
     strategy: Strategy = "auto"
 
     @property
-    def name(self) -> str:
-        return f"{id(self.dim)}/{self.dim_id}/{self.start}/{self.end}"
+    def periods(self) -> tuple:
+        """What identifies the measured periods: lookups may share them and differ in key and strategy."""
+        return id(self.dim), self.dim_id, self.start, self.end
+
+
+@dataclass(frozen=True)
+class _Choice:
+    """Versions to look up, the way to do it, and whether to broadcast them."""
+
+    versions: DataFrame
+    strategy: Strategy
+    history: History
+    small: bool = False
 
 
 def lookup_key(
@@ -85,21 +102,37 @@ def lookup_key(
 
 def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     """``fact`` with one key column per lookup. Each dimension is measured once."""
-    histories = measure(
+    histories = measure_once(
         {
-            look.name: periods(look.dim, _bigint(look.dim, look.dim_id), look.start, look.end)
+            str(look.periods): (look.dim, _bigint(look.dim, look.dim_id), look.dim_id, look.start, look.end)
             for look in lookups
-            if look.strategy != "union_window"
         }
     )
-    chosen = {}
+    chosen: dict[tuple, _Choice] = {}
     for look in lookups:
-        if look.name not in chosen:
-            chosen[look.name] = _choose(look, histories.get(look.name))
+        of = (*look.periods, look.key, look.strategy)
+        if of not in chosen:
+            chosen[of] = _choose(look, histories[str(look.periods)])
+    left = setting(fact.sparkSession, BROADCAST_BYTES)
+    for of, choice in sorted(chosen.items(), key=lambda c: c[1].history.bytes):
+        if choice.strategy == "broadcast" and choice.history.bytes <= left:
+            left -= choice.history.bytes
+            chosen[of] = replace(choice, small=True)
+    if any(choice.strategy != "broadcast" for choice in chosen.values()):
+        fact = store(fact)
     keyed = fact
+    for looks in _sharing(lookups):
+        keyed = _add_keys(keyed, fact, looks, chosen[*looks[0].periods, looks[0].key, looks[0].strategy])
+    columns = [*fact.columns, *[look.alias for look in lookups]]
+    return keyed.select(*columns)
+
+
+def _sharing(lookups: Sequence[Lookup]) -> list[list[Lookup]]:
+    """Lookups by the versions and the key they take: roles of one dimension are resolved together."""
+    groups: dict[tuple, list[Lookup]] = {}
     for look in lookups:
-        keyed = _add_key(keyed, fact, look, histories.get(look.name), *chosen[look.name])
-    return keyed
+        groups.setdefault((*look.periods, look.key, look.strategy), []).append(look)
+    return list(groups.values())
 
 
 def _bigint(df: DataFrame, column: str) -> Column:
@@ -113,64 +146,73 @@ def _versions(look: Lookup) -> DataFrame:
     return look.dim.select(_bigint(look.dim, look.dim_id).alias("_id"), version.alias("_version")).where(covers_something)
 
 
-def _choose(look: Lookup, history: History | None) -> tuple[DataFrame, Strategy]:
+def _choose(look: Lookup, history: History) -> _Choice:
     """The versions to look up, and how."""
     versions = _versions(look)
-    if look.strategy in ("union_window", "ranked"):
-        return versions, look.strategy
-    joined: Strategy = "broadcast" if history.short else "union_window"
+    short = history.short(look.dim.sparkSession)
+    joined: Strategy = "broadcast" if short and look.strategy != "union_window" else "union_window"
+    if look.strategy == "ranked":
+        return _Choice(versions, "ranked", history)
     if history.chained:
-        return versions, joined
+        return _Choice(versions, joined, history)
     # Ending each version where its successor starts leaves the newest in force
     # everywhere, as after an append-only load. It changes a result only where a
-    # version has ended early and an older one still runs.
+    # version, the last one too, has ended early and an older one still runs.
     cut = store(cut_at_successor(versions))
-    per_id = cut.groupBy("_id").agg(F.max("_ends_early").alias("gap"), F.max("_outlives").alias("overlap"))
-    if per_id.where("gap AND overlap").isEmpty():
-        return cut.select("_id", "_version"), joined
-    return versions, "ranked"
-
-
-def _add_key(
-    keyed: DataFrame, fact: DataFrame, look: Lookup, history: History | None, versions: DataFrame, strategy: Strategy
-) -> DataFrame:
-    """Add a key to ``keyed``; moments come from ``fact``, which has none of the earlier lookups in its plan."""
-    columns = keyed.columns
-    fact_id, at = _bigint(fact, look.fact_id), F.col(look.at)
-    # A missing id matches nothing, yet all such rows would meet in one shuffle
-    # partition. The first join key scatters them; the second keeps the match exact.
-    scattered = F.coalesce(fact_id, F.xxhash64(*columns))
-    same_id = (scattered == F.col("_vid")) & (fact_id == F.col("_vid"))
-
-    if strategy == "broadcast":
-        found = versions.select(
-            F.col("_id").alias("_vid"),
-            F.col("_version.start").alias("_start"),
-            F.col("_version.end").alias("_end"),
-            F.col("_version.key").alias("_key"),
-        )
-        in_force = covers_open_closed(at, F.col("_start"), F.col("_end"))
-        if history.small:
-            joined = keyed.join(F.broadcast(found), (fact_id == F.col("_vid")) & in_force, "left")
+    per_id = cut.groupBy("_id").agg(
+        F.max("_ends_early").alias("gap"),
+        F.max("_outlives").alias("overlap"),
+        (F.max("_last_end") < F.max("_reach")).alias("last_gap"),
+    )
+    if per_id.where("overlap AND (gap OR last_gap)").isEmpty():
+        return _Choice(cut.select("_id", "_version"), joined, history)
+    return _Choice(versions, "ranked", history)
+
+
+def _add_keys(keyed: DataFrame, fact: DataFrame, looks: list[Lookup], choice: _Choice) -> DataFrame:
+    """Add the keys of ``looks``, which take the same versions, to ``keyed``; moments come from ``fact``."""
+    if choice.strategy != "broadcast":
+        moments = [
+            fact.select(_bigint(fact, look.fact_id).alias("_id"), F.col(look.at).alias("_at")).dropna() for look in looks
+        ]
+        resolved = store(_resolve(reduce(DataFrame.unionByName, moments).distinct(), choice))
+    for look in looks:
+        columns = keyed.columns
+        fact_id, at = _bigint(keyed, look.fact_id), F.col(look.at)
+        # A missing id matches nothing, yet all such rows would meet in one shuffle
+        # partition. The first join key scatters them; the second keeps the match exact.
+        spread = scattered(fact_id, T.LongType(), [f.name for f in fact.schema.fields if "map<" not in f.dataType.simpleString()])
+        same_id = (spread == F.col("_vid")) & (fact_id == F.col("_vid"))
+        if choice.strategy == "broadcast":
+            found = choice.versions.select(
+                F.col("_id").alias("_vid"),
+                F.col("_version.start").alias("_start"),
+                F.col("_version.end").alias("_end"),
+                F.col("_version.key").alias("_key"),
+            )
+            in_force = covers_open_closed(at, F.col("_start"), F.col("_end"))
+            if choice.small:
+                joined = keyed.join(F.broadcast(found), (fact_id == F.col("_vid")) & in_force, "left")
+            else:
+                joined = keyed.join(found, same_id & in_force, "left")
         else:
-            joined = keyed.join(found, same_id & in_force, "left")
-    else:
-        moments = fact.select(fact_id.alias("_id"), at.alias("_at")).dropna().distinct()
-        resolved = _resolve(moments, versions, strategy, history).withColumnsRenamed({"_id": "_vid", "_at": "_vat"})
-        joined = keyed.join(resolved, same_id & (at == F.col("_vat")), "left")
-    return joined.select(*columns, F.coalesce("_key", F.lit(UNKNOWN_KEY)).cast("bigint").alias(look.alias))
+            moment = resolved.withColumnsRenamed({"_id": "_vid", "_at": "_vat"})
+            joined = keyed.join(moment, same_id & (at == F.col("_vat")), "left")
+        key = F.coalesce("_key", F.lit(UNKNOWN_KEY)).cast("bigint").alias(look.alias)
+        keyed = joined.select(*columns, key)
+    return keyed
 
 
-def _resolve(moments: DataFrame, versions: DataFrame, strategy: Strategy, history: History | None) -> DataFrame:
+def _resolve(moments: DataFrame, choice: _Choice) -> DataFrame:
     """(``_id``, ``_at``, ``_key``), one row per moment that has a version."""
-    if strategy == "union_window":
-        latest = latest_versions(moments, versions, inclusive=False)
+    if choice.strategy == "union_window":
+        latest = latest_versions(moments, choice.versions, inclusive=False)
         return latest.where(F.col("_at") <= F.col("_version.end")).select(
             "_id", "_at", F.col("_version.key").alias("_key")
         )
-    if history.short:
-        matches = joined_versions(moments, versions, covers_open_closed)
+    if choice.history.short(moments.sparkSession):
+        matches = joined_versions(moments, choice.versions, covers_open_closed)
         newest = matches.groupBy("_id", "_at").agg(F.max("_version").alias("_version"))
     else:
-        newest = newest_covering_version(moments, versions, covers_open_closed, inclusive=False)
+        newest = newest_covering_version(moments, choice.versions, covers_open_closed, inclusive=False)
     return newest.select("_id", "_at", F.col("_version.key").alias("_key"))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from dimspark.functions.periods import covers_closed_open
 from dimspark.operators.histories import History, covering_versions, measure, periods
+from dimspark.operators.joins import same_id
+from dimspark.sources.shared import store
 
 
 def point_in_time_join(
@@ -26,11 +28,13 @@ def point_in_time_join(
 
     ``on`` names the id in ``left`` and in ``right``. The result has the columns
     of ``left`` and those of ``right`` without its id and period; the names must
-    not clash. Overlapping periods multiply rows.
+    not clash. Overlapping periods and repeated versions multiply rows.
 
     Short histories are joined on the id, and the planner broadcasts ``right`` if
     its size allows. With long ones that would compare each row with the whole
-    history of its id, so the versions in force are found from a sorted order.
+    history of its id, so the versions in force are found from a sorted order. Only
+    ids, periods and a number go through it; the number, which is written with
+    the version, tells versions apart that are equal in everything else.
     ``history`` is measured unless given; several can be measured in one job.
     """
     left_id, right_id = on
@@ -38,22 +42,21 @@ def point_in_time_join(
     if history is None:
         history = measure({"right": periods(right, right_id, start, end)})["right"]
 
-    if history.short:
+    if history.short(left.sparkSession):
         versions = right.withColumnsRenamed({right_id: "_vid", start: "_start", end: "_end"})
         in_force = covers_closed_open(F.col(at), F.col("_start"), F.col("_end"))
-        condition = (F.col(left_id) == F.col("_vid")) & in_force
-        return left.join(versions, condition, how).select(*left.columns, *payload)
+        return left.join(versions, same_id(left, left_id, "_vid") & in_force, how).select(*left.columns, *payload)
 
-    versions = right.select(
-        F.col(right_id).alias("_id"),
-        F.struct(F.col(start).alias("start"), F.col(end).alias("end"), *payload).alias("_version"),
+    left = store(left)
+    versions = store(right.withColumn("_n", F.monotonically_increasing_id()))
+    narrow = versions.select(
+        F.col(right_id).alias("_id"), F.struct(F.col(start).alias("start"), F.col(end).alias("end"), "_n").alias("_version")
     )
     moments = left.select(F.col(left_id).alias("_id"), F.col(at).alias("_at")).dropna().distinct()
-    matches = covering_versions(moments, versions, covers_closed_open, inclusive=True)
-    same_moment = (F.col(left_id) == F.col("_id")) & (F.col(at) == F.col("_at"))
-    return left.join(matches, same_moment, how).select(
-        *left.columns, *[F.col("_version").getField(c).alias(c) for c in payload]
-    )
+    found = covering_versions(moments, narrow, covers_closed_open, inclusive=True)
+    matches = found.select("_id", "_at", F.col("_version._n").alias("_n")).join(versions.select("_n", *payload), "_n")
+    same_moment = same_id(left, left_id, "_id") & (F.col(at) == F.col("_at"))
+    return left.join(matches, same_moment, how).select(*left.columns, *payload)
 
 
 def scd1_latest(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -31,13 +31,14 @@ def brute_force(fact, dim):
 
 
 @pytest.fixture(params=["plain", "shuffled", "long"])
-def size(request, monkeypatch):
+def size(request, spark):
     """The same tests with the dimension broadcast, shuffled, or regarded as having long histories."""
-    if request.param == "shuffled":
-        monkeypatch.setattr(histories, "BROADCAST_ROWS", 0)
-    if request.param == "long":
-        monkeypatch.setattr(histories, "LONGEST_JOINED", 0)
-    return request.param
+    changed = {"shuffled": histories.BROADCAST_BYTES, "long": histories.LONGEST_JOINED}.get(request.param)
+    if changed:
+        spark.conf.set(changed[0], "0")
+    yield request.param
+    if changed:
+        spark.conf.unset(changed[0])
 
 
 @pytest.mark.parametrize("strategy", STRATEGIES)
@@ -90,7 +91,7 @@ def test_closed_dimension_with_a_busy_id(spark, ts, size, strategy):
     assert found == brute_force(fact, stored)
 
 
-@pytest.mark.parametrize("strategy", ["auto", "ranked"])
+@pytest.mark.parametrize("strategy", STRATEGIES)
 def test_nested_periods_and_gaps(spark, ts, size, strategy):
     rng = random.Random(12)
     dim = []
@@ -139,8 +140,8 @@ def test_choice(spark, ts):
     def chosen(*data):
         dim = spark.createDataFrame(data, DIM)
         history = measure({"x": periods(dim, "id", "valid_from", "valid_to")})["x"]
-        versions, strategy = lookup._choose(Lookup(dim, "id", "id", "key", "found"), history)
-        return strategy, sorted(r["_version"]["end"] for r in versions.collect())
+        choice = lookup._choose(Lookup(dim, "id", "id", "key", "found"), history)
+        return choice.strategy, sorted(r["_version"]["end"] for r in choice.versions.collect())
 
     # Chained; gaps only; overlaps that the newest overrides; an older version that reaches into a gap.
     assert chosen((1, 1, ts(0), ts(5)), (1, 2, ts(5), ts(9))) == ("broadcast", [ts(5), ts(9)])
@@ -152,7 +153,7 @@ def test_choice(spark, ts):
     assert chosen((1, 1, ts(0), ts(9)), (1, 2, ts(1), ts(2)), (1, 3, ts(4), ts(5))) == ("ranked", [ts(2), ts(5), ts(9)])
 
 
-@pytest.mark.parametrize("strategy", ["auto", "ranked"])
+@pytest.mark.parametrize("strategy", STRATEGIES)
 def test_periods_with_gaps_and_without_end(spark, ts, size, strategy):
     dim = [(1, 1, ts(0), ts(4)), (1, 2, ts(6), ts(8)), (1, 3, ts(7), None), (1, 4, None, ts(9)), (1, 5, ts(7), ts(3))]
     fact = [(n, 1, ts(n)) for n in range(12)]
@@ -160,9 +161,9 @@ def test_periods_with_gaps_and_without_end(spark, ts, size, strategy):
     assert found == brute_force(fact, dim)
 
 
-def test_rows_without_id_are_scattered(spark, ts, monkeypatch):
+def test_rows_without_id_are_scattered(spark, ts):
     """In a shuffled lookup the rows without an id must not share one partition."""
-    monkeypatch.setattr(histories, "BROADCAST_ROWS", 0)
+    spark.conf.set(histories.BROADCAST_BYTES[0], "0")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
@@ -171,6 +172,51 @@ def test_rows_without_id_are_scattered(spark, ts, monkeypatch):
         found = lookup_key(fact, dim, "id", "id", "at", "key", "found")
         sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
     finally:
+        spark.conf.unset(histories.BROADCAST_BYTES[0])
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) == 4 and max(sizes) < 2000
+
+
+def test_two_keys_and_strategies_of_one_dimension(spark, ts, size):
+    schema = "id bigint, k1 bigint, k2 bigint, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    dim = spark.createDataFrame([(1, 10, 99, ts(0), ts(9)), (1, 11, 98, ts(2), ts(4))], schema)
+    fact = spark.createDataFrame([(1, ts(3)), (1, ts(6))], "id bigint, at timestamp_ntz")
+    looks = [Lookup(dim, "id", "id", k, f"{k}_{s}", "at", strategy=s) for s in STRATEGIES for k in ("k1", "k2")]
+    found = lookup_keys(fact, looks).orderBy("at").collect()
+    assert [[r[f"k1_{s}"] for s in STRATEGIES] for r in found] == [[11] * 4, [10] * 4]
+    assert [[r[f"k2_{s}"] for s in STRATEGIES] for r in found] == [[98] * 4, [99] * 4]
+
+
+def test_a_moment_that_differs_at_each_evaluation(spark, ts, size):
+    dim = spark.createDataFrame([(1, 1, ts(0), ts(5)), (1, 2, ts(5), ts(END_OF_TIME))], DIM)
+    fact = spark.range(20).select("id", F.current_timestamp().cast("timestamp_ntz").alias("at"), F.lit(1).cast("bigint").alias("item"))
+    fact = fact.withColumn("at", F.col("at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.rand()))
+    for strategy in STRATEGIES:
+        found = lookup_key(fact, dim, "item", "id", "at", "key", "found", strategy)
+        assert {r["found"] for r in found.collect()} == {2}
+
+
+def test_a_dimension_is_measured_once(spark, ts, monkeypatch):
+    measured = []
+    monkeypatch.setattr(histories, "measure", lambda tables: measured.extend(tables) or measure(tables))
+    dim = spark.createDataFrame([(1, 5, ts(0), ts(10))], DIM)
+    fact = spark.createDataFrame([(0, 1, ts(5))], FACT)
+    for _ in range(3):
+        look_up(fact, dim)
+    assert len(measured) == 1
+
+
+def test_one_id_with_a_third_of_moments_and_nested_versions(spark, ts):
+    """Outliving versions are compared within cells of time, so a busy id's comparisons follow its results."""
+    versions = [(1, n + 1, ts(n), ts(n + 1.5)) for n in range(800)] + [(2, 9000, ts(0), ts(9))]
+    dim = spark.createDataFrame(versions, DIM).select("id", F.struct(F.col("valid_from").alias("start"), F.col("valid_to").alias("end"), "key").alias("v"))
+    dim = dim.select(F.col("id").alias("_id"), F.col("v").alias("_version"))
+    moments = spark.createDataFrame([(1, ts(n / 3)) for n in range(2400)], "_id bigint, _at timestamp_ntz")
+    covers = lambda at, start, end: (start < at) & (at <= end)
+    latest = histories.latest_versions(moments, dim, inclusive=False)
+    older = histories._older_versions(latest, dim, covers)
+    met = [c for c in older._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Join Inner" in c]
+    assert any("_cell" in c and "_width" in c for c in met)
+    expected = sum(1 for n in range(2400) for v in (n // 3 - 1, n // 3 - 2) if v >= 0 and v < n / 3 <= v + 1.5 and n / 3 > v + 1)
+    assert older.count() >= expected > 0

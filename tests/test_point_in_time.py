@@ -43,3 +43,14 @@ def test_overlapping_periods_multiply_rows_in_the_same_way(spark, ts, rows, how)
     left, right = spark.createDataFrame(left, LEFT).repartition(3), spark.createDataFrame(right, RIGHT).repartition(3)
     for history in (SHORT, LONG):
         assert rows(join(left, right, how, history), "row", "name") == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_repeated_versions_and_a_map_multiply_rows_in_the_same_way(spark, ts, rows, how):
+    schema = "id bigint, name map<string, int>, p_from timestamp_ntz, p_to timestamp_ntz"
+    right = [(1, {"n": 1}, ts(0), ts(5))] * 3 + [(1, {"n": 2}, ts(5), None)] * 2 + [(2, None, ts(0), None)]
+    left = [(0, 1, ts(1)), (1, 1, ts(7)), (2, 2, ts(3)), (3, 9, ts(3)), (4, None, ts(3))]
+    left, right = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, schema)
+    found = [rows(join(left, right, how, history).selectExpr("row", "name['n'] AS n"), "row", "n") for history in (SHORT, LONG)]
+    expected = [(0, 1)] * 3 + [(1, 2)] * 2 + [(2, None)] + ([(3, None), (4, None)] if how == "left" else [])
+    assert found == [sorted(expected, key=repr)] * 2
