@@ -2,14 +2,15 @@
 
 Every role is derived from whole test tables, so it grows with them. ``Customers``
 and ``People`` and ``StockItems`` have one row per id, as fact staging expects;
-the ``*History`` roles give their dimensions several versions per id.
+the ``*History`` roles give their dimensions several versions per id, and take
+their place where a model is to be built from them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The two periods given to each state, country, category and group.
@@ -49,11 +50,14 @@ def _two_periods(df: DataFrame) -> DataFrame:
     return df.withColumn("period", F.explode(periods)).select(*df.columns, "period.*")
 
 
-class Sources:
-    """Source roles over the tables in ``sf_dir``; ``sources["Orders"]`` builds one."""
+class Sources(Mapping):
+    """Source roles over the tables in ``sf_dir``; ``sources["Orders"]`` builds one.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self._spark, self._sf_dir = spark, sf_dir
+    ``replaced`` gives a role the rows of another: ``Sources(..., People="PeopleHistory")``.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, **replaced: str):
+        self._spark, self._sf_dir, self._replaced = spark, sf_dir, replaced
         self._tables: dict[str, DataFrame] = {}
         self._roles: dict[str, Callable[[], DataFrame]] = {
             "StateProvinces": self.state_provinces,
@@ -65,6 +69,7 @@ class Sources:
             "BuyingGroups": self.buying_groups,
             "People": self.people,
             "PeopleHistory": self.people_history,
+            "EmployeeHistory": self.employee_history,
             "PaymentMethods": self.payment_methods,
             "TransactionTypes": self.transaction_types,
             "StockItems": self.stock_items,
@@ -85,7 +90,13 @@ class Sources:
         }
 
     def __getitem__(self, role: str) -> DataFrame:
-        return self._roles[role]()
+        return self._roles[self._replaced.get(role, role)]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._roles)
+
+    def __len__(self) -> int:
+        return len(self._roles)
 
     def _table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -176,8 +187,10 @@ class Sources:
         )
 
     def customers_history(self) -> DataFrame:
-        """A customer version per order."""
-        return self._table("orders").select(
+        """A customer version per order, in force until the next one."""
+        of_customer = Window.partitionBy("o_custkey").orderBy("o_orderdate")
+        orders = self._table("orders").withColumn("_next", F.lead("o_orderdate").over(of_customer))
+        return orders.select(
             _text("o_custkey").alias("customerid"),
             F.concat(F.lit("Customer "), "o_custkey").alias("customername"),
             _int_div("o_custkey", 10).cast("string").alias("billtocustomerid"),
@@ -187,7 +200,7 @@ class Sources:
             F.col("o_custkey").alias("deliverycityid"),
             F.col("o_orderpriority").alias("deliverypostalcode"),
             _ts_text("o_orderdate").alias("validfrom"),
-            _never(),
+            _ts_text("_next").alias("validto"),
         )
 
     def people(self) -> DataFrame:
@@ -212,6 +225,21 @@ class Sources:
             F.lit(None).cast("timestamp_ntz").alias("validto"),
         )
 
+    def employee_history(self) -> DataFrame:
+        """A version per salesperson and year of orders; the first five are pickers too."""
+        person = _int_div("o_custkey", 12)
+        first = self._table("orders").groupBy(person.alias("person"), F.year("o_orderdate").alias("y")).agg(
+            F.min("o_orderdate").alias("first")
+        )
+        return first.select(
+            F.col("person").alias("personid"),
+            F.concat(F.lit("Person "), "person").alias("fullname"),
+            F.concat(F.lit("Year "), "y").alias("preferredname"),
+            F.lit(1).alias("issalesperson"),
+            F.col("first").alias("validfrom"),
+            F.lit(None).cast("timestamp_ntz").alias("validto"),
+        )
+
     def payment_methods(self) -> DataFrame:
         """A version per order priority and year."""
         first = self._table("orders").groupBy("o_orderpriority", F.year("o_orderdate").alias("y")).agg(
@@ -239,9 +267,10 @@ class Sources:
     def stock_items(self) -> DataFrame:
         return self._table("part").select(
             F.col("p_partkey").alias("stockitemid"),
-            F.col("p_name").alias("stockitemname"),
-            F.when(F.col("p_type") != "PROMO", F.col("p_size")).alias("quantityperouter"),
-            F.when(F.col("p_type") != "PROMO", (F.col("p_type") == "SMALL").cast("int")).alias("ischillerstock"),
+            *_item_columns(),
+            F.col("p_retailprice").alias("unitprice"),
+            F.expr("timestamp_ntz'1993-01-01 00:00:00'").alias("validfrom"),
+            F.lit(None).cast("timestamp_ntz").alias("validto"),
         )
 
     def stock_items_history(self) -> DataFrame:
@@ -251,20 +280,8 @@ class Sources:
         )
         return shipped.join(self._table("part"), F.col("l_partkey") == F.col("p_partkey")).select(
             F.col("l_partkey").alias("stockitemid"),
-            F.col("p_name").alias("stockitemname"),
-            _int_div("p_size", 10).alias("colorid"),
-            F.lit(1).cast("bigint").alias("unitpackageid"),
-            F.lit(2).cast("bigint").alias("outerpackageid"),
-            F.col("p_brand").alias("brand"),
-            _text("p_size").alias("size"),
-            F.col("p_size").alias("leadtimedays"),
-            F.when(F.col("p_type") != "PROMO", F.col("p_size")).alias("quantityperouter"),
-            F.when(F.col("p_type") != "PROMO", (F.col("p_type") == "SMALL").cast("int")).alias("ischillerstock"),
-            F.col("p_type").alias("barcode"),
-            F.lit(15.0).alias("taxrate"),
+            *_item_columns(),
             F.col("price").alias("unitprice"),
-            F.col("p_retailprice").alias("recommendedretailprice"),
-            F.lit(0.5).alias("typicalweightperunit"),
             F.col("first").alias("validfrom"),
             F.lit(None).cast("timestamp_ntz").alias("validto"),
         )
@@ -424,6 +441,24 @@ class Sources:
         )
 
 
+def _item_columns() -> list[Column]:
+    return [
+        F.col("p_name").alias("stockitemname"),
+        _int_div("p_size", 10).alias("colorid"),
+        F.lit(1).cast("bigint").alias("unitpackageid"),
+        F.lit(2).cast("bigint").alias("outerpackageid"),
+        F.col("p_brand").alias("brand"),
+        _text("p_size").alias("size"),
+        F.col("p_size").alias("leadtimedays"),
+        F.when(F.col("p_type") != "PROMO", F.col("p_size")).alias("quantityperouter"),
+        F.when(F.col("p_type") != "PROMO", (F.col("p_type") == "SMALL").cast("int")).alias("ischillerstock"),
+        F.col("p_type").alias("barcode"),
+        F.lit(15.0).alias("taxrate"),
+        F.col("p_retailprice").alias("recommendedretailprice"),
+        F.lit(0.5).alias("typicalweightperunit"),
+    ]
+
+
 def _status_id() -> Column:
     status = F.col("o_orderstatus")
     return F.when(status == "F", 1).when(status == "O", 2).when(status == "P", 3).cast("bigint")

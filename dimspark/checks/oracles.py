@@ -94,7 +94,10 @@ _MODELS: dict[str, str] = {
         o_custkey // 10 AS bill_to_customer_id, {_int("substr(o_orderpriority, 1, 1)")} AS customer_category_id,
         CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 25 END AS buying_group_id,
         o_custkey // 12 AS primary_contact_personid, o_orderpriority AS postal_code,
-        o_orderdate AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to FROM orders""",
+        o_orderdate AS valid_from, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to
+        FROM orders""",
+    "customer_names": """SELECT o_custkey AS id, 'Customer ' || o_custkey AS name, o_orderdate AS p_from,
+        lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS p_to FROM orders""",
     "stg_employee": """SELECT user_id AS wwi_employee_id, 'User ' || user_id AS employee, event_type AS preferredname,
         1 AS issalesperson, ts AS validfrom, CAST(NULL AS TIMESTAMP) AS validto FROM events""",
     "stg_payment_method": """SELECT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS wwi_payment_method_id,
@@ -191,7 +194,7 @@ _MODELS: dict[str, str] = {
         FROM stg_city JOIN state_provinces s ON state_province_id = stateprovinceid
             AND s_from <= valid_from AND (s_to IS NULL OR s_to > valid_from)
         JOIN countries c ON s.countryid = c.countryid AND c_from <= valid_from AND (c_to IS NULL OR c_to > valid_from)""",
-    "customer_versions": """SELECT wwi_customer_id, customer, COALESCE(b.c_name, customer) AS bill_to_customer,
+    "customer_versions": """SELECT wwi_customer_id, customer, COALESCE(b.name, customer) AS bill_to_customer,
         COALESCE(cc.name, 'Unknown') AS category, COALESCE(bg.name, 'None') AS buying_group,
         COALESCE(p.fullname, '') AS primary_contact, postal_code, valid_from FROM stg_customer
         LEFT JOIN customer_categories cc ON customer_category_id = cc.id
@@ -199,7 +202,8 @@ _MODELS: dict[str, str] = {
         LEFT JOIN buying_groups bg ON buying_group_id = bg.id
             AND bg.p_from <= valid_from AND (bg.p_to IS NULL OR bg.p_to > valid_from)
         LEFT JOIN people p ON primary_contact_personid = p.personid
-        LEFT JOIN customer b ON bill_to_customer_id = b.c_custkey AND TIMESTAMP '1996-06-01' <= valid_from""",
+        LEFT JOIN customer_names b ON bill_to_customer_id = b.id
+            AND b.p_from <= valid_from AND (b.p_to IS NULL OR b.p_to > valid_from)""",
     "supplier_versions": """SELECT wwi_supplier_id, supplier, COALESCE(sc.name, 'Unknown') AS category,
         COALESCE(p.fullname, '') AS primary_contact, supplier_reference, payment_days, postal_code, valid_from
         FROM stg_supplier LEFT JOIN supplier_categories sc ON suppliercategoryid = sc.id
@@ -212,8 +216,9 @@ _MODELS: dict[str, str] = {
     "dim_city": _number("int_city", "wwi_city_id", "city_key", _CITY),
     "dim_customer": _number("int_customer", "wwi_customer_id", "customer_key", _CUSTOMER),
     "dim_supplier": _number("int_supplier", "wwi_supplier_id", "supplier_key", _SUPPLIER),
-    "employee_versions": """SELECT personid AS wwi_employee_id, fullname AS employee, preferredname AS preferred_name,
-        validfrom AS valid_from FROM people""",
+    "employee_versions": """SELECT o_custkey // 12 AS wwi_employee_id, 'Person ' || o_custkey // 12 AS employee,
+        'Year ' || year(o_orderdate) AS preferred_name, min(o_orderdate) AS valid_from FROM orders
+        GROUP BY o_custkey // 12, year(o_orderdate)""",
     "int_employee": _close("employee_versions", "wwi_employee_id", _EMPLOYEE),
     "dim_employee": _number("int_employee", "wwi_employee_id", "employee_key", _EMPLOYEE),
     "user_versions": """SELECT wwi_employee_id, employee, preferredname AS preferred_name, validfrom AS valid_from
@@ -236,6 +241,17 @@ _MODELS: dict[str, str] = {
         FROM stg_stock_item""",
     "int_stock_item": _close("item_versions", "wwi_stock_item_id", _STOCK_ITEM),
     "dim_stock_item": _number("int_stock_item", "wwi_stock_item_id", "stock_item_key", _STOCK_ITEM),
+    # Dimensions from the current rows of customers and items, as the whole build has them
+    "current_customer_versions": """SELECT c_custkey AS wwi_customer_id, c_name AS customer,
+        TIMESTAMP '1996-06-01' AS valid_from FROM customer""",
+    "current_customers": _close("current_customer_versions", "wwi_customer_id", ["customer"]),
+    "dim_current_customer": _number("current_customers", "wwi_customer_id", "customer_key", ["customer"]),
+    "current_employee_versions": "SELECT personid AS wwi_employee_id, fullname AS employee, validfrom AS valid_from FROM people",
+    "current_employees": _close("current_employee_versions", "wwi_employee_id", ["employee"]),
+    "dim_current_employee": _number("current_employees", "wwi_employee_id", "employee_key", ["employee"]),
+    "current_item_versions": "SELECT p_partkey AS wwi_stock_item_id, p_name AS stock_item, TIMESTAMP '1993-01-01' AS valid_from FROM part",
+    "current_items": _close("current_item_versions", "wwi_stock_item_id", ["stock_item"]),
+    "dim_current_stock_item": _number("current_items", "wwi_stock_item_id", "stock_item_key", ["stock_item"]),
     # Versions for the operator queries
     "order_versions": "SELECT o_custkey, o_orderkey, o_orderpriority, o_orderdate AS valid_from FROM orders",
     "closed_orders": _close("order_versions", "o_custkey", ["o_orderkey", "o_orderpriority"], ["o_orderkey"]),
@@ -302,6 +318,49 @@ def _dim_city_incremental() -> str:
 
 _MODELS["city_loads"] = _dim_city_incremental()
 
+
+_ORDER_ROLES = _roles(city="city", customer="customer", stock_item="stock_item") + [
+    ("salesperson_key", "wwi_salesperson_id", "dim_employee", "wwi_employee_id", "employee_key"),
+    ("picker_key", "wwi_picker_id", "dim_employee", "wwi_employee_id", "employee_key"),
+]
+_SALE_ROLES = _roles(city="city", customer="customer", stock_item="stock_item") + [
+    ("bill_to_customer_key", "wwi_bill_to_customer_id", "dim_customer", "wwi_customer_id", "customer_key"),
+    ("salesperson_key", "wwi_salesperson_id", "dim_employee", "wwi_employee_id", "employee_key"),
+]
+_TRANSACTION_ROLES = _roles(
+    customer="customer", supplier="supplier", transaction_type="transaction_type", payment_method="payment_method"
+) + [("bill_to_customer_key", "wwi_bill_to_customer_id", "dim_customer", "wwi_customer_id", "customer_key")]
+_MOVEMENT_ROLES = _roles(stock_item="stock_item", customer="customer", supplier="supplier", transaction_type="transaction_type")
+_PURCHASE_ROLES = _roles(supplier="supplier", stock_item="stock_item")
+
+
+def _build_warehouse() -> str:
+    """Rows and key sums of every model, with dimensions from the current rows of customers, items and people."""
+    current = ("customer", "employee", "stock_item")
+    dims = ("city", "customer", "employee", "payment_method", "stock_item", "supplier", "transaction_type")
+    parts = [
+        f"SELECT 'dim_{d}' AS model, count(*) AS n, CAST(sum({d}_key) AS BIGINT) AS key_sum "
+        f"FROM dim_{'current_' if d in current else ''}{d}"
+        for d in dims
+    ]
+    facts = {
+        "order": _ORDER_ROLES,
+        "sale": _SALE_ROLES,
+        "transaction": _TRANSACTION_ROLES,
+        "movement": _MOVEMENT_ROLES,
+        "purchase": _PURCHASE_ROLES,
+        "stock_holding": _roles(stock_item="stock_item"),
+    }
+    text = "\nUNION ALL ".join(parts)
+    for fact, roles in facts.items():
+        roles = [(a, f, d.replace("dim_", "dim_current_") if d[4:] in current else d, i, k) for a, f, d, i, k in roles]
+        at = "TIMESTAMP '2000-06-01 12:00:00'" if fact == "stock_holding" else "last_modified_when"
+        keys = " + ".join(alias for alias, *_ in roles)
+        keyed = _keyed(f"stg_{fact}", "1 AS one", roles, at)
+        text += f"\nUNION ALL SELECT 'fct_{fact}', count(*), CAST(sum({keys}) AS BIGINT) FROM ({keyed})"
+    return _with(text)
+
+
 _LOOKUP = _keyed(
     "shipped_lines",
     "l_orderkey, l_linenumber, l_partkey, customer_id, l_shipdate",
@@ -391,44 +450,31 @@ ORACLES: dict[str, str] = {
         "stg_order",
         "order_date_key, picked_date_key, wwi_order_id, wwi_backorder_id, description, package, quantity, "
         "unitprice AS unit_price, taxrate AS tax_rate, total_excluding_tax, tax_amount, total_including_tax",
-        [
-            *_roles(city="city", customer="customer", stock_item="stock_item"),
-            ("salesperson_key", "wwi_salesperson_id", "dim_employee", "wwi_employee_id", "employee_key"),
-            ("picker_key", "wwi_picker_id", "dim_employee", "wwi_employee_id", "employee_key"),
-        ],
+        _ORDER_ROLES,
     ),
     "q_fct_sale": _keyed(
         "stg_sale",
         "invoice_date_key, delivery_date_key, wwi_invoice_id, description, package, quantity, unitprice AS unit_price, "
         "taxrate AS tax_rate, total_excluding_tax, taxamount AS tax_amount, profit, total_including_tax, "
         "total_dry_items, total_chiller_items",
-        [
-            *_roles(city="city", customer="customer", bill_to_customer="customer", stock_item="stock_item"),
-            ("salesperson_key", "wwi_salesperson_id", "dim_employee", "wwi_employee_id", "employee_key"),
-        ],
+        _SALE_ROLES,
     ),
     "q_fct_transaction": _keyed(
         "stg_transaction",
         "date_key, wwi_customer_transaction_id, wwi_supplier_transaction_id, wwi_invoice_id, wwi_purchase_order_id, "
         "supplier_invoice_number, total_excluding_tax, tax_amount, total_including_tax, outstanding_balance, is_finalized",
-        _roles(
-            customer="customer",
-            bill_to_customer="customer",
-            supplier="supplier",
-            transaction_type="transaction_type",
-            payment_method="payment_method",
-        ),
+        _TRANSACTION_ROLES,
     ),
     "q_fct_movement": _keyed(
         "stg_movement",
         "date_key, wwi_stock_item_transaction_id, wwi_invoice_id, wwi_purchase_order_id, quantity",
-        _roles(stock_item="stock_item", customer="customer", supplier="supplier", transaction_type="transaction_type"),
+        _MOVEMENT_ROLES,
     ),
     "q_fct_purchase": _keyed(
         "stg_purchase",
         "date_key, wwi_purchase_order_id, orderedouters AS ordered_outers, ordered_quantity, "
         "receivedouters AS received_outers, package, is_order_finalized",
-        _roles(supplier="supplier", stock_item="stock_item"),
+        _PURCHASE_ROLES,
     ),
     "q_fct_stock_holding": _keyed(
         "stg_stock_holding",
@@ -437,6 +483,49 @@ ORACLES: dict[str, str] = {
         _roles(stock_item="stock_item"),
         "TIMESTAMP '2000-06-01 12:00:00'",
     ),
+    "q_fct_stock_holding_now": _keyed(
+        "(SELECT * REPLACE (wwi_stock_item_id % 10 AS wwi_stock_item_id) FROM stg_stock_holding)",
+        "quantity_on_hand, COALESCE(binlocation, '') AS bin_location, last_stocktake_quantity, last_cost_price, "
+        "reorderlevel AS reorder_level, target_stock_level",
+        [("stock_item_key", "wwi_stock_item_id", "dim_event_versions", "type_id", "type_key")],
+        "TIMESTAMP '2200-01-01'",
+    ),
+    "q_stage_order_decimal": """SELECT orderlineid, CAST(CAST(quantity * unitprice AS DECIMAL(38,12)) AS VARCHAR) AS net,
+        CAST(CAST(quantity * unitprice AS DECIMAL(28,4)) * CAST(taxrate / 100 AS DECIMAL(10,8)) AS VARCHAR) AS tax,
+        CAST(CAST(quantity * unitprice AS DECIMAL(38,12))
+            + CAST(quantity * unitprice AS DECIMAL(28,4)) * CAST(taxrate / 100 AS DECIMAL(10,8)) AS VARCHAR) AS gross,
+        (quantity::DOUBLE / 4) * unitprice::DOUBLE AS f_net,
+        (quantity::DOUBLE / 4) * unitprice::DOUBLE * taxrate::DOUBLE / 100 AS f_tax,
+        (quantity::DOUBLE / 4) * unitprice::DOUBLE * (1 + taxrate::DOUBLE / 100) AS f_gross
+        FROM (SELECT l_orderkey * 10 + l_linenumber AS orderlineid, CAST(l_quantity AS INTEGER) AS quantity,
+        CAST((l_orderkey * 10 + l_linenumber) % 100000 + 0.1234 AS DECIMAL(18,4)) AS unitprice,
+        CAST((l_orderkey * 10 + l_linenumber) % 20 + 0.062525 AS DECIMAL(9,6)) AS taxrate FROM lineitem)""",
+    "q_pit_repeated_versions": _with(
+        """SELECT e.event_id, e.user_id % 10 AS wanted, e.ts, d.type_key FROM events e
+        LEFT JOIN (SELECT * FROM dim_event_versions UNION ALL SELECT * FROM dim_event_versions) d
+            ON d.type_id = e.user_id % 10 AND d.valid_from <= e.ts AND d.valid_to > e.ts"""
+    ),
+    "q_lookup_two_keys": _keyed(
+        "shipped_lines",
+        "l_orderkey, l_linenumber, l_partkey, customer_id, l_shipdate",
+        [
+            ("customer_key", "customer_id", "dim_order_versions", "o_custkey", "version_key"),
+            ("order_key", "customer_id", "dim_order_versions", "o_custkey", "o_orderkey"),
+            ("same_key", "customer_id", "dim_order_versions", "o_custkey", "o_orderkey"),
+        ],
+        "l_shipdate",
+    ),
+    "q_read_source": f"""SELECT c.* FROM (SELECT o_custkey AS cityid, 'City ' || o_custkey || ' ' || o_orderpriority AS cityname,
+        o_custkey % 26 AS stateprovinceid, o_orderstatus AS location,
+        CASE WHEN o_orderstatus = 'P' THEN 'n/a' ELSE CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR) END
+        AS latestrecordedpopulation, {_ts_text("o_orderdate")} AS validfrom, CAST(NULL AS VARCHAR) AS validto FROM orders) c,
+        range(2)""",
+    "q_read_seed": """SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey
+        FROM nation""",
+    "q_write_table": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders WHERE o_custkey % 2 = 0",
+    "q_layer_path": """SELECT 'dimensions/region' AS place, r_name AS name FROM region UNION ALL
+        SELECT 'main/nation', n_name FROM nation UNION ALL SELECT 'main/supplier', s_name FROM supplier""",
+    "q_build_warehouse": _build_warehouse(),
     "q_incremental_filter": """SELECT * FROM lineitem WHERE l_shipdate > (SELECT max(o_orderdate) FROM orders
         WHERE o_orderdate <= TIMESTAMP '2000-01-01')""",
     "q_watermark_max": """SELECT max(o_orderdate) AS last_time, max(o_orderkey) AS last_key,

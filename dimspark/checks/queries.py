@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,12 @@ from dimspark.functions.scalars import (
     ts_literal,
 )
 from dimspark.operators import (
+    Lookup,
     cutoff_window,
     dense_key,
     incremental_filter,
     lookup_key,
+    lookup_keys,
     merge_upsert,
     null_violations,
     orphan_keys,
@@ -35,11 +39,24 @@ from dimspark.operators import (
     with_lineage,
 )
 from dimspark.plans import dimensions, enrichment, facts, staging
-from dimspark.plans.warehouse import store_all
-from dimspark.sources import register_views, store
+from dimspark.plans.warehouse import build_warehouse, dimension_plans, fact_plans, plan_all
+from dimspark.sources import (
+    SOURCE_SCHEMAS,
+    layer_path,
+    read_seed,
+    read_source,
+    read_table,
+    register_views,
+    shared_folder,
+    store,
+    write_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Which roles give the versioned models a history.
+HISTORIES = {"Customers": "CustomersHistory", "StockItems": "StockItemsHistory"}
+
 # The load boundary of the incremental queries, the moment of the
 # holdings snapshot and the bounds of the cutoff window.
 FIRST_LOAD_END = "1998-01-01 00:00:00"
@@ -53,10 +70,10 @@ CUTOFF_START, CUTOFF_END = "1996-01-01 00:00:00", "1998-06-30 00:00:00"
 def _staged(src: Sources, name: str) -> DataFrame:
     roles = {
         "city": ["Cities"],
-        "customer": ["CustomersHistory"],
-        "employee": ["PeopleHistory"],
+        "customer": ["Customers"],
+        "employee": ["People"],
         "payment_method": ["PaymentMethods"],
-        "stock_item": ["StockItemsHistory"],
+        "stock_item": ["StockItems"],
         "supplier": ["Suppliers"],
         "transaction_type": ["TransactionTypes"],
         "movement": ["StockItemTransactions"],
@@ -69,8 +86,38 @@ def _staged(src: Sources, name: str) -> DataFrame:
     return getattr(staging, f"stage_{name}")(*[src[r] for r in roles[name]])
 
 
+def _versioned(spark: SparkSession, sf_dir: str, people: str = "People") -> Sources:
+    return Sources(spark, sf_dir, **HISTORIES, People=people)
+
+
 def _stage(name: str) -> Query:
-    return lambda spark, sf_dir: _staged(Sources(spark, sf_dir), name)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if name in ("customer", "employee", "stock_item"):
+            return _staged(_versioned(spark, sf_dir, "PeopleHistory"), name)
+        return _staged(Sources(spark, sf_dir), name)
+
+    return query
+
+
+def stage_order_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order amounts from a price of four and a rate of six fractional digits, and with a floating quantity."""
+    src = Sources(spark, sf_dir)
+    exact = src["OrderLines"].select(
+        "orderlineid",
+        F.col("quantity").cast("int").alias("quantity"),
+        F.expr("cast(orderlineid % 100000 as decimal(18,4)) + cast(0.1234 as decimal(18,4))").cast("decimal(18,4)").alias("unitprice"),
+        F.expr("cast(orderlineid % 20 as decimal(9,6)) + cast(0.062525 as decimal(9,6))").cast("decimal(9,6)").alias("taxrate"),
+    )
+    net, tax, gross = staging._net_and_tax(exact)
+    # As text, so that a digit lost anywhere shows.
+    written = [c.cast("string").alias(n) for c, n in ((net, "net"), (tax, "tax"), (gross, "gross"))]
+    floating = exact.select(
+        "orderlineid", *written, "unitprice", "taxrate", (F.col("quantity").cast("double") / 4).alias("quantity")
+    )
+    f_net, f_tax, f_gross = staging._net_and_tax(floating)
+    return floating.select(
+        "orderlineid", "net", "tax", "gross", f_net.alias("f_net"), f_tax.alias("f_tax"), f_gross.alias("f_gross")
+    )
 
 
 def stage_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +244,18 @@ def pit_long_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return point_in_time_join(events, versions, ("wanted", "type_id"), "ts", "valid_from", "valid_to", "left")
 
 
+def pit_repeated_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long histories in which every version occurs twice, some with a map in their row."""
+    versions = _type_versions(spark, sf_dir).select(
+        "type_id", F.create_map(F.lit("key"), "type_key").alias("attributes"), "valid_from", "valid_to"
+    )
+    versions = store(versions)
+    twice = versions.unionByName(versions)
+    events = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 10).alias("wanted"), "ts")
+    found = point_in_time_join(events, twice, ("wanted", "type_id"), "ts", "valid_from", "valid_to", "left")
+    return found.select("event_id", "wanted", "ts", F.col("attributes")["key"].alias("type_key"))
+
+
 # Versions and keys
 
 
@@ -249,6 +308,19 @@ def lookup_long_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup_key(events, dim, "wanted", "type_id", "ts", "type_key", "type_key")
 
 
+def lookup_two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two key columns of one dimension, looked up in different ways."""
+    dim = store(customer_dim(spark, sf_dir))
+    lines = shipped_lines(spark, sf_dir)
+
+    def look(key: str, alias: str, strategy: str) -> Lookup:
+        return Lookup(dim, "customer_id", "o_custkey", key, alias, "l_shipdate", strategy=strategy)
+
+    return lookup_keys(
+        lines, [look("version_key", "customer_key", "auto"), look("o_orderkey", "order_key", "ranked"), look("o_orderkey", "same_key", "union_window")]
+    )
+
+
 def lookup_overlapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periods of different lengths that start at each order, so that they nest and leave gaps."""
     dim = table(spark, sf_dir, "orders").select(
@@ -275,37 +347,37 @@ def _city_versions(src: Sources) -> DataFrame:
     return enrichment.city_versions(_staged(src, "city"), src["StateProvinces"], src["Countries"])
 
 
-def _enriched(src: Sources, name: str) -> list[DataFrame]:
-    """The staged versions and the tables that enrich them."""
+def _enrich(name: str) -> Query:
     lookups = {
         "city": ["StateProvinces", "Countries"],
         "customer": ["CustomerCategories", "BuyingGroups", "People", "Customers"],
         "supplier": ["SupplierCategories", "People"],
     }
-    return [_staged(src, name), *[src[r] for r in lookups[name]]]
 
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = _versioned(spark, sf_dir)
+        return getattr(enrichment, f"enrich_{name}")(_staged(src, name), *[src[r] for r in lookups[name]])
 
-def _enrich(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(enrichment, f"enrich_{name}")(*_enriched(Sources(spark, sf_dir), name))
+    return query
 
 
-def _dimension(src: Sources, name: str) -> DataFrame:
-    if name in ("city", "customer", "supplier"):
-        versions = getattr(enrichment, f"{name}_versions")(*_enriched(src, name))
-        return getattr(dimensions, f"dim_{name}")(versions)
-    return getattr(dimensions, f"dim_{name}")(_staged(src, name))
+def _dimension_plans(spark: SparkSession, sf_dir: str, people: str = "EmployeeHistory") -> dict[str, Callable[[], DataFrame]]:
+    """The warehouse's own plans over histories. Only employees come from a history of people, whose names others join."""
+    plans = dimension_plans(_versioned(spark, sf_dir))
+    return plans | {"employee": dimension_plans(_versioned(spark, sf_dir, people))["employee"]}
 
 
 def _dim(name: str) -> Query:
-    return lambda spark, sf_dir: _dimension(Sources(spark, sf_dir), name)
+    return lambda spark, sf_dir: _dimension_plans(spark, sf_dir, "PeopleHistory")[name]()
 
 
 def dim_city_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first load of the versions before 1998, then an incremental load of all."""
-    src = Sources(spark, sf_dir)
+    """A first load of the versions before 1998, a second of all, and a third that finds nothing new."""
+    src, path = Sources(spark, sf_dir), _new_folder(spark)
     first = cutoff_window(_city_versions(src), "valid_from", end=FIRST_LOAD_END)
-    target = store(dimensions.dim_city(first))
-    return dimensions.dim_city(_city_versions(src), target)
+    dimensions.load_city(spark, path, first)
+    dimensions.load_city(spark, path, _city_versions(src))
+    return dimensions.load_city(spark, path, _city_versions(src))
 
 
 def dim_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -318,34 +390,89 @@ def dim_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Facts
 
 
-def _fact_dims(src: Sources, *names: str) -> dict[str, DataFrame]:
-    def plan(name: str) -> DataFrame:
-        if name == "employee":
-            return dimensions.dim_employee(staging.stage_employee(src["People"]))
-        return _dimension(src, name)
-
-    return store_all({name: (lambda name=name: plan(name)) for name in names})
-
-
 def _fact(name: str, *dims: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        src = Sources(spark, sf_dir)
-        return getattr(facts, f"fct_{name}")(_staged(src, name), _fact_dims(src, *dims))
+        plans = _dimension_plans(spark, sf_dir)
+        built = plan_all({dim: plans[dim] for dim in dims})
+        return fact_plans(Sources(spark, sf_dir), built, ts_literal(SNAPSHOT))[name]()
 
     return query
 
 
-def fct_stock_holding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = Sources(spark, sf_dir)
-    return facts.fct_stock_holding(_staged(src, "stock_holding"), _fact_dims(src, "stock_item"), ts_literal(SNAPSHOT))
+fct_order = _fact("order", "city", "customer", "stock_item", "employee")
 
 
-fct_order = _fact("order", "city", "customer", "stock_item", "employee")
+def fct_stock_holding_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdings at the present moment, with items of thousands of versions: one item per event type."""
+    versions = _type_versions(spark, sf_dir).withColumnsRenamed({"type_id": "wwi_stock_item_id", "type_key": "stock_item_key"})
+    staged = _staged(Sources(spark, sf_dir), "stock_holding").withColumn("wwi_stock_item_id", F.col("wwi_stock_item_id") % 10)
+    return facts.fct_stock_holding(staged, {"stock_item": store(versions)})
 
 
 # Loading and checks
 
 
+def _new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/check-{uuid.uuid4().hex}"
+
+
+def read_source_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source table with more columns than are declared, read as JSON and as parquet."""
+    base = _new_folder(spark)
+    cities = Sources(spark, sf_dir)["Cities"]
+    cities.withColumn("undeclared", F.lit(1)).write.parquet(f"{base}/Cities.parquet")
+    cities.write.json(f"{base}/Cities.json")
+    read = [read_source(spark, base, "Cities", fmt) for fmt in ("parquet", "json")]
+    return read[0].unionByName(read[1])
+
+
+def read_seed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_new_folder(spark)}/nations.csv"
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    nations.write.csv(path, header=True)
+    return read_seed(spark, path, "n_nationkey bigint, n_name string, n_regionkey bigint")
+
+
+def write_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full replacement: the second table is what stays."""
+    path = f"{_new_folder(spark)}/orders"
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    write_table(orders, path, ["o_orderpriority"])
+    return write_table(orders.where("o_custkey % 2 = 0"), path, ["o_orderpriority"])
+
+
+def layer_path_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables routed to their layer's folder, or to the default one, and read from there."""
+    root = _new_folder(spark)
+    cfg = {"root": root, "default": "main", "dim": "dimensions", "fct": " "}
+    for layer, name in (("dim", "region"), ("fct", "nation"), ("stg", "supplier")):
+        write_table(table(spark, sf_dir, name), layer_path(cfg, layer, name))
+    parts = [("dimensions", "region", "r_name"), ("main", "nation", "n_name"), ("main", "supplier", "s_name")]
+    found = [
+        read_table(spark, f"{root}/{folder}/{name}").select(F.lit(f"{folder}/{name}").alias("place"), F.col(column).alias("name"))
+        for folder, name, column in parts
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+def build_warehouse_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole build from source tables in files to written models: rows and sums of keys of every model."""
+    root = _new_folder(spark)
+    src = Sources(spark, sf_dir)
+    for name in SOURCE_SCHEMAS:
+        src[name].write.parquet(f"{root}/oltp/{name}.parquet")
+    read = {name: read_source(spark, f"{root}/oltp", name) for name in SOURCE_SCHEMAS}
+    cfg = {"root": f"{root}/dw", "default": "main", "dim": "dimensions", "fct": "facts"}
+    built = build_warehouse(read, lambda name, df: write_table(df, layer_path(cfg, name[:3], name)), ts_literal(SNAPSHOT))
+
+    def summary(name: str, df: DataFrame) -> DataFrame:
+        keys = [c for c, kind in df.dtypes if c.endswith("_key") and kind == "bigint"]
+        total = reduce(lambda a, b: a + b, [F.col(c) for c in keys])
+        return df.agg(F.lit(name).alias("model"), F.count("*").alias("n"), F.sum(total).alias("key_sum"))
+
+    return reduce(DataFrame.unionByName, [summary(name, df) for name, df in built.items()])
+
+
 def incremental_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines shipped after the last order of 1999 and before."""
     loaded = cutoff_window(table(spark, sf_dir, "orders"), "o_orderdate", end="2000-01-01 00:00:00")
@@ -429,6 +556,7 @@ QUERIES: dict[str, Query] = {
     "q_stage_transaction_type": _stage("transaction_type"),
     "q_stage_movement": _stage("movement"),
     "q_stage_order": _stage("order"),
+    "q_stage_order_decimal": stage_order_decimal,
     "q_stage_purchase": _stage("purchase"),
     "q_stage_sale": _stage("sale"),
     "q_stage_stock_holding": _stage("stock_holding"),
@@ -436,6 +564,7 @@ QUERIES: dict[str, Query] = {
     "q_pit_inner": pit_inner,
     "q_pit_left": pit_left,
     "q_pit_long_history": pit_long_history,
+    "q_pit_repeated_versions": pit_repeated_versions,
     "q_enrich_city": _enrich("city"),
     "q_enrich_customer": _enrich("customer"),
     "q_enrich_supplier": _enrich("supplier"),
@@ -457,12 +586,19 @@ QUERIES: dict[str, Query] = {
     "q_lookup_long_history": lookup_long_history,
     "q_lookup_overlapping": lookup_overlapping,
     "q_lookup_append_only": lookup_append_only,
+    "q_lookup_two_keys": lookup_two_keys,
     "q_fct_order": fct_order,
     "q_fct_sale": _fact("sale", "city", "customer", "stock_item", "employee"),
     "q_fct_transaction": _fact("transaction", "customer", "supplier", "transaction_type", "payment_method"),
     "q_fct_movement": _fact("movement", "stock_item", "customer", "supplier", "transaction_type"),
     "q_fct_purchase": _fact("purchase", "supplier", "stock_item"),
-    "q_fct_stock_holding": fct_stock_holding,
+    "q_fct_stock_holding": _fact("stock_holding", "stock_item"),
+    "q_fct_stock_holding_now": fct_stock_holding_now,
+    "q_read_source": read_source_query,
+    "q_read_seed": read_seed_query,
+    "q_write_table": write_table_query,
+    "q_layer_path": layer_path_query,
+    "q_build_warehouse": build_warehouse_query,
     "q_incremental_filter": incremental_filter_query,
     "q_watermark_max": watermark_max,
     "q_merge_upsert": merge_upsert_query,

@@ -11,15 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimspark.functions.scalars import with_default
-from dimspark.operators.incremental import incremental_scd2
+from dimspark.operators.incremental import incremental_scd2, load_scd2
 from dimspark.operators.versions import version_dimension
 
 
+def _cities(versions: DataFrame) -> DataFrame:
+    return versions.withColumn("latest_recorded_population", with_default(F.col("latest_recorded_population"), 0))
+
+
 def dim_city(versions: DataFrame, target: DataFrame | None = None, mode: str = "append_only") -> DataFrame:
     """City dimension from ``city_versions``; with a ``target``, its content after an incremental load."""
-    population = with_default(F.col("latest_recorded_population"), 0)
-    versions = versions.withColumn("latest_recorded_population", population)
-    return incremental_scd2(target, versions, "wwi_city_id", "city_key", mode=mode)
+    return incremental_scd2(target, _cities(versions), "wwi_city_id", "city_key", mode=mode)
+
+
+def load_city(spark: SparkSession, path: str, versions: DataFrame) -> DataFrame:
+    """Load ``city_versions`` into the city dimension at ``path``; only new rows are written."""
+    return load_scd2(spark, path, _cities(versions), "wwi_city_id", "city_key")
 
 
 def dim_customer(versions: DataFrame) -> DataFrame:

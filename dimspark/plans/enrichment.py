@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from dimspark.functions.scalars import with_default
 from dimspark.operators.histories import measure, periods
+from dimspark.operators.joins import left_join
 from dimspark.operators.temporal import point_in_time_join
 from dimspark.operators.versions import scd2_close
 from dimspark.plans.staging import int_of, timestamp_of
@@ -37,7 +38,7 @@ def _as_of_start(base: DataFrame, lookups: dict[str, DataFrame], how: str) -> Da
 def _contact(base: DataFrame, people: DataFrame, key: str) -> DataFrame:
     """Plain join: a person with several rows multiplies the base row."""
     persons = people.select(int_of(people, "personid").alias("_person"), F.col("fullname").alias("_contact"))
-    return base.join(persons, F.col(key) == F.col("_person"), "left").drop("_person")
+    return left_join(base, persons, key, "_person").drop("_person")
 
 
 def city_versions(stg_city: DataFrame, state_provinces: DataFrame, countries: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ joins compare bare columns.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,7 @@ from dimspark.functions.scalars import (
     typed_null,
     with_default,
 )
+from dimspark.operators.joins import left_join
 
 
 def int_of(df: DataFrame, column: str) -> Column:
@@ -34,10 +37,6 @@ def date_of(df: DataFrame, column: str) -> Column:
     return safe_date(df[column], df.schema[column].dataType)
 
 
-def _is_decimal(df: DataFrame, column: str) -> bool:
-    return isinstance(df.schema[column].dataType, T.DecimalType)
-
-
 def stage_city(cities: DataFrame) -> DataFrame:
     return cities.select(
         F.col("cityid").alias("wwi_city_id"),
@@ -167,18 +166,55 @@ def _packages(package_types: DataFrame) -> DataFrame:
     return package_types.select(F.col("packagetypeid").alias("_package"), F.col("packagetypename").alias("_package_name"))
 
 
+_INTEGER_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+_MOST_DIGITS = 38
+
+
+def _digits(df: DataFrame, column: str) -> tuple[int, int] | None:
+    """Precision and scale of an exact number column, None for other types."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType):
+        return kind.precision, kind.scale
+    digits = _INTEGER_DIGITS.get(type(kind))
+    return (digits, 0) if digits else None
+
+
+def _product(a: Column, a_digits: tuple[int, int], b: Column, b_digits: tuple[int, int]) -> tuple[Column, tuple[int, int]]:
+    """The exact product of two decimals.
+
+    Spark gives up fractional digits of a product of more than 38 digits. The first
+    factor is narrowed instead, by whole digits only: a value that doesn't fit fails.
+    """
+    scale, room = a_digits[1] + b_digits[1], _MOST_DIGITS - 1 - b_digits[0]
+    if min(a_digits[0], room) < a_digits[1] or scale > _MOST_DIGITS:
+        raise ValueError(f"a product of decimals {a_digits} and {b_digits} does not fit {_MOST_DIGITS} digits")
+    precision = min(a_digits[0], room)
+    product = a.cast(f"decimal({precision},{a_digits[1]})") * b.cast(f"decimal({b_digits[0]},{b_digits[1]})")
+    return product, (precision + b_digits[0] + 1, scale)
+
+
 def _net_and_tax(lines: DataFrame) -> tuple[Column, Column, Column]:
     """Net, tax and gross amount of an order line.
 
-    Decimals are narrowed first: Spark would otherwise give up digits of the
-    product to stay within 38, where nine fractional digits are due.
+    Exact for decimals and integers, with nine fractional digits or as many more as
+    the factors bring; in floating point if any factor is.
     """
-    net, rate = F.col("quantity") * F.col("unitprice"), F.col("taxrate")
-    if not _is_decimal(lines, "unitprice"):
+    names = ("quantity", "unitprice", "taxrate")
+    digits = [_digits(lines, name) for name in names]
+    if None in digits or not any(isinstance(lines.schema[name].dataType, T.DecimalType) for name in names):
+        quantity, price, rate = (F.col(name).cast("double") if None in digits else F.col(name) for name in names)
+        net = quantity * price
         return net, net * rate / 100, net * (1 + rate / 100)
-    net, rate = net.cast("decimal(22,2)"), rate.cast("decimal(9,3)")
-    tax = net * rate / 100
-    return tuple(c.cast("decimal(38,9)") for c in (net, tax, net + tax))
+    net, net_digits = _product(F.col("quantity"), digits[0], F.col("unitprice"), digits[1])
+    # A hundredth of the rate has two more fractional digits.
+    precision, scale = digits[2][0] + 2, digits[2][1] + 2
+    if precision + 1 > _MOST_DIGITS:
+        raise ValueError(f"a tax rate of {digits[2]} digits is too long")
+    share = (F.col("taxrate") * F.lit(Decimal("0.01"))).cast(f"decimal({precision},{scale})")
+    tax, (_, tax_scale) = _product(net, net_digits, share, (precision, scale))
+    kind = f"decimal({_MOST_DIGITS},{max(9, tax_scale)})"
+    net, tax = net.cast(kind), tax.cast(kind)
+    return net, tax, (net + tax).cast(kind)
 
 
 def stage_order(orders: DataFrame, order_lines: DataFrame, customers: DataFrame, package_types: DataFrame) -> DataFrame:
@@ -210,7 +246,7 @@ def stage_order(orders: DataFrame, order_lines: DataFrame, customers: DataFrame,
     )
     return (
         lines.join(headers, F.col("_order") == F.col("wwi_order_id"))
-        .join(_packages(package_types), F.col("packagetypeid") == F.col("_package"), "left")
+        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package"))
         .select(
             "wwi_order_id",
             "wwi_backorder_id",
@@ -250,8 +286,8 @@ def stage_purchase(
     items = stock_items.select(F.col("stockitemid").alias("_item"), F.col("quantityperouter").alias("_per_outer"))
     return (
         lines.join(headers, F.col("_order") == F.col("wwi_purchase_order_id"))
-        .join(items, F.col("wwi_stock_item_id") == F.col("_item"), "left")
-        .join(_packages(package_types), F.col("packagetypeid") == F.col("_package"), "left")
+        .transform(lambda df: left_join(df, items, "wwi_stock_item_id", "_item"))
+        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package"))
         .select(
             "date_key",
             "wwi_supplier_id",
@@ -293,8 +329,8 @@ def stage_sale(
     chilled = with_default(F.col("_chiller"), 0) != 0
     return (
         lines.join(headers, F.col("_invoice") == F.col("wwi_invoice_id"))
-        .join(items, F.col("wwi_stock_item_id") == F.col("_item"), "left")
-        .join(_packages(package_types), F.col("packagetypeid") == F.col("_package"), "left")
+        .transform(lambda df: left_join(df, items, "wwi_stock_item_id", "_item"))
+        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package"))
         .select(
             "invoice_date_key",
             "delivery_date_key",

@@ -9,7 +9,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from dimspark.plans import dimensions, enrichment, facts, staging
-from dimspark.sources.shared import store
+from dimspark.session import require_settings
+from dimspark.sources.shared import scratch
 
 Writer = Callable[[str, DataFrame], DataFrame]
 
@@ -31,9 +32,13 @@ def write_all(plans: Mapping[str, Callable[[], DataFrame]], write: Writer) -> di
         return dict(zip(plans, pool.map(build, plans), strict=True))
 
 
-def store_all(plans: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-    """``write_all`` into the shared folder."""
-    return write_all(plans, lambda _, df: store(df))
+def plan_all(plans: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Build independent models at the same time without writing them.
+
+    A dimension's sorted rows are written while it is built; what remains to do for
+    a reader is a join with one row per slice.
+    """
+    return write_all(plans, lambda _, df: df)
 
 
 def dimension_plans(
@@ -107,9 +112,14 @@ def build_warehouse(
 ) -> dict[str, DataFrame]:
     """Build and write all dimensions, then all facts; returns ``dim_*`` and ``fct_*`` tables.
 
-    ``write`` must not replace the table that ``stored_city`` reads.
+    ``write`` must not replace the table that ``stored_city`` reads. Intermediate
+    tables are removed at the end, also if a model fails. The session's settings
+    are checked first.
     """
-    dims = write_all(dimension_plans(src, stored_city), lambda name, df: write(f"dim_{name}", df))
-    facts_written = write_all(fact_plans(src, dims, as_of), lambda name, df: write(f"fct_{name}", df))
+    spark = SparkSession.getActiveSession()
+    require_settings(spark)
+    with scratch(spark):
+        dims = write_all(dimension_plans(src, stored_city), lambda name, df: write(f"dim_{name}", df))
+        facts_written = write_all(fact_plans(src, dims, as_of), lambda name, df: write(f"fct_{name}", df))
     tables = {f"dim_{name}": df for name, df in dims.items()}
     return tables | {f"fct_{name}": df for name, df in facts_written.items()}

@@ -9,6 +9,8 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from check import TABLES, normal
+from dimspark.checks.oracles import ORACLES
+from dimspark.checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -22,14 +24,15 @@ def duck():
     return connection
 
 
-def test_every_query_has_its_sql():
-    assert spark_entry.queries().keys() == spark_entry.oracle_sql().keys()
+def test_every_query_has_its_sql_and_is_registered():
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= spark_entry.queries().keys() and ORACLES.keys() <= spark_entry.oracle_sql().keys()
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, duck, name):
-    found = spark_entry.queries()[name](spark, SF_DIR)
-    expected = duck.sql(spark_entry.oracle_sql()[name])
+    found = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLES[name])
     rows = normal(pd.DataFrame([tuple(r) for r in found.collect()], columns=found.columns, dtype=object))
     assert sorted(found.columns) == sorted(expected.columns)
     assert rows == normal(pd.DataFrame(expected.fetchall(), columns=expected.columns, dtype=object))
