@@ -86,14 +86,12 @@ class Block:
             for at in range(max(len(numbers) - window, 0) + 1):
                 windows.setdefault(tuple(numbers[at : at + window]), set()).add(item)
         self.windows = [(np.array(w, dtype=np.uint64), sorted(items)) for w, items in windows.items()]
+        self.widths = sorted({self.width(len(w)) for w, _ in self.windows})
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
 
     def width(self, length: int) -> int:
         return min(self.shingle, length)
 
-    def widths(self) -> list[int]:
-        return sorted({self.width(len(w)) for w, _ in self.windows})
-
     def shingles(self) -> np.ndarray:
         """The distinct shingles of all windows, sorted."""
         parts = [_shingles(w, self.width(len(w))) for w, _ in self.windows]
@@ -105,7 +103,7 @@ class Block:
         def of(text: str) -> np.ndarray:
             numbers = _numbers(words_of(text), self.vocabulary)
             found = []
-            for width in self.widths():
+            for width in self.widths:
                 hashes = _shingles(numbers, width)[_known(numbers, width)]
                 places = np.minimum(np.searchsorted(shingles, hashes), len(shingles) - 1)
                 found.append(places[shingles[places] == hashes])
@@ -130,7 +128,7 @@ class Block:
                 return len(words), [], []
             numbers = _numbers(words, self.vocabulary)
             hit, items = np.zeros(len(words), dtype=bool), set()
-            for width in self.widths():
+            for width in self.widths:
                 known = _known(numbers, width)
                 hashes = _shingles(numbers, width)[known]
                 places = np.minimum(np.searchsorted(index, hashes), len(index) - 1)
