@@ -3,7 +3,9 @@
 Every row gets a hash-random key. The rows are sorted by source and key across
 range partitions, running totals of sizes are carried over partition borders, and
 each source is cut exactly where its budget ends. A budget above the source's size
-takes whole epochs first and cuts the next one.
+takes whole epochs first and cuts the next one. Only sizes and positions go through
+the running totals; they give one cut position for each source, with which the rows
+are read once more.
 
 Defined results: a NULL text has size 0 and takes nothing; a NULL source is a
 source, the last one; equal rows may swap what they take; an empty table gives an
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from dimspark.llm.slices import with_number, with_sum_before
 from dimspark.llm.text import ROW, packed, random_key, unpacked, whole_text, word_count
-from dimspark.operators.ordering import order_rows
+from dimspark.operators.ordering import POSITION, SLICE, order_rows
 from dimspark.sources.shared import store
 
 ADDED = ["size", "source_size", "target", "taken"]
@@ -88,20 +90,30 @@ def _mixed(
         random_key(seed, F.col(identity), whole_text(text)).alias("_key"),
     )
     ordered = order_rows(rows, [F.col("_source").isNull(), F.col("_source"), F.col("_key")])
-    targets = source_targets(ordered.select("_source", "size"), weights, most_epochs)
-    targets = targets.select(
-        F.col("_source").alias("_of"), "source_size", "target", F.floor("target").alias("_goal")
-    ).withColumns(
+    narrow = ordered.select(SLICE, POSITION, "_source", "size")
+    targets = source_targets(narrow.select("_source", "size"), weights, most_epochs)
+    budgets = targets.withColumn("_goal", F.floor("target")).withColumns(
         {
             "_epochs": F.expr("if(source_size = 0, 0, _goal div source_size)"),
             "_rest": F.expr("if(source_size = 0, 0, _goal % source_size)"),
         }
     )
-    placed = with_sum_before(ordered, "_source", F.col("size"), "_before_it")
-    cut = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before_it")))
-    taken = (F.col("_epochs") * F.col("size") + cut).cast("long")
-    joined = placed.join(targets, F.col("_source").eqNullSafe(F.col("_of")))
-    return joined.select(ROW, "size", "source_size", "target", taken.alias("taken"))
+    budgets = store(budgets.select(F.col("_source").alias("_of"), "source_size", "target", "_epochs", "_rest"))
+    # The cut of a source is the one row that its rest reaches but doesn't exceed.
+    of_source = F.col("_source").eqNullSafe(F.col("_of"))
+    placed = with_sum_before(narrow, "_source", F.col("size"), "_before_it").join(budgets, of_source)
+    reached = (F.col("_before_it") <= F.col("_rest")) & (F.col("_rest") < F.col("_before_it") + F.col("size"))
+    cuts = placed.where(reached).select("_of", F.col(POSITION).alias("_cut"), (F.col("_rest") - F.col("_before_it")).alias("_part"))
+    # One row for each source, joined to the rows in whatever way their size asks for.
+    plan = store(
+        budgets.join(cuts.withColumnRenamed("_of", "_at"), F.col("_of").eqNullSafe(F.col("_at")), "left").select(
+            "_of", "source_size", "target", "_epochs", "_cut", "_part"
+        )
+    )
+    place = F.col(POSITION)
+    last = F.when(place < F.col("_cut"), F.col("size")).when(place == F.col("_cut"), F.col("_part")).otherwise(0)
+    taken = (F.col("_epochs") * F.col("size") + last).cast("long")
+    return ordered.join(plan, of_source).select(ROW, "size", "source_size", "target", taken.alias("taken"))
 
 
 def mix(
