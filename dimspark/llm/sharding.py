@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from dimspark.llm.slices import with_number, with_rank
 from dimspark.llm.text import ROW, packed, random_key, unpacked, whole_text
 from dimspark.operators.ordering import order_rows
+from dimspark.sources.shared import scratch
 
 ADDED = ["shard", "slot"]
 
@@ -42,9 +43,12 @@ def shard(
         (F.col(key) if key else random_key(seed, F.col(identity), whole_text(text))).alias("_key"),
     )
     by_source = [F.col("_source").isNull(), F.col("_source"), F.col("_key")]
-    ranked = with_rank(order_rows(rows, by_source), "_source", "_rank", "_of")
     share = ((F.col("_rank") + F.lit(0.5)) / F.col("_of")).alias("_share")
-    interleaved = order_rows(ranked.select(ROW, "_source", "_key", share), [F.col("_share"), *by_source])
+    # The first order is needed only until the second is written.
+    with scratch(docs.sparkSession) as first:
+        ranked = with_rank(order_rows(rows, by_source), "_source", "_rank", "_of")
+        with first.suspended():
+            interleaved = order_rows(ranked.select(ROW, "_source", "_key", share), [F.col("_share"), *by_source])
     placed = with_number(interleaved, "_number", "_rows")
     cut = placed.withColumn("shard", F.expr(f"cast((_number * {shards}) div _rows as int)"))
     # Shard s begins at the smallest number n with n * shards >= s * rows.

@@ -1,8 +1,9 @@
 """Places and running totals over a table sorted into slices.
 
 ``order_rows`` (see its module) sorts a table across range partitions. The tables
-joined here have one row per slice, or one per slice and group; the second kind
-has no proven size, so the planner chooses that join.
+joined here have one row per slice, or one per slice and group. The second kind has
+no proven size; it is written, so that the planner knows its size and broadcasts it
+only if that is small.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimspark.operators.ordering import POSITION, SLICE, across_slices, place_in_slice
+from dimspark.sources.shared import store
 
 _EARLIER = (Window.unboundedPreceding, -1)
 
@@ -34,7 +36,7 @@ def with_number(ordered: DataFrame, number: str, total: str | None = None) -> Da
 
 
 def _joined(ordered: DataFrame, spans: DataFrame, group: str) -> DataFrame:
-    spans = spans.withColumnsRenamed({SLICE: "_on_slice", group: "_on_group"})
+    spans = store(spans.withColumnsRenamed({SLICE: "_on_slice", group: "_on_group"}))
     same = (F.col(SLICE) == F.col("_on_slice")) & F.col(group).eqNullSafe(F.col("_on_group"))
     return ordered.join(spans, same).drop("_on_slice", "_on_group")
 
