@@ -1,11 +1,16 @@
 """From raw documents to shards, in five stages.
 
 Each stage takes the documents that the one before kept, and all but the last
-return the columns of ``documents``.
+return the columns of ``documents``. What a stage returns is written, and read
+again by the next; tables that a stage has stored on its way are removed when the
+next one begins.
 """
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from dimspark.llm.decontamination import decontaminate
@@ -14,30 +19,54 @@ from dimspark.llm.quality import judge
 from dimspark.llm.queries import table
 from dimspark.llm.sharding import shard
 from dimspark.llm.simhash import one_of_each
-from dimspark.sources.shared import store
+from dimspark.sources.shared import Scratch, collected, store
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+_left_behind: list[Scratch] = []
+
+
+def _tidy(stage: Stage) -> Stage:
+    """Remove the tables of the stage before, whose result has been written when this one begins."""
+
+    @functools.wraps(stage)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        while _left_behind:
+            _left_behind.pop().remove(spark)
+        with collected() as own:
+            result = stage(spark, docs, sf_dir)
+        _left_behind.append(own)
+        return result
+
+    return begin
 
 
+@_tidy
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     return judge(docs, table(spark, sf_dir, "labels")).where("kept").select(*docs.columns)
 
 
+@_tidy
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return one_of_each(docs)
 
 
+@_tidy
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated by the benchmark."""
     judged = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return judged.where("NOT contaminated").select(*docs.columns)
 
 
+@_tidy
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix, whole, as often as the mix takes them."""
     return mixed_documents(docs)
 
 
+@_tidy
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their shard and slot."""
     return shard(docs)
