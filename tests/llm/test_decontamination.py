@@ -33,7 +33,7 @@ def test_windows_equal_the_plain_version(spark, tables):
     assert found(spark, *tables) == expected(*tables)
 
 
-@pytest.mark.parametrize("block_words", [1, 40])
+@pytest.mark.parametrize("block_words", [60, 250])
 def test_blocks_of_a_large_benchmark_give_the_same(spark, tables, block_words):
     assert found(spark, *tables, block_words=block_words) == expected(*tables)
 

@@ -38,7 +38,7 @@ LINKED = "aws_access_key_id = AKIAIOSFODNN7EX\naws_secret_access_key = wJalrXUtn
         ("user: bob99" + "\n" * 6 + "password: hunter2", ""),
         ("user: bob99 " + "x" * 600 + " password: hunter2", ""),
         ("login=carol7 Zx81kQ9vLm20aPq4Rt7w", "id:0:12,secret:13:33"),
-        ("login=carol7 aaaaaaaaaaaaaaaaaaaaaaaa", ""),
+        ("login=carol7 zzzzzzzzzzzzzzzzzzzzzzzz", ""),
         ("ASIAABCDEFGH1234 secret = 'abcdefgh123456'", "id:0:16,assign:17:41"),
     ],
 )

@@ -30,7 +30,7 @@ def reached(links, nodes):
     return {n: find(n) for n in nodes}
 
 
-@pytest.mark.parametrize("radius, level", itertools.product([1, 2, 3], range(simhash.LEVELS)))
+@pytest.mark.parametrize("radius, level", list(itertools.product([1, 2, 3], range(simhash.LEVELS))))
 def test_masks_cover_every_set_of_positions(radius, level):
     masks = [m & ((1 << 64) - 1) for m in simhash.covering_masks(radius, level)]
     assert len(masks) == 2 ** (radius + 1) - 1
