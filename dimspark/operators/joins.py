@@ -29,6 +29,6 @@ def same_id(left: DataFrame, left_id: str, right_id: str, columns: list[str] | N
     return plain if spread is None else (spread == F.col(right_id)) & plain
 
 
-def left_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
-    """``left`` with the columns of ``right`` where the ids are equal."""
-    return left.join(right, same_id(left, left_id, right_id), "left")
+def left_join(left: DataFrame, right: DataFrame, left_id: str, right_id: str, spread_by: list[str]) -> DataFrame:
+    """``left`` with the columns of ``right`` where the ids are equal; rows without an id are spread by ``spread_by``."""
+    return left.join(right, same_id(left, left_id, right_id, spread_by), "left")

@@ -51,6 +51,8 @@ def with_next(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> DataF
         .agg(F.count("*").alias("_rows"), head.alias("_head"))
         .select(SLICE, _rows_before().alias("_before"), F.lead("_head").over(across_slices()).alias("_following"))
     )
+    # One row per slice; every reader of the versions needs them, so they are found once.
+    slices = df.sparkSession.createDataFrame(slices.collect(), slices.schema)
     following = F.when(
         F.col("_following.key").eqNullSafe(F.col(key)) & F.col("_following").isNotNull(),
         F.struct(F.col("_following.start").alias("start")),

@@ -38,7 +38,7 @@ def _as_of_start(base: DataFrame, lookups: dict[str, DataFrame], how: str) -> Da
 def _contact(base: DataFrame, people: DataFrame, key: str) -> DataFrame:
     """Plain join: a person with several rows multiplies the base row."""
     persons = people.select(int_of(people, "personid").alias("_person"), F.col("fullname").alias("_contact"))
-    return left_join(base, persons, key, "_person").drop("_person")
+    return left_join(base, persons, key, "_person", ["valid_from"]).drop("_person")
 
 
 def city_versions(stg_city: DataFrame, state_provinces: DataFrame, countries: DataFrame) -> DataFrame:

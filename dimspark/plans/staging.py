@@ -246,7 +246,7 @@ def stage_order(orders: DataFrame, order_lines: DataFrame, customers: DataFrame,
     )
     return (
         lines.join(headers, F.col("_order") == F.col("wwi_order_id"))
-        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package"))
+        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package", ["wwi_order_id"]))
         .select(
             "wwi_order_id",
             "wwi_backorder_id",
@@ -286,8 +286,8 @@ def stage_purchase(
     items = stock_items.select(F.col("stockitemid").alias("_item"), F.col("quantityperouter").alias("_per_outer"))
     return (
         lines.join(headers, F.col("_order") == F.col("wwi_purchase_order_id"))
-        .transform(lambda df: left_join(df, items, "wwi_stock_item_id", "_item"))
-        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package"))
+        .transform(lambda df: left_join(df, items, "wwi_stock_item_id", "_item", ["_order"]))
+        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package", ["_order"]))
         .select(
             "date_key",
             "wwi_supplier_id",
@@ -329,8 +329,8 @@ def stage_sale(
     chilled = with_default(F.col("_chiller"), 0) != 0
     return (
         lines.join(headers, F.col("_invoice") == F.col("wwi_invoice_id"))
-        .transform(lambda df: left_join(df, items, "wwi_stock_item_id", "_item"))
-        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package"))
+        .transform(lambda df: left_join(df, items, "wwi_stock_item_id", "_item", ["_invoice"]))
+        .transform(lambda df: left_join(df, _packages(package_types), "packagetypeid", "_package", ["_invoice"]))
         .select(
             "invoice_date_key",
             "delivery_date_key",

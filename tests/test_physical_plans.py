@@ -47,3 +47,66 @@ def test_scans_read_only_what_is_needed(spark):
 def test_filters_reach_the_scan(spark):
     text = plan(queries.cutoff_window_query(spark, SF_DIR))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate" in text
+
+
+@pytest.fixture
+def stored(monkeypatch):
+    """Plans of the tables that are written on the way."""
+    from dimspark.operators import lookup, ordering, temporal
+
+    plans, write = [], ordering.store
+
+    def note(df):
+        plans.append(plan(df))
+        return write(df)
+
+    for module in (ordering, lookup, temporal):
+        monkeypatch.setattr(module, "store", note)
+    return plans
+
+
+@pytest.mark.parametrize("name", ["q_scd2_close", "q_dim_customer", "q_dense_key"])
+def test_versions_are_shuffled_once_to_close_and_number_them(spark, stored, name):
+    result = plan(queries.QUERIES[name](spark, SF_DIR))
+    ordered = [p for p in stored if "rangepartitioning" in p]
+    assert len(ordered) == 1 and ordered[0].count("rangepartitioning") == 1
+    # What is left for the reader is one row per slice; the versions are not shuffled again.
+    assert "hashpartitioning(_slice" not in result.replace("#", " ").split("Window")[0]
+    assert "Window" not in result.split("BroadcastExchange")[0] and "SortMergeJoin" not in result
+
+
+def test_a_fact_is_evaluated_once_for_long_histories(spark, stored):
+    from dimspark.checks.bindings import Sources
+    from dimspark.operators.histories import LONGEST_JOINED
+    from dimspark.plans.warehouse import fact_plans, plan_all
+
+    plans = queries._dimension_plans(spark, SF_DIR)
+    dims = plan_all({name: plans[name] for name in ("city", "customer", "stock_item", "employee")})
+    stored.clear()
+    spark.conf.set(LONGEST_JOINED[0], "0")
+    try:
+        result = plan(fact_plans(Sources(spark, SF_DIR), dims)["order"]())
+    finally:
+        spark.conf.unset(LONGEST_JOINED[0])
+    assert sum("lineitem.parquet" in p and "orders.parquet" in p for p in [*stored, result]) == 1
+    # Salesperson and picker share one order of moments and versions: four dimensions, four orders.
+    assert sum("rangepartitioning" in p for p in stored) == 4
+
+
+def test_a_dimension_is_stored_once(spark, stored):
+    queries.QUERIES["q_fct_movement"](spark, SF_DIR)
+    assert len(stored) == 4
+
+
+def test_broadcasts_share_a_budget_of_bytes(spark):
+    from dimspark.operators.histories import BROADCAST_BYTES
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set(BROADCAST_BYTES[0], str(64 * 100))
+    try:
+        text = plan(queries.QUERIES["q_fct_transaction"](spark, SF_DIR))
+    finally:
+        spark.conf.unset(BROADCAST_BYTES[0])
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Types and payment methods fit; customers and suppliers are shuffled.
+    assert "SortMergeJoin" in text and text.count("BroadcastHashJoin") >= 2
