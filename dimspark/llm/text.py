@@ -59,7 +59,7 @@ def per_text(
     each text. The rows stay in their partitions and arrive in Arrow batches, so
     a task holds one batch besides what ``build`` keeps.
     """
-    added = T._parse_datatype_string(", ".join(f"`{name}` {kind}" for name, kind in fields))
+    added = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields))
     kept = [c for c in df.columns if keep_text or c != text]
     schema = T.StructType([*[df.schema[c] for c in kept], *added.fields])
     types = [to_arrow_type(f.dataType) for f in added.fields]
