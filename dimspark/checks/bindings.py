@@ -8,11 +8,14 @@ their place where a model is to be built from them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from dimspark.sources import store
+
 # The two periods given to each state, country, category and group.
 FIRST_PERIOD_START = "1990-01-01 00:00:00.0000000"
 SECOND_PERIOD_START = "1998-01-01 00:00:00.0000000"
@@ -64,7 +67,7 @@ class Sources(Mapping):
             "Countries": self.countries,
             "Cities": self.cities,
             "Customers": self.customers,
-            "CustomersHistory": self.customers_history,
+            "CustomersHistory": self._written(self.customers_history),
             "CustomerCategories": self.customer_categories,
             "BuyingGroups": self.buying_groups,
             "People": self.people,
@@ -98,6 +101,10 @@ class Sources(Mapping):
     def __len__(self) -> int:
         return len(self._roles)
 
+    def _written(self, role: Callable[[], DataFrame]) -> Callable[[], DataFrame]:
+        """A role that takes a window to derive: written once, as a source would be, since models read it several times."""
+        return functools.cache(lambda: store(role()))
+
     def _table(self, name: str) -> DataFrame:
         if name not in self._tables:
             self._tables[name] = table(self._spark, self._sf_dir, name)

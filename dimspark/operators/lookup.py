@@ -175,7 +175,9 @@ def _add_keys(keyed: DataFrame, fact: DataFrame, looks: list[Lookup], choice: _C
         moments = [
             fact.select(_bigint(fact, look.fact_id).alias("_id"), F.col(look.at).alias("_at")).dropna() for look in looks
         ]
-        resolved = store(_resolve(reduce(DataFrame.unionByName, moments).distinct(), choice))
+        resolved = _resolve(reduce(DataFrame.unionByName, moments).distinct(), choice)
+        if len(looks) > 1:
+            resolved = store(resolved)
     for look in looks:
         columns = keyed.columns
         fact_id, at = _bigint(keyed, look.fact_id), F.col(look.at)
