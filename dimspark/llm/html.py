@@ -70,6 +70,7 @@ _SIBLINGS = {
 }
 _VOID, _SILENT, _RAW, _BLOCKS, _CUT = map(frozenset, (VOID, SILENT, RAW, BLOCKS, CUT))
 _ROLES, _NAMES = frozenset(CUT_ROLES), frozenset(CUT_NAMES)
+_HEADERS = frozenset("banner header masthead".split())
 _COMMENTS = frozenset("comment comments commentlist replies respond".split())
 
 
@@ -78,7 +79,8 @@ def _is_cut(tag: str, attributes: str, in_main: bool) -> bool:
         return True
     if not attributes or tag in ("main", "body", "html"):
         return False
-    names = _COMMENTS if tag == "article" else _NAMES
+    # Within the main part a header by name is its own, as a header element is.
+    names = _COMMENTS if tag == "article" else _NAMES - _HEADERS if in_main else _NAMES
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):

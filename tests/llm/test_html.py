@@ -28,6 +28,7 @@ def text_of(page):
         ("<article><p title='a>b'>q</p><p data=it's>r</p>1 < 2</article>", "q\nr\n1 < 2"),
         ("<article>t &lt;p&gt; &copy;<svg><title>no</title></svg><noscript>no</noscript></article>", "t <p> ©"),
         ("<div id=comments><article>c</article></div><main>m</main>", "m"),
+        ("<div class=header>no</div><article><div class='article-header'><h1>T</h1></div><p>x</p><div class=footer>f</div>", "T\nx"),
         ("<article></article>", None),
         ("", None),
         ("<p>no main</p>", None),

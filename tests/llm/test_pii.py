@@ -30,7 +30,7 @@ def test_base_spans_equal_the_plain_version(spark):
     check(rows, pii.find_personal_data(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect())
 
 
-@pytest.mark.parametrize("piece, times", [("1", 100_000), ("1 ", 60_000), ("a", 100_000), ("a@", 30_000), ("1.2.3.4 ", 20_000), ("+1 ", 30_000)])
+@pytest.mark.parametrize("piece, times", [("1", 30_000), ("1 ", 60_000), ("a", 40_000), ("a@", 30_000), ("1.2.3.4 ", 20_000), ("+1 ", 30_000)])
 def test_very_long_texts(spark, piece, times):
     rows = [(1, piece * times)]
     check(rows, pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect())
