@@ -39,6 +39,18 @@ def test_query(spark, duck, name):
     assert rows
 
 
+def test_order_facts_choose_between_versions_of_one_person(spark):
+    from pyspark.sql import functions as F
+
+    from dimspark.checks.queries import _dimension_plans
+
+    people = _dimension_plans(spark, SF_DIR)["employee"]()
+    orders = QUERIES["q_fct_order"](spark, SF_DIR)
+    for role in ("salesperson_key", "picker_key"):
+        found = orders.join(people, F.col(role) == F.col("employee_key")).groupBy("wwi_employee_id")
+        assert found.agg(F.countDistinct("employee_key").alias("n")).agg(F.max("n")).first()[0] > 1
+
+
 def test_entry(spark):
     assert spark_entry.entry(spark).count() > 0
 
