@@ -195,7 +195,7 @@ class Sources(Mapping):
 
     def customers_history(self) -> DataFrame:
         """A customer version per order, in force until the next one."""
-        of_customer = Window.partitionBy("o_custkey").orderBy("o_orderdate")
+        of_customer = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
         orders = self._table("orders").withColumn("_next", F.lead("o_orderdate").over(of_customer))
         return orders.select(
             _text("o_custkey").alias("customerid"),

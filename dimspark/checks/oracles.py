@@ -94,10 +94,10 @@ _MODELS: dict[str, str] = {
         o_custkey // 10 AS bill_to_customer_id, {_int("substr(o_orderpriority, 1, 1)")} AS customer_category_id,
         CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 25 END AS buying_group_id,
         o_custkey // 12 AS primary_contact_personid, o_orderpriority AS postal_code,
-        o_orderdate AS valid_from, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS valid_to
+        o_orderdate AS valid_from, lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS valid_to
         FROM orders""",
     "customer_names": """SELECT o_custkey AS id, 'Customer ' || o_custkey AS name, o_orderdate AS p_from,
-        lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate) AS p_to FROM orders""",
+        lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS p_to FROM orders""",
     "stg_employee": """SELECT user_id AS wwi_employee_id, 'User ' || user_id AS employee, event_type AS preferredname,
         1 AS issalesperson, ts AS validfrom, CAST(NULL AS TIMESTAMP) AS validto FROM events""",
     "stg_payment_method": """SELECT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS wwi_payment_method_id,
