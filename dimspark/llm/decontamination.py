@@ -146,7 +146,11 @@ class Block:
 
 
 def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, int]:
-    """The items cut into pieces that overlap by a window, dealt to blocks of bounded size; the number of blocks."""
+    """The items cut into pieces that overlap by a window, dealt to blocks of bounded size; the number of blocks.
+
+    Pieces are distinct and dealt by all they hold, so that enough blocks part any two of them, also those of one
+    item whose id many rows bear.
+    """
 
     def cut(batches):
         import pyarrow as pa
@@ -158,20 +162,20 @@ def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int) -> tup
                 for at in range(0, max(len(words) - window, 0) + 1, PIECE):
                     part = words[at : at + PIECE + window - 1]
                     if part:
-                        rows.append((item.as_py(), at, len(part), b" ".join(part)))
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
-            names = ["item", "at", "n", "words"]
+                        rows.append((item.as_py(), len(part), b" ".join(part)))
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            kinds = [pa.string(), pa.int64(), pa.binary()]
+            names = ["item", "n", "words"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item IS NOT NULL")
-    pieces = store(named.mapInArrow(cut, "item string, at bigint, n bigint, words binary"))
+    pieces = store(named.mapInArrow(cut, "item string, n bigint, words binary").distinct())
     total = pieces.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     while True:
-        number = F.pmod(F.xxhash64("item", "at"), F.lit(blocks))
+        number = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
         largest = pieces.groupBy(number.alias("b")).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
-        if largest <= 2 * block_words + PIECE:
+        if largest <= 2 * block_words + PIECE + window:
             break
         blocks *= 2
     return pieces.withColumn("block", number), blocks

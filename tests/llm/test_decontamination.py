@@ -1,4 +1,5 @@
 import random
+import signal
 
 import plain
 import pytest
@@ -65,3 +66,30 @@ def test_empty_tables_and_clashing_columns(spark):
     assert decontaminate(docs.limit(0), spark.createDataFrame([(1, "a b")], ITEMS)).count() == 0
     many = decontaminate(docs, spark.createDataFrame([(1, "word1"), (2, "word2")], ITEMS), block_words=1)
     assert many.count() == docs.count() and many.where("_n = 'x'").count() == docs.count()
+
+
+@pytest.mark.parametrize("piece", [4, 20])
+def test_one_id_of_many_rows_is_dealt_to_several_blocks(spark, monkeypatch, piece):
+    from dimspark.llm import decontamination
+
+    def too_long(*_):
+        raise TimeoutError("the benchmark isn't dealt")
+
+    monkeypatch.setattr(decontamination, "PIECE", piece)
+    rng = random.Random(5)
+    items = [(7, " ".join(f"w{rng.randrange(40)}" for _ in range(20))) for _ in range(25)]
+    items += [items[0]] * 20 + [(i, items[1][1]) for i in range(20)]
+    docs = [(i, f"a {text} b") for i, (_, text) in enumerate(items)]
+    before = signal.signal(signal.SIGALRM, too_long)
+    signal.alarm(180)
+    try:
+        pieces, blocks = decontamination.benchmark_blocks(spark.createDataFrame(items, ITEMS), 13, 50)
+        sizes = [r["n"] for r in pieces.groupBy("block").agg({"n": "sum"}).toDF("block", "n").collect()]
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+    assert len(sizes) <= blocks and max(sizes) <= 2 * 50 + piece + 13
+    if piece == 20:
+        some = docs[:3] + docs[-2:]
+        one = decontaminate(spark.createDataFrame(some, DOCS), spark.createDataFrame(items, ITEMS))
+        assert sorted(map(str, (tuple(r) for r in one.select("doc_id", *ADDED).collect()))) == found(spark, some, items, block_words=400)
