@@ -15,9 +15,10 @@ over the documents, with the same result. Documents never move. Long items are c
 into overlapping pieces, so a block never depends on the length of an item.
 
 Defined results: a NULL or empty text, of a document or an item, has no words and
-matches nothing; items with the same text all count; an
-item without an id is none; repeated document rows get a
-row each; an empty benchmark leaves all documents clean.
+matches nothing; items with the same text all count; items
+without an id count like others for hits and contamination, and together as one
+item in ``n_items``, but have no place in ``items_sha256``; repeated document rows
+get a row each; an empty benchmark leaves all documents clean.
 """
 
 from __future__ import annotations
@@ -74,18 +75,23 @@ def _known(numbers: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(known[width:] - known[:-width] == width) if len(numbers) >= width else np.zeros(0, dtype=np.int64)
 
 
+def _ordered(items: set[str | None]) -> list[str | None]:
+    """By id; the item without one is last."""
+    return sorted(items, key=lambda item: (item is None, item or ""))
+
+
 class Block:
     """Windows of some items, and how to find them in a text."""
 
-    def __init__(self, pieces: list[tuple[str, list[bytes]]], window: int, shingle: int):
+    def __init__(self, pieces: list[tuple[str | None, list[bytes]]], window: int, shingle: int):
         self.window, self.shingle = window, shingle
         self.vocabulary: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[str]] = {}
+        windows: dict[tuple[int, ...], set[str | None]] = {}
         for item, words in pieces:
             numbers = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words]
             for at in range(max(len(numbers) - window, 0) + 1):
                 windows.setdefault(tuple(numbers[at : at + window]), set()).add(item)
-        self.windows = [(np.array(w, dtype=np.uint64), sorted(items)) for w, items in windows.items()]
+        self.windows = [(np.array(w, dtype=np.uint64), _ordered(items)) for w, items in windows.items()]
         self.widths = sorted({self.width(len(w)) for w, _ in self.windows})
         self.prefixes: dict[int, list[tuple[int, int]]] = {}
 
@@ -122,7 +128,7 @@ class Block:
         """A function from a text to its number of words, its hit places and the items found."""
         index = np.sort(np.fromiter(self.prefixes, dtype=np.uint64, count=len(self.prefixes)))
 
-        def of(text: str) -> tuple[int, list[int], list[str]]:
+        def of(text: str) -> tuple[int, list[int], list[str | None]]:
             words = words_of(text)
             if not len(index) or not words:
                 return len(words), [], []
@@ -140,7 +146,7 @@ class Block:
                         if fits and np.array_equal(numbers[start : start + len(window)], window):
                             hit[start : start + len(window)] = True
                             items.update(of_items)
-            return len(words), np.flatnonzero(hit).tolist(), sorted(items)
+            return len(words), np.flatnonzero(hit).tolist(), _ordered(items)
 
         return of
 
@@ -168,7 +174,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int) -> tup
             names = ["item", "n", "words"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where("item IS NOT NULL")
+    named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
     pieces = store(named.mapInArrow(cut, "item string, n bigint, words binary").distinct())
     total = pieces.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // block_words))
@@ -213,6 +219,7 @@ def _found(rows: DataFrame, block: Block) -> DataFrame:
 
 
 def _digest(items: Column) -> Column:
+    """Of the ids; an item without one is left out."""
     return F.sha2(F.array_join(items, ","), 256)
 
 

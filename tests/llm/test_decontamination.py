@@ -1,3 +1,4 @@
+import hashlib
 import random
 import signal
 
@@ -93,3 +94,12 @@ def test_one_id_of_many_rows_is_dealt_to_several_blocks(spark, monkeypatch, piec
         some = docs[:3] + docs[-2:]
         one = decontaminate(spark.createDataFrame(some, DOCS), spark.createDataFrame(items, ITEMS))
         assert sorted(map(str, (tuple(r) for r in one.select("doc_id", *ADDED).collect()))) == found(spark, some, items, block_words=400)
+
+
+@pytest.mark.parametrize("block_words", [200_000, 8])
+def test_items_without_an_id_contaminate(spark, block_words):
+    items = [(None, "a b c d"), (None, "e f g h"), (1, "a b c d"), (2, "i j k l")]
+    docs = [(1, "x a b c d y e f g h"), (2, "e f g h"), (3, "i j k l"), (4, "z")]
+    digest = {ids: hashlib.sha256(ids.encode()).hexdigest() for ids in ("", "1", "2")}
+    rows = [(1, 10, 8, 2, digest["1"], True), (2, 4, 4, 1, digest[""], True), (3, 4, 4, 1, digest["2"], True), (4, 1, 0, 0, digest[""], False)]
+    assert found(spark, docs, items, block_words=block_words) == sorted(map(str, rows))
