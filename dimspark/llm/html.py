@@ -10,16 +10,22 @@ streams of cut and open tokens of all pages of a host are taken as one sequence
 suffixes. Sorted by their first ``run`` tokens, the suffixes with equal beginnings
 are neighbours: these classes are the intervals of the host's suffix array whose
 common prefix is ``run`` tokens or longer, and longer repeats are overlapping
-classes. A class that occurs in distinct pages is boilerplate; tokens it covers are
-removed, the runs between them stay. Pages with the same stream count once, so a
-copied page doesn't erase itself.
+classes. A class is repeated if at least ``LEAST_PAGES`` distinct pages and
+``OPEN_SHARE`` of all distinct pages of the host hold it. Repeated classes that follow
+each other make a maximal repeat; its tokens are removed if it is ``LONG`` tokens or
+longer or fills whole blocks, the runs between repeats stay.
+
+Copies and near copies of a page count as one page, so a story in many versions
+doesn't erase itself. Near copies share most of a sketch of the runs of their bodies
+(what isn't cut); candidates meet in bands of it, each is compared with one leader of
+its band, and links are followed to their ends.
 
 The array is sorted by Spark as one aggregation over (host, beginning), so a host
 with a third of all pages is spread like many small ones, and a beginning that all
 its pages share is reduced in the tasks that read it.
 
-Defined results: a NULL or empty html has an empty text; a NULL url has the empty
-host; elements that are never closed end with the page; repeated rows get a row
+Defined results: a NULL or empty html has an empty text; a url without a
+host shares nothing with others; elements that are never closed end with the page; repeated rows get a row
 each; an empty table gives an empty result.
 """
 
@@ -27,16 +33,27 @@ from __future__ import annotations
 
 import html
 import re
+from zlib import crc32
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimspark.llm.text import ROW, packed, per_text, unpacked
+from dimspark.llm.components import components
+from dimspark.llm.text import per_text
 from dimspark.llm.urls import with_host_and_path
 from dimspark.sources.shared import store
 
 RUN = 6
+LONG = 8  # tokens of a repeat that doesn't fill whole blocks
+LEAST_PAGES = 3
+OPEN_SHARE = 0.2
+
+# A sketch has as many values as there are multipliers, in bands of ``BAND``.
+BAND, ALIKE = 4, 16
+_MULTIPLIERS = [np.uint64(xxhash.xxh64_intdigest(str(i).encode()) | 1) for i in range(24)]
+_PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 # Fixed values of HTML: elements by what they do to the text.
 VOID = "area base br col embed hr img input link meta source track wbr".split()
@@ -193,44 +210,102 @@ def main_text(page: str) -> str | None:
     return "\n".join(parts) if parts else None
 
 
-def _streams(page: str) -> tuple[bool, list[str], list[int], int]:
-    """Whether there is main text; the cut and open tokens, the block of each (-1 if cut), and a hash of them."""
-    found = blocks(page)
+def _outer(found: list[tuple[str, str]]) -> tuple[list[str], list[int]]:
+    """The cut and open tokens, and the block of each (-1 if cut)."""
     tokens, places = [], []
     for number, (zone, text) in enumerate(found):
         if zone != "main":
             words = text.split(" ")
             tokens += words
             places += [number if zone == "open" else -1] * len(words)
-    digest = xxhash.xxh64_intdigest("\x00".join(tokens).encode()) >> 1
-    return any(zone == "main" for zone, _ in found), tokens, places, digest
+    return tokens, places
+
+
+def _digest(tokens: list[str]) -> int:
+    return xxhash.xxh64_intdigest("\x00".join(tokens).encode()) >> 1
+
+
+def _streams(page: str) -> tuple[bool, list[str], list[int], int]:
+    """Whether there is main text; the cut and open tokens, the block of each (-1 if cut), and a hash of them."""
+    found = blocks(page)
+    tokens, places = _outer(found)
+    return any(zone == "main" for zone, _ in found), tokens, places, _digest(tokens)
+
 
+def _sketch(tokens: list[str]) -> list[int]:
+    """The smallest hash of all runs, for each multiplier; pages agree in about the share of the runs they share."""
+    if not tokens:
+        return []
+    hashes = np.fromiter((crc32(t.encode()) for t in tokens), dtype=np.uint64, count=len(tokens))
+    n = max(len(tokens) - RUN + 1, 1)
+    runs = np.zeros(n, dtype=np.uint64)
+    for i in range(min(RUN, len(tokens))):
+        runs = (runs ^ hashes[i : i + n]) * _PRIME
+        runs ^= runs >> np.uint64(29)
+    return [int(((runs * m) >> np.uint64(33)).min()) for m in _MULTIPLIERS]
 
-def _unique_runs(tokens: list[str], places: list[int], starts: list[int], run: int) -> str:
-    """The open tokens that no boilerplate run covers, by block."""
-    covered = set()
-    for start in starts:
-        covered.update(range(start, start + run))
+
+def _read(page: str) -> tuple[bool, list[str], list[int], int, list[int]]:
+    """Whether there is main text, the outer tokens and their blocks, and a hash and a sketch of the body."""
+    found = blocks(page)
+    body = [token for zone, text in found if zone != "cut" for token in text.split(" ")]
+    return any(zone == "main" for zone, _ in found), *_outer(found), _digest(body), _sketch(body)
+
+
+def _covered(places: list[int], starts: list[int], run: int) -> set[int]:
+    """The places of tokens in maximal repeats that are long or fill whole blocks."""
+    covered, ordered, first = set(), sorted(starts), 0
+    for i in range(1, len(ordered) + 1):
+        if i < len(ordered) and ordered[i] == ordered[i - 1] + 1:
+            continue
+        low, high = ordered[first], ordered[i - 1] + run
+        whole = (low == 0 or places[low - 1] != places[low]) and (high == len(places) or places[high - 1] != places[high])
+        if whole or high - low >= LONG:
+            covered.update(range(low, high))
+        first = i
+    return covered
+
+
+def _unique_blocks(tokens: list[str], places: list[int], starts: list[int], run: int) -> dict[int, list[str]]:
+    """The open tokens that no boilerplate covers, by block."""
+    covered = _covered(places, starts, run)
     kept: dict[int, list[str]] = {}
     for i, (token, place) in enumerate(zip(tokens, places, strict=True)):
         if place >= 0 and i not in covered:
             kept.setdefault(place, []).append(token)
-    return "\n".join(" ".join(words) for words in kept.values())
+    return kept
 
 
-def boilerplate(streams: DataFrame, run: int) -> DataFrame:
-    """(``_page``, ``starts``): where runs that other pages of the host share begin, for pages without main text."""
+def _with_holders(streams: DataFrame) -> DataFrame:
+    """The pages that have a host, with ``holder``: one number for all copies and near copies of a page on the host."""
+    named = streams.where("host != ''").withColumn("node", F.xxhash64("host", "body"))
+    bands = F.sequence(F.lit(0), F.lit(len(_MULTIPLIERS) // BAND - 1))
+    nodes = named.where(F.size("sketch") > 0).select("host", "node", "sketch").distinct()
+    keyed = nodes.withColumn("band", F.explode(bands)).withColumn(
+        "key", F.xxhash64("host", "band", F.slice("sketch", F.col("band") * BAND + 1, BAND))
+    )
+    leaders = keyed.groupBy("key").agg(F.min(F.struct("node", "sketch")).alias("leader"), F.count("*").alias("n")).where("n > 1")
+    alike = F.size(F.filter(F.zip_with("sketch", "leader.sketch", lambda a, b: a == b), lambda same: same))
+    links = keyed.join(leaders, "key").where(alike >= ALIKE).select(F.col("node").alias("u"), F.col("leader.node").alias("v"))
+    roots = components(links).select("node", "root")
+    return named.join(roots, "node", "left").withColumn("holder", F.coalesce("root", "node")).drop("root", "node")
+
+
+def _repeated(held: DataFrame, sizes: DataFrame, what: str, share: float) -> DataFrame:
+    """(``host``, ``what``) that a share of the host's distinct pages hold."""
+    counted = held.select("host", what, "holder").distinct().groupBy("host", what).agg(F.count("*").alias("n"))
+    counted = counted.where(F.col("n") >= LEAST_PAGES).join(sizes, "host")
+    return counted.where(F.col("n") >= share * F.col("size")).select("host", what)
+
+
+def boilerplate(pages: DataFrame, sizes: DataFrame, run: int) -> DataFrame:
+    """(``_page``, ``starts``): where runs that the host repeats begin, for pages without main text."""
     last = F.size("tokens") - run
     at = F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("at")
-    suffixes = streams.select("_page", "host", "digest", "has_main", "tokens", at)
+    suffixes = pages.select("_page", "host", "holder", "has_main", "tokens", at)
     beginning = F.array_join(F.slice("tokens", F.col("at") + 1, run), " ")
-    suffixes = suffixes.select("_page", "host", "digest", "has_main", "at", F.md5(beginning).alias("beginning"))
-    repeated = (
-        suffixes.groupBy("host", "beginning")
-        .agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
-        .where("low < high")
-        .select("host", "beginning")
-    )
+    suffixes = suffixes.select("_page", "host", "holder", "has_main", "at", F.md5(beginning).alias("beginning"))
+    repeated = _repeated(suffixes, sizes, "beginning", OPEN_SHARE)
     wanted = suffixes.where("NOT has_main")
     return wanted.join(repeated, ["host", "beginning"], "left_semi").groupBy("_page").agg(F.collect_list("at").alias("starts"))
 
@@ -240,19 +315,22 @@ def extract(pages: DataFrame, run: int = RUN) -> DataFrame:
     import pyarrow as pa
 
     rows = pages.select("page_id", "url", "html")
-    fields = [("has_main", "boolean"), ("tokens", "array<string>"), ("places", "array<bigint>"), ("digest", "bigint")]
+    fields = [("has_main", "boolean"), ("tokens", "array<string>"), ("places", "array<bigint>"), ("body", "bigint"), ("sketch", "array<int>")]
     named = with_host_and_path(rows).select("page_id", "url", "host", "html")
     # Written with their numbers, which tell repeated pages apart.
-    streams = store(per_text(named, "html", fields, lambda: _streams).withColumn("_page", F.monotonically_increasing_id()))
+    streams = store(per_text(named, "html", fields, lambda: _read).withColumn("_page", F.monotonically_increasing_id()))
+    held = _with_holders(streams)
+    sizes = held.select("host", "holder").distinct().groupBy("host").agg(F.count("*").alias("size"))
 
     direct = per_text(rows, "html", [("text", "string")], lambda: lambda page: (main_text(page),)).where("text IS NOT NULL")
     others = streams.where("NOT has_main").select("_page", "page_id", "url", "tokens", "places")
-    joined = others.join(boilerplate(streams, run), "_page", "left").select("page_id", "url", "tokens", "places", "starts")
+    joined = others.join(boilerplate(held, sizes, run), "_page", "left").select("page_id", "url", "tokens", "places", "starts")
 
     def keep(batches):
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("tokens", "places", "starts")]
-            texts = [_unique_runs(t, p, s or [], run) for t, p, s in zip(*columns, strict=True)]
+            kept = [_unique_blocks(t, p, s or [], run) for t, p, s in zip(*columns, strict=True)]
+            texts = ["\n".join(" ".join(words) for words in blocks.values()) for blocks in kept]
             arrays = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text"])
 

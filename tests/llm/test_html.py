@@ -100,3 +100,27 @@ def test_nulls_repeats_and_empty_tables(spark):
     found = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in html.extract(df).collect())
     assert found == [("1", "", 0), ("1", "", 0), ("2", "z", 1), ("None", "t", 1)]
     assert html.extract(df.limit(0)).count() == 0
+
+
+def texts_of(spark, pages):
+    """The texts of (url, html) rows."""
+    df = spark.createDataFrame([(i, u, p) for i, (u, p) in enumerate(pages)], SCHEMA).repartition(3)
+    found = {r["page_id"]: r["text"] for r in html.extract(df).collect()}
+    return [found[i] for i in range(len(pages))]
+
+
+def test_versions_quotes_and_pages_without_a_host_keep_their_text(spark):
+    story = " ".join(f"w{i}" for i in range(100))
+    versions = [("http://v.example/a", f"<p>{story}</p>"), ("http://v.example/b", f"<p>{story} updated</p>")]
+    versions += [("http://v.example/c", f"<p>{story.replace(f'w{i}', 'other')}</p>") for i in (20, 50, 80)]
+    rng = random.Random(4)
+    bodies = [" ".join(f"u{rng.randrange(10_000)}" for _ in range(30)) for _ in range(12)]
+    notice = "this site is run by the people of the old mill"
+    news = [("http://q.example/", f"<p>{b}</p><p>{notice}</p><p>all rights are reserved by us</p>") for b in bodies]
+    quote = " ".join(bodies[0].split()[5:20])
+    news.append(("http://q.example/", f"<p>he wrote {quote} yesterday</p><p>{notice}</p>"))
+    unnamed = [(u, f"<p>{b} {story}</p>") for b, u in zip(bodies, [None, "a/b", None, "c", "://x"])]
+    found = texts_of(spark, versions + news + unnamed)
+    assert found[:5] == [p[3:-4] for _, p in versions]
+    assert found[5:18] == [*bodies, f"he wrote {quote} yesterday"]
+    assert found[18:] == [p[3:-4] for _, p in unnamed]
