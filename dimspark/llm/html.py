@@ -3,9 +3,14 @@
 A page is read into blocks of text, each in a zone: ``main`` inside an article or
 main element, ``cut`` inside elements that are menus, headers, footers, sidebars,
 notices, adverts, forms or comments by their tag, role or class, and ``open``
-elsewhere. A page with main blocks returns these, whole.
-
-A page without them returns the open blocks less the boilerplate of its host. The
+elsewhere. Both main and open blocks are judged by the repeats of the page's host, and
+the zone is a weight. A main block goes only if, whole and as a main block, it is in
+``MAIN_SHARE`` of the distinct pages of the host and in ``LEAST_PAGES`` or more. A page
+returns the main blocks that stay; if its open text without boilerplate is longer than
+these (a teaser or a title is marked as main, or nothing is), it returns the open text
+too, in the order of the page.
+
+Boilerplate in open text may begin and end anywhere. The
 streams of cut and open tokens of all pages of a host are taken as one sequence of
 suffixes. Sorted by their first ``run`` tokens, the suffixes with equal beginnings
 are neighbours: these classes are the intervals of the host's suffix array whose
@@ -20,7 +25,7 @@ doesn't erase itself. Near copies share most of a sketch of the runs of their bo
 (what isn't cut); candidates meet in bands of it, each is compared with one leader of
 its band, and links are followed to their ends.
 
-The array is sorted by Spark as one aggregation over (host, beginning), so a host
+The array is sorted by Spark as one aggregation over hosts and beginnings, so a host
 with a third of all pages is spread like many small ones, and a beginning that all
 its pages share is reduced in the tasks that read it.
 
@@ -37,7 +42,7 @@ from zlib import crc32
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimspark.llm.components import components
@@ -49,6 +54,7 @@ RUN = 6
 LONG = 8  # tokens of a repeat that doesn't fill whole blocks
 LEAST_PAGES = 3
 OPEN_SHARE = 0.2
+MAIN_SHARE = 0.5
 
 # A sketch has as many values as there are multipliers, in bands of ``BAND``.
 BAND, ALIKE = 4, 16
@@ -245,11 +251,12 @@ def _sketch(tokens: list[str]) -> list[int]:
     return [int(((runs * m) >> np.uint64(33)).min()) for m in _MULTIPLIERS]
 
 
-def _read(page: str) -> tuple[bool, list[str], list[int], int, list[int]]:
-    """Whether there is main text, the outer tokens and their blocks, and a hash and a sketch of the body."""
+def _read(page: str) -> tuple[list[str], list[int], list[int], list[str], int, list[int]]:
+    """The outer tokens and their blocks, the main blocks and their texts, and a hash and a sketch of the body."""
     found = blocks(page)
+    main = [(number, text) for number, (zone, text) in enumerate(found) if zone == "main"]
     body = [token for zone, text in found if zone != "cut" for token in text.split(" ")]
-    return any(zone == "main" for zone, _ in found), *_outer(found), _digest(body), _sketch(body)
+    return *_outer(found), [n for n, _ in main], [text for _, text in main], _digest(body), _sketch(body)
 
 
 def _covered(places: list[int], starts: list[int], run: int) -> set[int]:
@@ -277,62 +284,92 @@ def _unique_blocks(tokens: list[str], places: list[int], starts: list[int], run:
 
 
 def _with_holders(streams: DataFrame) -> DataFrame:
-    """The pages that have a host, with ``holder``: one number for all copies and near copies of a page on the host."""
-    named = streams.where("host != ''").withColumn("node", F.xxhash64("host", "body"))
+    """The pages that have a host, with ``holder``: one number for all copies and near copies of a page on the host.
+
+    Tables that are joined are written first, so that their sizes are known and small ones are broadcast.
+    """
+    named = streams.where("host != ''").withColumn("node", F.xxhash64("host", "body")).withColumn("site", F.xxhash64("host"))
     bands = F.sequence(F.lit(0), F.lit(len(_MULTIPLIERS) // BAND - 1))
-    nodes = named.where(F.size("sketch") > 0).select("host", "node", "sketch").distinct()
-    keyed = nodes.withColumn("band", F.explode(bands)).withColumn(
-        "key", F.xxhash64("host", "band", F.slice("sketch", F.col("band") * BAND + 1, BAND))
-    )
-    leaders = keyed.groupBy("key").agg(F.min(F.struct("node", "sketch")).alias("leader"), F.count("*").alias("n")).where("n > 1")
-    alike = F.size(F.filter(F.zip_with("sketch", "leader.sketch", lambda a, b: a == b), lambda same: same))
-    links = keyed.join(leaders, "key").where(alike >= ALIKE).select(F.col("node").alias("u"), F.col("leader.node").alias("v"))
-    roots = components(links).select("node", "root")
+    nodes = store(named.where(F.size("sketch") > 0).select("host", "node", "sketch").distinct())
+    key = F.xxhash64("host", "band", F.slice("sketch", F.col("band") * BAND + 1, BAND)).alias("key")
+    keyed = nodes.withColumn("band", F.explode(bands)).select("node", key)
+    leaders = store(keyed.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last"))
+    pairs = store(keyed.join(leaders, "key").where("node > leader").select("node", "leader").distinct())
+    others = nodes.select(F.col("node").alias("leader"), F.col("sketch").alias("other"))
+    alike = F.size(F.filter(F.zip_with("sketch", "other", lambda a, b: a == b), lambda same: same))
+    links = pairs.join(nodes, "node").join(others, "leader").where(alike >= ALIKE)
+    roots = store(components(links.select(F.col("node").alias("u"), F.col("leader").alias("v"))))
     return named.join(roots, "node", "left").withColumn("holder", F.coalesce("root", "node")).drop("root", "node")
 
 
-def _repeated(held: DataFrame, sizes: DataFrame, what: str, share: float) -> DataFrame:
-    """(``host``, ``what``) that a share of the host's distinct pages hold."""
-    counted = held.select("host", what, "holder").distinct().groupBy("host", what).agg(F.count("*").alias("n"))
-    counted = counted.where(F.col("n") >= LEAST_PAGES).join(sizes, "host")
-    return counted.where(F.col("n") >= share * F.col("size")).select("host", what)
+def _held(content: Column) -> Column:
+    """What a host holds, as one short key."""
+    return F.unhex(F.md5(F.concat_ws("\x00", "host", content))).alias("what")
+
+
+def _repeated(held: DataFrame, sizes: DataFrame, share: float) -> DataFrame:
+    """(``what``) that a share of the host's distinct pages hold."""
+    counted = held.select("what", "site", "holder").distinct().groupBy("what", "site").agg(F.count("*").alias("n"))
+    counted = counted.where(F.col("n") >= LEAST_PAGES).join(sizes, "site")
+    return store(counted.where(F.col("n") >= share * F.col("size")).select("what"))
 
 
 def boilerplate(pages: DataFrame, sizes: DataFrame, run: int) -> DataFrame:
-    """(``_page``, ``starts``): where runs that the host repeats begin, for pages without main text."""
+    """(``_page``, ``starts``): where runs that the host repeats begin in the outer tokens."""
     last = F.size("tokens") - run
     at = F.explode(F.when(last >= 0, F.sequence(F.lit(0), last))).alias("at")
-    suffixes = pages.select("_page", "host", "holder", "has_main", "tokens", at)
+    suffixes = pages.select("_page", "host", "site", "holder", "tokens", at)
     beginning = F.array_join(F.slice("tokens", F.col("at") + 1, run), " ")
-    suffixes = suffixes.select("_page", "host", "holder", "has_main", "at", F.md5(beginning).alias("beginning"))
-    repeated = _repeated(suffixes, sizes, "beginning", OPEN_SHARE)
-    wanted = suffixes.where("NOT has_main")
-    return wanted.join(repeated, ["host", "beginning"], "left_semi").groupBy("_page").agg(F.collect_list("at").alias("starts"))
+    suffixes = suffixes.select("_page", "site", "holder", "at", _held(beginning))
+    repeated = _repeated(suffixes, sizes, OPEN_SHARE)
+    return suffixes.join(repeated, "what", "left_semi").groupBy("_page").agg(F.collect_list("at").alias("starts"))
+
+
+def repeated_blocks(pages: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(``_page``, ``gone``): the numbers of the main blocks that a large share of the host's pages hold as such."""
+    block = F.explode(F.arrays_zip("numbers", "main")).alias("block")
+    held = pages.select("_page", "host", "site", "holder", block).select(
+        "_page", "site", "holder", F.col("block.numbers").alias("number"), _held(F.col("block.main"))
+    )
+    repeated = _repeated(held, sizes, MAIN_SHARE)
+    return held.join(repeated, "what", "left_semi").groupBy("_page").agg(F.collect_list("number").alias("gone"))
+
+
+def _text(tokens: list[str], places: list[int], starts: list[int], main: dict[int, str], run: int) -> str:
+    """The main blocks, and the open ones without boilerplate if they are longer."""
+    opened = _unique_blocks(tokens, places, starts, run)
+    parts = dict(main)
+    if sum(map(len, opened.values())) > sum(text.count(" ") + 1 for text in main.values()):
+        parts |= {number: " ".join(words) for number, words in opened.items()}
+    return "\n".join(parts[number] for number in sorted(parts))
 
 
 def extract(pages: DataFrame, run: int = RUN) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every page."""
     import pyarrow as pa
 
-    rows = pages.select("page_id", "url", "html")
-    fields = [("has_main", "boolean"), ("tokens", "array<string>"), ("places", "array<bigint>"), ("body", "bigint"), ("sketch", "array<int>")]
-    named = with_host_and_path(rows).select("page_id", "url", "host", "html")
+    fields = [
+        ("tokens", "array<string>"), ("places", "array<bigint>"), ("numbers", "array<bigint>"), ("main", "array<string>"),
+        ("body", "bigint"), ("sketch", "array<int>"),
+    ]
+    named = with_host_and_path(pages.select("page_id", "url", "html")).select("page_id", "url", "host", "html")
     # Written with their numbers, which tell repeated pages apart.
     streams = store(per_text(named, "html", fields, lambda: _read).withColumn("_page", F.monotonically_increasing_id()))
     held = _with_holders(streams)
-    sizes = held.select("host", "holder").distinct().groupBy("host").agg(F.count("*").alias("size"))
-
-    direct = per_text(rows, "html", [("text", "string")], lambda: lambda page: (main_text(page),)).where("text IS NOT NULL")
-    others = streams.where("NOT has_main").select("_page", "page_id", "url", "tokens", "places")
-    joined = others.join(boilerplate(held, sizes, run), "_page", "left").select("page_id", "url", "tokens", "places", "starts")
+    sizes = store(held.select("site", "holder").distinct().groupBy("site").agg(F.count("*").alias("size")))
+    # Written, so that its size is known: where few pages repeat anything, the texts don't move.
+    repeats = store(boilerplate(held, sizes, run).join(repeated_blocks(held, sizes), "_page", "full"))
+    columns = ["tokens", "places", "starts", "numbers", "main", "gone"]
+    joined = streams.join(repeats, "_page", "left").select("page_id", "url", *columns)
 
     def keep(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("tokens", "places", "starts")]
-            kept = [_unique_blocks(t, p, s or [], run) for t, p, s in zip(*columns, strict=True)]
-            texts = ["\n".join(" ".join(words) for words in blocks.values()) for blocks in kept]
+            texts = []
+            for tokens, places, starts, numbers, main, gone in zip(*[batch.column(c).to_pylist() for c in columns], strict=True):
+                stay = {n: text for n, text in zip(numbers, main, strict=True) if n not in (gone or [])}
+                texts.append(_text(tokens, places, starts or [], stay, run))
             arrays = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(arrays, names=["page_id", "url", "text"])
 
-    cleaned = joined.mapInArrow(keep, direct.schema)
-    return direct.unionByName(cleaned).withColumn("n_chars", F.length("text").cast("bigint"))
+    schema = joined.select("page_id", "url", F.lit("").alias("text")).schema
+    return joined.mapInArrow(keep, schema).withColumn("n_chars", F.length("text").cast("bigint"))

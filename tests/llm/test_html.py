@@ -124,3 +124,17 @@ def test_versions_quotes_and_pages_without_a_host_keep_their_text(spark):
     assert found[:5] == [p[3:-4] for _, p in versions]
     assert found[5:18] == [*bodies, f"he wrote {quote} yesterday"]
     assert found[18:] == [p[3:-4] for _, p in unnamed]
+
+
+def test_repeats_judge_main_blocks_and_open_bodies_stay(spark):
+    rng = random.Random(6)
+    bodies = [" ".join(f"u{rng.randrange(10_000)}" for _ in range(40)) for _ in range(30)]
+    notice = "<div>this site is run by the people of the old mill</div>"
+    inside = [("http://in.example/", f"<article>{notice}<p>{b}</p></article>") for b in bodies[:10]]
+    cards = [("http://cards.example/", f"{notice}<main><h1>t{i}</h1></main><div>{b}</div>") for i, b in enumerate(bodies[10:20])]
+    shared = f"<article><p>{bodies[29]}</p><p>{{}}</p></article>"
+    few = [("http://few.example/", shared.format(b) if i < 3 else f"<article><p>{b}</p></article>") for i, b in enumerate(bodies[20:29])]
+    found = texts_of(spark, inside + cards + few)
+    assert found[:10] == bodies[:10]
+    assert found[10:20] == [f"t{i}\n{b}" for i, b in enumerate(bodies[10:20])]
+    assert found[20:] == [f"{bodies[29]}\n{b}" if i < 3 else b for i, b in enumerate(bodies[20:29])]
