@@ -4,7 +4,8 @@ Base kinds are found by their own form alone: ``assign``, ``access`` and ``hex``
 Besides, weak candidates for the parts of a credential are collected: identifiers
 (``id``), secrets (``secret``) and endpoints (``endpoint``) whose form alone proves
 nothing. Each identifier, weak or an ``access`` match, opens a scope: the lines
-within ``reach_lines`` of its own, at most ``reach_chars`` characters away. The
+within ``reach_lines`` of its own, at most ``reach_chars`` characters away, and the
+whole block of settings, sections and keys it lies in, however long. The
 parts are interval-joined with the scopes, by bisection over their starts. A weak
 identifier or secret is reported only if a scope holds both an identifier and a
 secret, not overlapping, of which base matches may be one; an endpoint only if its
@@ -52,7 +53,14 @@ _ID = re.compile(
 _SHORT = re.compile(
     r"""(?ai:password|passwd|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|token|api[_-]?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,})"""
 )
-_RANDOM = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{20,64}={0,2}(?![A-Za-z0-9+/=_-])")
+# A value may follow a sign of equality; its own end can be padded with one.
+_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/=_-])")
+# A line of a credential file: settings, the head of a section, a bracket, a line of a key, or a comment.
+_SET = r"""["']?[A-Za-z_][A-Za-z0-9_.-]*+["']?[\x20\t]*+[:=][\x20\t]*+(?:"[^"]*+"|'[^']*+'|[^\s;,&"']*+)"""
+_SETTING = re.compile(
+    rf"""\s*+(?:(?:export\s++|-\s++)?[{{\[]?\s*+{_SET}(?:[;,&]\s*+{_SET})*+[;,]?\s*+[}}\]]?,?|\[[^\]]*+\]|[{{}}\[\]],?|[A-Za-z0-9+/_-]{{16,}}+={{0,2}}|[#;].*)\s*"""
+)
+
 _ENDPOINT = re.compile(r"(?ai:https?|ftps?|s3|jdbc:[a-z]+|amqps?|mongodb|postgres(?:ql)?|redis)://[^\s\"'<>]+")
 
 Span = tuple[int, int, str]
@@ -84,13 +92,39 @@ def weak_ids(text: str) -> list[Span]:
 
 def weak_secrets(text: str) -> list[Span]:
     found = [(m.start(), m.end(), "secret") for m in _SHORT.finditer(text)]
-    return found + [(m.start(), m.end(), "secret") for m in _RANDOM.finditer(text) if _mixed(m.group())]
+    drawn = [m for m in _RANDOM.finditer(text) if _mixed(m.group())]
+    # A value right behind the sign of a known label is part of the label's span.
+    labelled = sorted(found + weak_ids(text)) if drawn else []
+    starts = [s[0] for s in labelled]
+
+    def has_label(m: re.Match) -> bool:
+        at = bisect_left(starts, m.start()) - 1
+        return text[m.start() - 1 : m.start()] == "=" and at >= 0 and labelled[at][1] >= m.end()
+
+    return found + [(m.start(), m.end(), "secret") for m in drawn if not has_label(m)]
 
 
 def endpoints(text: str) -> list[Span]:
     return [(m.start(), m.end(), "endpoint") for m in _ENDPOINT.finditer(text)] if "://" in text else []
 
 
+def credential_blocks(text: str) -> list[tuple[int, int]]:
+    """(start, end) of runs of settings and key lines; single blank lines may lie between."""
+    found: list[tuple[int, int]] = []
+    start, end, at, blank, key = None, 0, 0, 0, False
+    for line in text.split("\n"):
+        key = key or line.lstrip().startswith("-----BEGIN ")
+        blank = 0 if line.strip() or key else blank + 1
+        if key or (not blank and _SETTING.fullmatch(line)):
+            start, end = at if start is None else start, at + len(line)
+        elif start is not None and blank != 1:
+            found.append((start, end))
+            start = None
+        key = key and not line.lstrip().startswith("-----END ")
+        at += len(line) + 1
+    return found + ([(start, end)] if start is not None else [])
+
+
 class _Parts:
     """Spans of one role by start, for asking whether any lies in an interval, apart from a given span."""
 
@@ -117,16 +151,24 @@ def linked_spans(text: str, base: list[Span], reach_lines: int = 5, reach_chars:
         return []
     breaks = [m.start() for m in re.finditer("\n", text)]
 
-    def scope(span: Span) -> tuple[int, int]:
+    blocks = credential_blocks(text)
+    heads = [start for start, _ in blocks]
+
+    def near(span: Span) -> tuple[int, int]:
         first = bisect_left(breaks, span[0]) - 1 - reach_lines
         last = bisect_left(breaks, span[1]) + reach_lines
         low = breaks[first] + 1 if first >= 0 else 0
         high = breaks[last] if last < len(breaks) else len(text)
         return max(low, span[0] - reach_chars), min(high, span[1] + reach_chars)
 
-    reported = [s for s in identifiers if keys.within(*scope(s), s)]
-    reported += [s for s in secrets if ids.within(*scope(s), s)]
-    return reported + [s for s in endpoints(text) if ids.within(*scope(s), s) and keys.within(*scope(s), s)]
+    def has(parts: _Parts, span: Span) -> bool:
+        at = bisect_left(heads, span[0] + 1) - 1
+        block = at >= 0 and span[1] <= blocks[at][1]
+        return parts.within(*near(span), span) or (block and parts.within(*blocks[at], span))
+
+    reported = [s for s in identifiers if has(keys, s)]
+    reported += [s for s in secrets if has(ids, s)]
+    return reported + [s for s in endpoints(text) if has(ids, s) and has(keys, s)]
 
 
 def joined(spans: list[Span]) -> str:
