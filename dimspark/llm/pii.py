@@ -2,8 +2,10 @@
 
 Base matches have a form that speaks for itself: email, ip, card and phone. They
 are the seeds of a search for identifiers that have no such form. Every run of
-tokens that looks like an identifier at all is an instance; the words around it are
-its patterns. Instances and patterns make a graph. A pattern of a kind scores by
+tokens that looks like an identifier at all is an instance; of a run that is longer
+than a few tokens, or holds a base match beside others, or a label glued to a value,
+all parts of up to ``WIDEST`` tokens are. The words around an instance are its
+patterns. Instances and patterns make a graph. A pattern of a kind scores by
 the share of its distinct instances that are of the kind, an instance by how many
 scoring patterns hold it (noisy or); a few rounds carry scores through the graph.
 Instances without a base form that end with a high score are reported, as spans,
@@ -20,6 +22,7 @@ without seeds nothing is added; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -45,7 +48,8 @@ SIGNS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 _GAP = r"\x20\x09-\x0D"
 _TOKEN = rf"[^{_GAP}0-9@]*+[0-9@][^{_GAP}]*+"
 RUN = rf"(?<![^{_GAP}]){_TOKEN}(?:\x20{_TOKEN})*+"
-LONGEST = 64  # code points; longer runs are no identifiers
+LABEL = r"^[A-Za-z_-]{2,}[:=](?=.)"  # glued to the value that it names
+WIDEST = 4  # tokens of a part of a run
 
 CONTEXT = 64  # code points on each side in which the neighbouring words are looked for
 
@@ -182,20 +186,74 @@ def _matched(docs: DataFrame) -> DataFrame:
         df = with_matches(df, f"_{kind}", FORMS[kind], sign)
         df = df.withColumn(f"_{kind}", _valid(f"_{kind}", kind))
     df = with_matches(df, "_runs", RUN, F.col("_text").rlike("[0-9@]"), context=True)
-    short = F.filter("_runs", lambda r: F.length(r["value"]) <= LONGEST)
     counts = [F.size(f"_{kind}").cast("bigint").alias(f"n_{kind}") for kind in KINDS]
     base = F.concat(*[_spans(f"_{kind}", kind) for kind in KINDS])
-    return df.select("doc_id", *counts, F.array_sort(base).alias("_base"), short.alias("_runs"))
+    return df.select("doc_id", *counts, F.array_sort(base).alias("_base"), "_runs")
 
 
-def _instances(rows: DataFrame) -> DataFrame:
-    """One row for each run: its place, its ``value`` without marks around it, its base kind, and its patterns."""
+def _seed(value: Column, matches: Callable[[Column, Column], Column]) -> Column:
+    """The first kind of which ``value`` has a valid match that ``matches``, as a place in ``KINDS``."""
+    seed = F.lit(None).cast("int")
+    for place, kind in reversed(list(enumerate(KINDS))):
+        first = F.regexp_extract(value, FORMS[kind], 0)
+        seed = F.when((first != "") & is_valid(kind, first) & matches(first, value), place).otherwise(seed)
+    return seed
+
+
+def _bare(value: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(value, r"^[^A-Za-z0-9+(@]+", ""), r"[^A-Za-z0-9)]+$", "")
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """Runs as they are if they are short and no base match has company in them; others as all parts of a few tokens.
+
+    ``counts`` marks one part for each token that parts begin with: scores of patterns count a place once.
+    """
     run = rows.select("_n", F.explode("_runs").alias("r")).select("_n", "r.*")
+    run = run.withColumn("tokens", F.split("value", " ")).withColumn("bare", _bare(F.col("value")))
+    inside = _seed(F.col("bare"), lambda first, value: first != value)
+    run = run.withColumn("whole", (F.size("tokens") <= WIDEST) & inside.isNull() & ~F.exists("tokens", lambda t: t.rlike(LABEL)))
+    columns = ["_n", "start", "value", "before", "after"]
+    whole = run.where("whole").select(*columns, F.lit(True).alias("counts"))
+    split = _with_running_sums(run.where("NOT whole").withColumn("steps", F.transform("tokens", lambda t: F.length(t) + 1)), "steps", "ends")
+    # Neighbours in the run, and the context of the run beyond its ends. Built before the run is dealt to rows, which
+    # thus don't carry it.
+    def near(i: Column) -> Column:
+        own = F.array_join(F.slice("tokens", F.greatest(i - 1, F.lit(1)), F.least(i, F.lit(2))), " ")
+        left = F.size("tokens") - i
+        return F.struct(
+            F.when(i > 0, F.element_at("ends", F.greatest(i, F.lit(1)))).otherwise(0).alias("first"),
+            F.when(i == 0, F.col("before")).when(i == 1, F.concat("before", own)).otherwise(own).alias("before"),
+            F.when(left <= WIDEST, F.col("after")).otherwise("").alias("after"),
+            left.alias("left"),
+            F.slice("tokens", i + 1, WIDEST + 1).alias("t"),
+        )
+
+    places = F.transform(F.sequence(F.lit(0), F.size("tokens") - 1), near)
+    at = split.select("_n", "start", F.explode(places).alias("p")).select("_n", (F.col("start") + F.col("p.first")).alias("start"), "p.before", "p.after", "p.left", "p.t")
+    at = at.withColumn("w", F.explode(F.sequence(F.lit(1), F.least("left", F.lit(WIDEST)))))
+    value = F.array_join(F.slice("t", F.lit(1), F.col("w")), " ")
+    after = F.when(F.col("w") < F.col("left"), F.concat(F.lit(" "), F.element_at("t", F.col("w") + 1))).otherwise(F.col("after"))
+    parts = at.select("_n", "start", value.alias("value"), F.concat("before", F.lit(" ")).alias("before"), after.alias("after"), (F.col("w") == 1).alias("counts"))
+    # A label is a neighbour, unless the colons are an address's own.
+    label = F.when(is_like("ip", F.col("value")), "").otherwise(F.regexp_extract("value", LABEL, 0))
+    parts = parts.withColumn("label", label)
+    n = F.length("label")
+    return whole.unionByName(
+        parts.select(
+            "_n", (F.col("start") + n).alias("start"), F.expr("substring(value, length(label) + 1)").alias("value"),
+            F.concat("before", "label").alias("before"), "after", "counts",
+        )
+    )
+
+
+def _instances(rows: DataFrame) -> DataFrame:
+    """One row for each part: its place, its ``value`` without marks around it, its base kind, and its patterns."""
     lead = F.length(F.regexp_extract("value", r"^[^A-Za-z0-9+(@]*", 0))
-    core = F.regexp_replace(F.regexp_replace("value", r"^[^A-Za-z0-9+(@]+", ""), r"[^A-Za-z0-9)]+$", "")
-    run = run.select(
-        "_n", (F.col("start") + lead).alias("start"), core.alias("value"), F.lower("before").alias("l"), F.lower("after").alias("r")
-    ).where(F.length("value") > 0)
+    run = _parts(rows).select(
+        "_n", (F.col("start") + lead).alias("start"), _bare(F.col("value")).alias("value"),
+        F.lower("before").alias("l"), F.lower("after").alias("r"), "counts",
+    ).where(F.length("value") > 0)
     one = F.regexp_extract("l", rf"([^{_GAP}]++)[{_GAP}]*+$", 1)
     two = F.regexp_extract("l", rf"([^{_GAP}]++[{_GAP}]++[^{_GAP}]++)[{_GAP}]*+$", 1)
     right = F.regexp_extract("r", rf"^[{_GAP}]*+([^{_GAP}]++)", 1)
@@ -206,12 +264,11 @@ def _instances(rows: DataFrame) -> DataFrame:
             F.when((one != "") & (right != ""), F.concat_ws(" ", F.lit("lr"), one, right)),
         )
     )
-    seed = F.lit(None).cast("int")
-    for place, kind in reversed(list(enumerate(KINDS))):
-        first = F.regexp_extract("value", FORMS[kind], 0)
-        seed = F.when((first != "") & is_valid(kind, first), place).otherwise(seed)
+    run = run.withColumn("seed", _seed(F.col("value"), lambda first, value: first == value))
+    # A part with more than a base match is none; the match is a part of its own, or lies across parts.
+    run = run.where(F.col("seed").isNotNull() | _seed(F.col("value"), lambda first, value: F.lit(True)).isNull())
     end = (F.col("start") + F.length("value")).alias("end")
-    return run.select("_n", "start", end, "value", seed.alias("seed"), patterns.alias("patterns"))
+    return run.select("_n", "start", end, "value", "seed", patterns.alias("patterns"), (F.col("counts") | F.col("seed").isNotNull()).alias("counts"))
 
 
 def _any_like(kind: Column, value: Column) -> Column:
@@ -226,12 +283,14 @@ def bootstrap(
     Each round writes its scores, which are narrow, so a plan never holds more than
     one round.
     """
-    edges = store(instances.select("value", "seed", F.explode("patterns").alias("pattern")).distinct())
+    edges = instances.select("value", "seed", "counts", F.explode("patterns").alias("pattern"))
+    edges = store(edges.groupBy("value", "seed", "pattern").agg(F.max("counts").alias("counts")))
     seeds = edges.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind")).distinct().withColumn("score", F.lit(1.0))
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("size"))
+    counted = edges.where("counts")
+    sizes = counted.groupBy("pattern").agg(F.count("*").alias("size"))
     scores, patterns = seeds, None
     for _ in range(rounds):
-        mass = edges.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
+        mass = counted.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
         scored = mass.where(F.col("mass") >= least_support).join(sizes, "pattern")
         share = F.col("mass") / (F.col("size") + 1)
         patterns = store(scored.select("pattern", "kind", share.alias("score")).where(F.col("score") >= pattern_score))
@@ -265,8 +324,11 @@ def find_personal_data(
         patterns, values = learned
         slots = instances.where("seed IS NULL").withColumn("pattern", F.explode("patterns"))
         spans = slots.join(patterns.select("pattern", "kind"), "pattern").join(values, ["value", "kind"])
-        added = spans.groupBy("_n").agg(F.collect_set(F.struct("start", "kind", "end")).alias("_more"))
-        found = rows.join(added, "_n", "left").withColumn("_added", F.coalesce("_more", none))
+        # Of parts that begin alike the widest is reported.
+        widest = spans.groupBy("_n", "start", "kind").agg(F.max("end").alias("end"))
+        added = widest.groupBy("_n").agg(F.collect_list(F.struct("start", "kind", "end")).alias("_more"))
+        apart = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+        found = rows.join(added, "_n", "left").withColumn("_added", F.coalesce(apart, none))
     return found.select(
         "doc_id",
         *[f"n_{kind}" for kind in KINDS],
