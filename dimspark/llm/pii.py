@@ -49,7 +49,8 @@ _GAP = r"\x20\x09-\x0D"
 _TOKEN = rf"[^{_GAP}0-9@]*+[0-9@][^{_GAP}]*+"
 RUN = rf"(?<![^{_GAP}]){_TOKEN}(?:\x20{_TOKEN})*+"
 LABEL = r"^[A-Za-z_-]{2,}[:=](?=.)"  # glued to the value that it names
-WIDEST = 4  # tokens of a part of a run
+WHOLE = 4  # tokens of a run that is an instance as it is
+WIDEST = 8  # tokens of a part of a longer run: 15 digits in pairs
 
 CONTEXT = 64  # code points on each side in which the neighbouring words are looked for
 
@@ -212,7 +213,7 @@ def _parts(rows: DataFrame) -> DataFrame:
     run = rows.select("_n", F.explode("_runs").alias("r")).select("_n", "r.*")
     run = run.withColumn("tokens", F.split("value", " ")).withColumn("bare", _bare(F.col("value")))
     inside = _seed(F.col("bare"), lambda first, value: first != value)
-    run = run.withColumn("whole", (F.size("tokens") <= WIDEST) & inside.isNull() & ~F.exists("tokens", lambda t: t.rlike(LABEL)))
+    run = run.withColumn("whole", (F.size("tokens") <= WHOLE) & inside.isNull() & ~F.exists("tokens", lambda t: t.rlike(LABEL)))
     columns = ["_n", "start", "value", "before", "after"]
     whole = run.where("whole").select(*columns, F.lit(True).alias("counts"))
     split = _with_running_sums(run.where("NOT whole").withColumn("steps", F.transform("tokens", lambda t: F.length(t) + 1)), "steps", "ends")

@@ -70,7 +70,9 @@ def test_identifiers_in_lists_beside_others_and_behind_labels(spark):
     rows = [(i, f"lorem w{i} phone: +1 (017) 555-{1000 + i} and mail me at a{i}@b{i}.com ok") for i in range(40)]
     rows += [(100, "my phone: 0171 5557713 " + " ".join(str(10_000 + i) for i in range(10)) + " ok")]
     rows += [(101, "my phone: 0171 5557714 a@b.com ok"), (102, "my phone:5557715 ok"), (103, "see a@b.com phone: 5557716 a@b.com")]
+    rows += [(104, "my phone: 01 71 55 57 71 3 ok")]
     found = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[104]["spans"] == "phone:10:26"
     assert found[100]["spans"] == "phone:10:22"
     assert found[101]["spans"] == "phone:10:22,email:23:30"
     assert found[102]["spans"] == "phone:9:16"
