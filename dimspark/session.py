@@ -17,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Names under which a machine may have its zone set to UTC.
+_UTC = {"utc", "etc/utc", "uct", "etc/uct", "universal", "etc/universal", "zulu", "etc/zulu", "gmt", "etc/gmt", "z", "+00:00"}
+
 
 def require_settings(spark: SparkSession) -> None:
     """Fail if a setting that decides results is missing.
@@ -24,9 +27,10 @@ def require_settings(spark: SparkSession) -> None:
     Without ANSI mode a strict date turns bad text into NULL; with a zone other than
     UTC zoned and unzoned times shift against each other.
     """
-    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled"):
-        found = spark.conf.get(key, "")
-        if found.lower() not in (SETTINGS[key].lower(), *(["etc/utc", "z", "+00:00"] if "Zone" in key else [])):
+    for key, accepted in (("spark.sql.session.timeZone", _UTC), ("spark.sql.ansi.enabled", {"true"})):
+        # Without a default of ours: a session that sets neither has Spark's own.
+        found = spark.conf.get(key)
+        if found.lower() not in accepted:
             raise ValueError(f"{key} is {found!r}; it must be {SETTINGS[key]!r}")
 
 
