@@ -85,4 +85,69 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hits USING (r) LEFT JOIN found USING (r)
 """
 
-ORACLES = {"op2_mixing": OP2, "op4_urls": _op4(), "op5_decontamination": OP5}
+
+def _crc32(text: str) -> str:
+    """The unsigned checksum of an ASCII text."""
+    step = "lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    of_byte = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {of_byte}), 4294967295::BIGINT)"
+
+
+def _op11(levels: int = 10) -> str:
+    """The trees of languages and the tree over them, unrolled level by level: 8**levels leaves in each."""
+
+    def written(field: str) -> str:
+        return f"coalesce(strlen({field}::VARCHAR)::VARCHAR || ':' || {field}::VARCHAR, '-')"
+
+    def hashed(text: str) -> str:
+        fields = ["doc_id", "source", "lang", "n_chars", text]
+        return f"sha256(concat({', '.join(map(written, fields))}))"
+
+    def tree(name: str, leaves: str) -> list[str]:
+        """``{name}{i}``: the digests (t, i, d) of a level, as long as several remain; ``{name}runs``: all runs of children."""
+        parts = [f"{name}0 AS MATERIALIZED ({leaves})"]
+        for level in range(1, levels + 1):
+            below = f"{name}{level - 1}"
+            parts.append(
+                f"{name}{level} AS MATERIALIZED (SELECT t, i // 8 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d, string_agg(d, '' ORDER BY i) AS run "
+                f"FROM (SELECT t, i, d, count(*) OVER (PARTITION BY t) AS n FROM {below}) WHERE n > 1 GROUP BY t, i // 8)"
+            )
+        runs = " UNION ALL ".join(f"SELECT {level} AS level, t, i, d, run FROM {name}{level}" for level in range(1, levels + 1))
+        parts.append(f"{name}runs AS MATERIALIZED ({runs})")
+        ends = f"SELECT 0 AS level, t, i, d FROM {name}0 UNION ALL SELECT level, t, i, d FROM {name}runs"
+        parts.append(f"{name}top AS MATERIALIZED (SELECT t, max_by(d, level) AS d FROM ({ends}) GROUP BY t)")
+        return parts
+
+    def folded(name: str, runs: str, start: str) -> list[str]:
+        """From (doc, t, i, cur, proof) rows: one table a level, in which ``cur`` replaces its place in the run."""
+        parts = [f"{name}0 AS MATERIALIZED ({start})"]
+        for level in range(1, levels + 1):
+            parts.append(
+                f"{name}{level} AS MATERIALIZED (SELECT f.doc, f.t, f.i // 8 AS i, "
+                f"CASE WHEN r.run IS NULL THEN cur ELSE sha256(substr(run, 1, 64 * (f.i % 8)::BIGINT) || cur || substr(run, 64 * (f.i % 8)::BIGINT + 65)) END AS cur, "
+                f"CASE WHEN r.run IS NULL THEN proof ELSE proof || substr(run, 1, 64 * (f.i % 8)::BIGINT) || substr(run, 64 * (f.i % 8)::BIGINT + 65) END AS proof "
+                f"FROM {name}{level - 1} f LEFT JOIN (SELECT * FROM {runs} WHERE level = {level}) r ON f.t = r.t AND f.i // 8 = r.i)"
+            )
+        return parts
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [
+        f"""leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS doc, doc_id, coalesce('=' || lang, '') AS t, {hashed("text")} AS leaf,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 3 = 0 THEN {hashed(lowered)} ELSE {hashed("text")} END AS changed
+  FROM documents)""",
+        "placed AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves)",
+        *tree("a", "SELECT t, i, leaf AS d FROM placed"),
+        "langs AS MATERIALIZED (SELECT t AS of_lang, '' AS t, row_number() OVER (ORDER BY t) - 1 AS i, d FROM atop)",
+        *tree("b", "SELECT t, i, d FROM langs"),
+        *folded("f", "aruns", "SELECT doc, t, i, changed AS cur, '' AS proof FROM placed"),
+        *folded("g", "bruns", f"SELECT f.doc, l.t, l.i, f.cur, f.proof FROM f{levels} f JOIN langs l ON f.t = l.of_lang"),
+    ]
+    return f"""WITH {", ".join(parts)}
+SELECT p.doc_id, p.leaf, s.d AS subroot, r.d AS root, sha256(g.proof) AS proof_sha256, g.cur AS folded_root, g.cur = r.d AS verified
+FROM placed p JOIN atop s USING (t) JOIN g{levels} g USING (doc), btop r
+"""
+
+
+ORACLES = {"op11_merkle": _op11(), "op2_mixing": OP2, "op4_urls": _op4(), "op5_decontamination": OP5}

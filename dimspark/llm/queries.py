@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimspark.llm import chat, decontamination, html, mixing, pii, quality, secrets, sharding, simhash, urls
+from dimspark.llm import chat, decontamination, html, merkle, mixing, pii, quality, secrets, sharding, simhash, urls
 from dimspark.llm.text import random_key, whole_text
 
 
@@ -73,6 +73,11 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = merkle.document_manifest(table(spark, sf_dir, "documents"))
+    return merkle.fold(made, F.col("__tampered")).drop("lang")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -86,5 +91,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sharding,
         op9_chat,
         op10_html,
+        op11_merkle,
     )
 }
