@@ -150,4 +150,63 @@ FROM placed p JOIN atop s USING (t) JOIN g{levels} g USING (doc), btop r
 """
 
 
-ORACLES = {"op11_merkle": _op11(), "op2_mixing": OP2, "op4_urls": _op4(), "op5_decontamination": OP5}
+_CONV_KEY = "concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))"
+
+# Row by row, the least cost and audit for each state; up to two inserts before an edit, as more come back to a state.
+OP13 = rf"""
+WITH RECURSIVE hit AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32(_CONV_KEY)} % 20 AS hit, row_number() OVER () AS r
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+         CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN hit = 3 THEN [2 * r, 2 * r + 1] ELSE [2 * r] END) AS copy
+  FROM hit WHERE hit <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM damaged),
+judged AS MATERIALIZED (
+  SELECT *, substr(role, 1, 1) AS c,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN nth > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE '' END AS fault
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated
+  FROM judged GROUP BY conv_id),
+pairs AS (
+  SELECT conv_id, count(*) FILTER (before || c NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM (SELECT conv_id, c, lag(c) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM judged) GROUP BY conv_id),
+inserts(q, n, to_q, added) AS (
+  VALUES ('-', 0, '-', []), ('-', 1, 'u', ['user:']), ('-', 2, 'a', ['user:', 'assistant:']),
+         ('s', 0, 's', []), ('s', 1, 'u', ['user:']), ('s', 2, 'a', ['user:', 'assistant:']),
+         ('a', 0, 'a', []), ('a', 1, 'u', ['user:']), ('a', 2, 'a', ['user:', 'assistant:']),
+         ('u', 0, 'u', []), ('u', 1, 'a', ['assistant:']), ('u', 2, 'u', ['assistant:', 'user:'])),
+edits(q, edit, to_q, role) AS (
+  VALUES ('-', 'D', '-', ''), ('s', 'D', 's', ''), ('u', 'D', 'u', ''), ('a', 'D', 'a', ''),
+         ('-', 'K', 's', ''), ('-', 'K', 'u', ''), ('s', 'K', 'u', ''), ('a', 'K', 'u', ''), ('u', 'K', 'a', ''),
+         ('-', 'R', 'u', 'user'), ('s', 'R', 'u', 'user'), ('a', 'R', 'u', 'user'), ('u', 'R', 'a', 'assistant')),
+steps AS (
+  SELECT conv_id, 0::BIGINT AS i, '-' AS q, {{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}} AS b FROM counts
+  UNION ALL
+  SELECT conv_id, i, q, min(b) FROM (
+    SELECT s.conv_id, s.i + 1 AS i, e.to_q AS q,
+           {{'cost': s.b.cost + 3 * n.n + CASE edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN edit <> 'D' AND fault = 't' THEN 3 ELSE 0 END,
+             'audit': s.b.audit || repeat('I', n.n) || edit,
+             'lines': list_concat(s.b.lines, n.added, CASE edit WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [r.role || ':' || text] ELSE [e.role || ':' || text] END)}} AS b
+    FROM steps s JOIN judged r ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = s.i + 1
+    JOIN inserts n ON n.q = s.q JOIN edits e ON e.q = n.to_q
+    WHERE (edit = 'D' OR fault IN ('', 't')) AND (edit <> 'K' OR c = e.to_q)) GROUP BY conv_id, i, q),
+ended AS (
+  SELECT s.conv_id, min({{'cost': s.b.cost + 3 * n.n, 'audit': s.b.audit || repeat('I', n.n), 'lines': list_concat(s.b.lines, n.added)}}) AS b
+  FROM steps s JOIN counts k ON s.conv_id IS NOT DISTINCT FROM k.conv_id AND s.i = k.n JOIN inserts n ON n.q = s.q
+  WHERE n.to_q IN ('-', 'a') GROUP BY s.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+       coalesce(b.audit, '') AS audit, sha256(coalesce(array_to_string(b.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts k ON c.conv_id IS NOT DISTINCT FROM k.conv_id
+LEFT JOIN pairs p ON c.conv_id IS NOT DISTINCT FROM p.conv_id LEFT JOIN ended e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
+ORACLES = {"op11_merkle": _op11(), "op13_repair": OP13, "op2_mixing": OP2, "op4_urls": _op4(), "op5_decontamination": OP5}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimspark.llm import chat, decontamination, html, merkle, mixing, pii, quality, secrets, sharding, simhash, urls
+from dimspark.llm import chat, decontamination, html, merkle, mixing, pii, quality, repair, secrets, sharding, simhash, urls
 from dimspark.llm.text import random_key, whole_text
 
 
@@ -78,6 +78,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fold(made, F.col("__tampered")).drop("lang")
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -92,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat,
         op10_html,
         op11_merkle,
+        op13_repair,
     )
 }

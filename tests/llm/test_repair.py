@@ -1,0 +1,204 @@
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import defaultdict
+from functools import cache
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimspark.llm import repair
+
+COLUMNS = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+SPACE = " \t\n\x0b\x0c\r"
+
+
+def damage(rows):
+    """Rows: (conv_id, turn, role, text); the same by conversation, in order."""
+    found = {conv: [] for conv, *_ in rows}
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if v is None else str(v) for v in (conv, turn))
+        hit = zlib.crc32(key.encode()) % 20
+        role, text = (" " if v is None else v for v in (role, text))
+        role = "user" if hit == 4 else role
+        text = "" if hit == 1 else re.sub("[.!?]", "", text) if hit == 2 else text
+        found[conv] += [(turn is not None, turn or 0, role, text)] * {0: 0, 3: 2}.get(hit, 1)
+    return {conv: sorted(some) for conv, some in found.items()}
+
+
+def cheapest(turns):
+    """(cost, audit) by a search over all edits; turns: (initial, must go, surcharge)."""
+    n = len(turns)
+
+    @cache
+    def best(i, state, inserts):
+        options = [(0, "")] if i == n and state in "-a" else []
+        step = {"-": "u", "s": "u", "a": "u", "u": "a"}[state]
+        if inserts < 3:
+            cost, audit = best(i, step, inserts + 1)
+            options.append((cost + 3, "I" + audit))
+        if i < n:
+            initial, required, extra = turns[i]
+            cost, audit = best(i + 1, state, 0)
+            options.append((cost + 4, "D" + audit))
+            if not required:
+                cost, audit = best(i + 1, step, 0)
+                options.append((cost + 3 + extra, "R" + audit))
+                if initial == step or (initial == "s" and state == "-"):
+                    cost, audit = best(i + 1, initial, 0)
+                    options.append((cost + extra, "K" + audit))
+        return min(options, default=(10**9, ""))
+
+    for i in range(n, -1, -1):  # from the end, so that no call goes deep
+        for state in "-sua":
+            best(i, state, 0)
+    return best(0, "-", 0)
+
+
+def write(rows, audit):
+    written, at, state = [], 0, "-"
+    for edit in audit:
+        state = "a" if state == "u" else "u"
+        if edit == "K":
+            state = rows[at][2][0]
+            written.append(rows[at][2] + ":" + rows[at][3])
+        elif edit in "IR":
+            written.append({"u": "user:", "a": "assistant:"}[state] + (rows[at][3] if edit == "R" else ""))
+        else:
+            state = {"a": "u", "u": "a"}[state] if written and not (len(written) == 1 and written[0][:1] == "s") else "s" if written else "-"
+        at += edit != "I"
+    return "\n".join(written)
+
+
+def plain(rows):
+    found = []
+    for conv, some in damage(rows).items():
+        turns, seen, faults = [], set(), defaultdict(int)
+        for _, _, role, text in some:
+            shown = text.rstrip(SPACE)
+            fault = "blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faults[fault] += 1
+            turns.append((role[:1], fault in ("blank", "duplicate"), 3 * (fault == "truncated")))
+        numbers = [turn for known, turn, *_ in some if known]
+        gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+        illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in itertools.pairwise(turns))
+        cost, audit = cheapest(tuple(turns))
+        digest = hashlib.sha256(write(some, audit).encode()).hexdigest()
+        found.append((conv, gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, digest))
+    return sorted(found, key=repr)
+
+
+def conversations(n, longest, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(n):
+        for turn in range(rng.randint(1, longest)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None, ""]) if rng.random() < 0.3 else ["user", "assistant"][turn % 2]
+            text = rng.choice(["Yes.", "Yes.", "No", " \n", "", None, f"Text {rng.random()}!", f"a. b {rng.random()} \t", "é?  "])
+            rows.append((conv, None if rng.random() < 0.05 else turn, role, text))
+    rng.shuffle(rows)
+    return rows
+
+
+def run(spark, rows, **more):
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for name, value in more.items():
+        turns = turns.withColumn(name, F.lit(value))
+    found = repair.repair(turns)
+    assert found.columns == COLUMNS
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def random_turns(rng, n):
+    return [
+        repair.Turn(rng.choice(["system", "user", "assistant", "user", "assistant", "tool"]), str(i), rng.random() < 0.15, rng.random() < 0.2)
+        for i in range(n)
+    ]
+
+
+def chained(turns, size):
+    chain = repair.Chain()
+    for at in range(0, len(turns), size):
+        some = turns[at : at + size]
+        chain.add(repair.Piece([t.role for t in some], [t.text for t in some], repair.align(some)))
+    return chain.end()
+
+
+def all_audits(turns):
+    """Every edit string of up to three inserts, checked by reading it."""
+    for length in range(len(turns) + 4):
+        for audit in itertools.product("DIKR", repeat=length):
+            if len(audit) - audit.count("I") != len(turns):
+                continue
+            shapes, cost, at = [""], 0, 0
+            for edit in audit:
+                turn = None if edit == "I" else turns[at]
+                at += edit != "I"
+                if edit == "D":
+                    cost += 4
+                    continue
+                if turn is not None and turn.required:
+                    shapes = []
+                cost += {"I": 3, "K": 0, "R": 3}[edit] + (3 if turn is not None and turn.truncated else 0)
+                shapes = [s + c for s in shapes for c in (turn.initial if edit == "K" else "ua")]
+            if any(re.fullmatch("(s?(ua)+)?", s) for s in shapes):
+                yield cost, "".join(audit)
+
+
+def test_alignments_equal_the_least_of_all_edit_strings():
+    rng = random.Random(4)
+    for _ in range(60):
+        turns = random_turns(rng, rng.randint(1, 4))
+        assert chained(turns, 64)[1:3] == min(all_audits(turns))
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 64])
+def test_cuts_do_not_matter(size):
+    rng = random.Random(5)
+    for _ in range(60):
+        turns = random_turns(rng, rng.randint(1, 40))
+        expected = cheapest(tuple((t.initial, t.required, t.surcharge) for t in turns))
+        assert chained(turns, size)[1:3] == expected
+
+
+def test_conversations_equal_a_plain_search(spark):
+    rows = conversations(150, 14)
+    assert run(spark, rows) == plain(rows)
+
+
+def test_long_conversations_and_small_pieces(spark, monkeypatch):
+    monkeypatch.setattr(repair, "PIECE", 5)
+    monkeypatch.setattr(repair, "HELD", 2)
+    rows = conversations(3, 300, seed=8) + [(100 + c, t, r, x) for c, t, r, x in conversations(40, 8, seed=9)]
+    assert run(spark, rows) == plain(rows)
+
+
+def test_one_conversation_with_most_rows_lies_in_many_slices(spark):
+    rows = conversations(1, 900, seed=12) + [(100 + c, t, r, x) for c, t, r, x in conversations(20, 6, seed=9)]
+    assert run(spark, rows) == plain(rows)
+
+
+def test_nulls_ties_repeats_and_long_texts(spark):
+    rows = [(None, None, None, None), (None, 3, "user", "Hi."), (7, None, "user", "Hi."), (7, None, "user", "Hi."), (7, 1, "assistant", "Long " * 300_000 + ".")]
+    rows += [(8, 5, "user", "Same."), (8, 5, "assistant", "Same."), (8, 5, "user", "Other")] + [(9, 2, "user", "Copy.")] * 300
+    rows += [(10, t, "user", "...") for t in range(60)] + [(11, 2**40, "user", "A."), (11, -5, "assistant", "B!")]
+    assert run(spark, rows) == plain(rows)
+
+
+def test_a_conversation_of_which_no_row_is_left(spark):
+    dropped = next(c for c in range(1000) if zlib.crc32(f"{c}:1".encode()) % 20 == 0)
+    empty = (dropped, 0, 0, 0, 0, 0, 0, "", hashlib.sha256().hexdigest())
+    assert run(spark, [(dropped, 1, "user", "Gone.")]) == [empty]
+
+
+def test_an_empty_table_gives_an_empty_result(spark):
+    assert run(spark, []) == []
+
+
+def test_columns_may_clash(spark):
+    rows = conversations(10, 6)
+    names = ["hit", "copies", "digest", "blank", "first", "audit", "cost", "_position", "position", "number", "ends"]
+    assert run(spark, rows, **{n: "x" for n in names}) == plain(rows)
