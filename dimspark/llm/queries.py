@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimspark.llm import chat, decontamination, html, merkle, mixing, pii, quality, repair, secrets, sharding, simhash, urls
+from dimspark.llm import bpe, chat, decontamination, html, merkle, mixing, pii, quality, repair, secrets, sharding, simhash, urls
 from dimspark.llm.text import random_key, whole_text
 
 
@@ -78,6 +79,18 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fold(made, F.col("__tampered")).drop("lang")
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN, keep=["doc_id"])
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
@@ -96,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_chat,
         op10_html,
         op11_merkle,
+        op12_bpe,
         op13_repair,
     )
 }
