@@ -27,10 +27,11 @@ import base64
 import itertools
 from array import array
 from bisect import bisect_right
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,12 +42,21 @@ from dimspark.llm.text import ROW, packed, unpacked
 REMEMBERED = 1 << 19
 LONGEST_REMEMBERED = 64
 
+# Bytes of text that are encoded together, beside one text of any length.
+TOGETHER = 4 << 20
+
 _NEVER = 1 << 60
 
 # Characters after its end that a match of the pattern may have looked at.
 AHEAD = 3
 
 
+def read_tokens(file: bytes) -> dict[int, bytes]:
+    """Tokens by rank of a file with a token in base64 and a rank in each line."""
+    lines = (line.split() for line in file.splitlines() if line)
+    return {int(rank): base64.b64decode(token) for token, rank in lines}
+
+
 class Vocabulary:
     """Tokens by id, and what encoding needs of them."""
 
@@ -54,8 +64,8 @@ class Vocabulary:
         import ahocorasick
         import regex
 
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file.splitlines() if line)}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.tokens = read_tokens(file)
+        self.ranks = {token: rank for rank, token in self.tokens.items()}
         self.longest = max(map(len, self.ranks))
         self.pattern = regex.compile(pattern)
         self._ends = ahocorasick.Automaton()
@@ -141,6 +151,22 @@ class Vocabulary:
             raise ValueError("the vocabulary does not hold every byte")
         return last
 
+    def extend(self, last: list[int], data: bytes) -> None:
+        """Complete the table of a short piece whose first prefixes it holds, by looking up every part that ends at a byte."""
+        tokens, pairs, valid = self.ranks, self._pairs, self.valid
+        for end in range(len(last), len(data) + 1):
+            # The last token is the only valid one, so the order is free; short ones are found sooner.
+            for begin in range(end - 1, -1, -1):
+                token = tokens.get(data[begin:end])
+                if token is not None:
+                    before = last[begin]
+                    fits = pairs.get((before, token))
+                    if fits or (fits is None and valid(before, token)):
+                        last.append(token)
+                        break
+            else:
+                raise ValueError("the vocabulary does not hold every byte")
+
     def tokens_of(self, last: list[int] | array) -> list[int]:
         """The encoding that a table of last tokens stands for."""
         found, at, tokens = [], len(last) - 1, self.tokens
@@ -280,40 +306,85 @@ def _shared(a: bytes, b: bytes) -> int:
     return int(different[0]) if len(different) else n
 
 
-class _Pieces(dict):
-    """The tokens of pieces, remembered while they are short and few enough."""
+class Pieces:
+    """The tokens of short pieces, remembered while they are few enough.
+
+    New ones are taken in sorted order: a piece goes on from the table of the one
+    before, behind the prefix that both share.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        vocabulary, data = self.vocabulary, piece.encode()
-        token = vocabulary.ranks.get(data)
-        whole = token is not None and vocabulary.whole(token)
-        found = (token,) if whole else tuple(vocabulary.tokens_of(vocabulary.last_tokens(data)))
-        if len(piece) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = found
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def learn(self, wanted: set[str]) -> None:
+        known = self.known
+        if len(known) + len(wanted) > REMEMBERED:
+            known.clear()
+        last, before = [-1], b""
+        extend, tokens_of = self.vocabulary.extend, self.vocabulary.tokens_of
+        for piece in sorted(wanted.difference(known)):
+            data = piece.encode()
+            if len(data) > LONGEST_REMEMBERED:
+                known[piece] = tuple(tokens_of(self.vocabulary.last_tokens(data)))
+                continue
+            same = 0
+            for x, y in zip(before, data, strict=False):
+                if x != y:
+                    break
+                same += 1
+            del last[same + 1 :]
+            extend(last, data)
+            known[piece] = tuple(tokens_of(last))
+            before = data
+
+    def forget_long(self, wanted: set[str]) -> None:
+        for piece in wanted:
+            if len(piece) > LONGEST_REMEMBERED:
+                self.known.pop(piece, None)
+
+
+def encoder(vocabulary: Vocabulary) -> Callable[[Sequence[str]], list[list[int]]]:
+    """A function that encodes whole texts, some at a time, and remembers short pieces."""
+    pieces, cut = Pieces(vocabulary), vocabulary.pattern.findall
+
+    def encode(texts: Sequence[str]) -> list[list[int]]:
+        parts = [cut(text) for text in texts]
+        wanted = set(itertools.chain.from_iterable(parts))
+        pieces.learn(wanted)
+        found = [list(itertools.chain.from_iterable(map(pieces.known.__getitem__, some))) for some in parts]
+        pieces.forget_long(wanted)
         return found
 
+    return encode
 
-def encoder(vocabulary: Vocabulary) -> Callable[[str], list[int]]:
-    """A function that encodes whole texts and remembers short pieces."""
-    known, pieces = _Pieces(vocabulary), vocabulary.pattern.findall
 
-    def encode(text: str) -> list[int]:
-        return list(itertools.chain.from_iterable(map(known.__getitem__, pieces(text))))
+def _some(values: pa.Array) -> Iterator[tuple[int, int]]:
+    """Bounds of slices of a text column of about ``TOGETHER`` bytes, one text at least."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(values):
+        done = int(sizes[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(sizes, done + TOGETHER, side="right")))
+        yield begin, end
+        begin = end
 
-    return encode
 
+def _shared_file(spark: SparkSession, path: str) -> Callable[[Callable[[bytes], object]], object]:
+    """What a task calls to make something of the vocabulary's file.
 
-def _shared_file(spark: SparkSession, path: str, pattern: str):
-    """What a task calls to get the vocabulary; a Python worker reads it once."""
+    A Python worker keeps what it has made with the broadcast, for its later tasks.
+    """
     with open(path, "rb") as file:
-        sent = spark.sparkContext.broadcast(file.read())
+        sent = spark.sparkContext.broadcast({"file": file.read()})
+
+    def made(make: Callable[[bytes], object]) -> object:
+        kept = sent.value
+        if "made" not in kept:
+            kept["made"] = make(kept["file"])
+        return kept["made"]
 
-    return lambda: Vocabulary(sent.value, pattern)
+    return made
 
 
 def _run(df: DataFrame, read: Column, run, added: str, name: str, keep: Sequence[str] | None) -> DataFrame:
@@ -334,25 +405,27 @@ def _lists(found: list) -> pa.Array:
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
     """``df``, or its columns ``keep``, with the token ids of each whole text."""
-    vocabulary = _shared_file(df.sparkSession, path, pattern)
+    file = _shared_file(df.sparkSession, path)
 
     def run(batches):
-        of = encoder(vocabulary())
+        encode_some = file(lambda data: encoder(Vocabulary(data, pattern)))
         for batch in batches:
-            found = [of(value.as_py() or "") for value in batch.column("__in")]
-            yield pa.RecordBatch.from_arrays([batch.column(ROW), _lists(found)], names=[ROW, "__out"])
+            for begin, end in _some(batch.column("__in")):
+                part = batch.slice(begin, end - begin)
+                found = encode_some([value or "" for value in part.column("__in").to_pylist()])
+                yield pa.RecordBatch.from_arrays([part.column(ROW), _lists(found)], names=[ROW, "__out"])
 
     return _run(df, F.col(f"`{text}`"), run, "array<int>", ids, keep)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded", keep: Sequence[str] | None = None) -> DataFrame:
     """``df``, or its columns ``keep``, with the bytes that each list of ids stands for."""
-    vocabulary = _shared_file(df.sparkSession, path, "")
+    file = _shared_file(df.sparkSession, path)
 
     def run(batches):
-        tokens = vocabulary().tokens
+        tokens = file(read_tokens)
         for batch in batches:
-            found = [b"".join([tokens[i] for i in value.as_py() or []]) for value in batch.column("__in")]
+            found = [b"".join(map(tokens.__getitem__, value.as_py() or ())) for value in batch.column("__in")]
             yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(found, pa.binary())], names=[ROW, "__out"])
 
     return _run(df, F.col(f"`{ids}`"), run, "binary", decoded, keep)
@@ -365,10 +438,10 @@ def encode_edited(df: DataFrame, path: str, pattern: str, text: str = "text", ed
     the other; each re-encodes what is near it alone. Places count code points of the
     text as it then is; those beyond its end are its end, and NULL edits none.
     """
-    vocabulary = _shared_file(df.sparkSession, path, pattern)
+    file = _shared_file(df.sparkSession, path)
 
     def run(batches):
-        own = vocabulary()
+        own = file(lambda data: Vocabulary(data, pattern))
         for batch in batches:
             found = []
             for row in batch.column("__in").to_pylist():

@@ -28,7 +28,7 @@ texts = st.lists(alphabet, max_size=40).map("".join)
 
 
 def ids(text):
-    return bpe.encoder(VOCABULARY)(text)
+    return bpe.encoder(VOCABULARY)([text])[0]
 
 
 @pytest.mark.parametrize("text", TEXTS)
@@ -42,6 +42,19 @@ def test_random_tokens_equal_the_library(text):
     assert ids(text) == LIBRARY.encode_ordinary(text)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(texts, max_size=8))
+def test_texts_together_share_tables(some):
+    assert bpe.encoder(VOCABULARY)(some) == [LIBRARY.encode_ordinary(t) for t in some]
+
+
+def test_remembering_few_pieces_changes_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    encode = bpe.encoder(VOCABULARY)
+    for text in TEXTS:
+        assert encode([text, "again and again", text]) == [LIBRARY.encode_ordinary(t) for t in (text, "again and again", text)]
+
+
 def test_every_code_point_is_cut_and_encoded_as_by_the_library():
     points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
     for at in range(0, len(points), 5000):
@@ -130,6 +143,7 @@ def test_texts_go_round(spark):
 
 
 def test_empty_tables_missing_lists_and_unknown_ids(spark):
+    assert list(bpe._some(bpe.pa.array(["a", None, "b" * (9 << 20), "c"]))) == [(0, 2), (2, 3), (3, 4)]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.encode(empty, PATH, PATTERN).collect() == []
     lists = spark.createDataFrame([([72],), (None,), ([],)], "ids array<int>")
