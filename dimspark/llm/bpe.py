@@ -315,7 +315,8 @@ class Pieces:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, tuple[int, ...]] = {}
+        # As the bytes of an array of ids, which are joined into those of a text.
+        self.known: dict[str, bytes] = {}
 
     def learn(self, wanted: set[str]) -> None:
         known = self.known
@@ -326,7 +327,7 @@ class Pieces:
         for piece in sorted(wanted.difference(known)):
             data = piece.encode()
             if len(data) > LONGEST_REMEMBERED:
-                known[piece] = tuple(tokens_of(self.vocabulary.last_tokens(data)))
+                known[piece] = array("i", tokens_of(self.vocabulary.last_tokens(data))).tobytes()
                 continue
             same = 0
             for x, y in zip(before, data, strict=False):
@@ -335,7 +336,7 @@ class Pieces:
                 same += 1
             del last[same + 1 :]
             extend(last, data)
-            known[piece] = tuple(tokens_of(last))
+            known[piece] = array("i", tokens_of(last)).tobytes()
             before = data
 
     def forget_long(self, wanted: set[str]) -> None:
@@ -344,15 +345,15 @@ class Pieces:
                 self.known.pop(piece, None)
 
 
-def encoder(vocabulary: Vocabulary) -> Callable[[Sequence[str]], list[list[int]]]:
-    """A function that encodes whole texts, some at a time, and remembers short pieces."""
+def encoder(vocabulary: Vocabulary) -> Callable[[Sequence[str]], list[np.ndarray]]:
+    """A function that gives the ids of whole texts, some at a time, and remembers short pieces."""
     pieces, cut = Pieces(vocabulary), vocabulary.pattern.findall
 
-    def encode(texts: Sequence[str]) -> list[list[int]]:
+    def encode(texts: Sequence[str]) -> list[np.ndarray]:
         parts = [cut(text) for text in texts]
         wanted = set(itertools.chain.from_iterable(parts))
         pieces.learn(wanted)
-        found = [list(itertools.chain.from_iterable(map(pieces.known.__getitem__, some))) for some in parts]
+        found = [np.frombuffer(b"".join(map(pieces.known.__getitem__, some)), dtype=np.intc) for some in parts]
         pieces.forget_long(wanted)
         return found
 
@@ -396,11 +397,10 @@ def _run(df: DataFrame, read: Column, run, added: str, name: str, keep: Sequence
     return made.select(*unpacked(kept, [name]))
 
 
-def _lists(found: list) -> pa.Array:
+def _lists(found: Sequence[np.ndarray]) -> pa.Array:
     """Integer lists as one array, without going through a column of objects."""
     offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
-    values = np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found).astype(np.int32, copy=False)))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids", keep: Sequence[str] | None = None) -> DataFrame:
@@ -425,7 +425,11 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded",
     def run(batches):
         tokens = file(read_tokens)
         for batch in batches:
-            found = [b"".join(map(tokens.__getitem__, value.as_py() or ())) for value in batch.column("__in")]
+            lists = batch.column("__in")
+            # NULL lists have no length; the rest is cut from one array.
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends, ids = np.cumsum(lengths), lists.flatten().to_numpy(zero_copy_only=False)
+            found = [b"".join(map(tokens.__getitem__, ids[end - n : end].tolist())) for end, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(found, pa.binary())], names=[ROW, "__out"])
 
     return _run(df, F.col(f"`{ids}`"), run, "binary", decoded, keep)
@@ -452,7 +456,7 @@ def encode_edited(df: DataFrame, path: str, pattern: str, text: str = "text", ed
                         at = min(max(edit["at"] or 0, 0), size)
                         until = min(max(edit["until"] or 0, at), size)
                         encoded.edit(at, until, edit["text"] or "")
-                found.append(encoded.ids())
+                found.append(np.array(encoded.ids(), dtype=np.intc))
             yield pa.RecordBatch.from_arrays([batch.column(ROW), _lists(found)], names=[ROW, "__out"])
 
     fed = F.struct(F.col(f"`{text}`").alias("text"), F.col(f"`{edits}`").alias("edits"))
