@@ -368,6 +368,24 @@ _LOOKUP = _keyed(
     "l_shipdate",
 )
 
+_MERGED = """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 1000 THEN c_acctbal + 100 ELSE c_acctbal END
+    AS c_acctbal FROM customer UNION ALL SELECT s_suppkey + 1000000000, s_name, s_acctbal FROM supplier"""
+
+
+def _two_loads(first: str) -> str:
+    """All order versions, closed; those of the first load are numbered first, then the others."""
+    copy = "row_number() OVER (PARTITION BY o_custkey, valid_from ORDER BY o_orderkey) AS copy"
+    return _with(
+        f"""SELECT CAST(COALESCE(k, (SELECT count(*) FROM order_versions WHERE {first})
+            + row_number() OVER (PARTITION BY k IS NULL ORDER BY o_custkey, valid_from, o_orderkey)) AS BIGINT) AS version_key,
+        o_custkey, o_orderkey, o_orderpriority, valid_from, valid_to
+        FROM (SELECT *, {copy} FROM closed_orders) a LEFT JOIN (
+            SELECT o_custkey AS id, valid_from AS since, {copy.replace("copy", "n")},
+            row_number() OVER (ORDER BY o_custkey, valid_from, o_orderkey) AS k FROM order_versions WHERE {first}) b
+        ON o_custkey = id AND valid_from = since AND copy = n"""
+    )
+
+
 ORACLES: dict[str, str] = {
     "q_stage_rename": "SELECT c_custkey AS wwi_customer_id, c_name AS customer, c_acctbal * 2 AS credit_limit FROM customer",
     "q_stage_safe_int": """SELECT c_custkey, TRY_CAST(substr(c_name, 10, 9) AS BIGINT) AS from_text,
@@ -530,8 +548,16 @@ ORACLES: dict[str, str] = {
         WHERE o_orderdate <= TIMESTAMP '2000-01-01')""",
     "q_watermark_max": """SELECT max(o_orderdate) AS last_time, max(o_orderkey) AS last_key,
         TIMESTAMP '1900-01-01' AS last_time_of_none FROM orders""",
-    "q_merge_upsert": """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 1000 THEN c_acctbal + 100 ELSE c_acctbal END
-        AS c_acctbal FROM customer UNION ALL SELECT s_suppkey + 1000000000, s_name, s_acctbal FROM supplier""",
+    "q_merge_upsert": _MERGED,
+    "q_merge_table": _MERGED,
+    "q_late_versions": _two_loads("o_orderpriority <> '1-URGENT'"),
+    "q_stable_keys": _two_loads("valid_from <= TIMESTAMP '1998-01-01'"),
+    "q_scd1_apply": _with(
+        """SELECT version_key, o_custkey, o_orderkey, CASE WHEN c_acctbal < -500 THEN NULL WHEN c_acctbal < 0 THEN c_mktsegment
+        ELSE o_orderpriority END AS o_orderpriority, valid_from, valid_to FROM dim_order_versions
+        LEFT JOIN customer ON o_custkey = c_custkey"""
+    ),
+    "q_load_by_cutoff": "SELECT *, '1998-06-30 00:00:00' AS reached FROM orders WHERE o_orderdate <= TIMESTAMP '1998-06-30'",
     "q_not_null": _with("SELECT * FROM stg_order WHERE picked_date_key IS NULL"),
     "q_orphan_keys": f"""SELECT k.* FROM ({_LOOKUP}) k WHERE customer_key <> 0 AND customer_key NOT IN (
         SELECT CAST(n AS BIGINT) FROM (SELECT row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey) AS n,

@@ -25,14 +25,20 @@ from dimspark.operators import (
     cutoff_window,
     dense_key,
     incremental_filter,
+    load_by_cutoff,
     lookup_key,
     lookup_keys,
+    merge_table,
     merge_upsert,
     null_violations,
     orphan_keys,
+    overwrite_attributes,
     point_in_time_join,
+    rebuild_dimension,
     scd1_latest,
     scd2_close,
+    splice_dimension,
+    stored_cutoff,
     update_cutoff,
     version_dimension,
     watermark,
@@ -43,12 +49,15 @@ from dimspark.plans.warehouse import build_warehouse, dimension_plans, fact_plan
 from dimspark.sources import (
     SOURCE_SCHEMAS,
     layer_path,
+    read_parts,
     read_seed,
     read_source,
     read_table,
     register_views,
     shared_folder,
     store,
+    whole,
+    write_parts,
     write_table,
 )
 
@@ -501,6 +510,70 @@ def merge_upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_upsert(target, changed.unionByName(added), ["c_custkey"])
 
 
+def merge_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The updates of ``merge_upsert`` into a stored table, in place."""
+    path = f"{_new_folder(spark)}/customers"
+    target = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    write_parts(target, path, ["c_custkey"])
+    changed = target.where("c_acctbal < 1000").withColumn("c_acctbal", F.col("c_acctbal") + 100)
+    merge_table(spark, path, changed, ["c_custkey"])
+    added = table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") + 1_000_000_000).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal")
+    )
+    return merge_table(spark, path, added, ["c_custkey"])
+
+
+_ORDER_KEYS = {"key": "o_custkey", "key_name": "version_key", "ties": ["o_orderkey"]}
+
+
+def late_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored dimension to which all urgent orders come late, between and before its versions."""
+    path, versions = _new_folder(spark), _customer_versions(spark, sf_dir)
+    splice_dimension(spark, path, versions.where("o_orderpriority <> '1-URGENT'"), **_ORDER_KEYS)
+    splice_dimension(spark, path, versions, **_ORDER_KEYS)
+    return splice_dimension(spark, path, versions, **_ORDER_KEYS)
+
+
+def stable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rebuild after two loads: every version has the key that the loads gave it."""
+    path, versions = _new_folder(spark), _customer_versions(spark, sf_dir)
+    rebuild_dimension(spark, path, cutoff_window(versions, "valid_from", end=FIRST_LOAD_END), **_ORDER_KEYS)
+    splice_dimension(spark, path, versions, **_ORDER_KEYS)
+    return rebuild_dimension(spark, path, versions, **_ORDER_KEYS)
+
+
+def scd1_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attributes of all versions of customers in debt, overwritten; with NULL for some."""
+    path = _new_folder(spark)
+    splice_dimension(spark, path, _customer_versions(spark, sf_dir), **_ORDER_KEYS)
+    priority = F.when(F.col("c_acctbal") < -500, F.lit(None)).otherwise(F.col("c_mktsegment"))
+    debtors = table(spark, sf_dir, "customer").where("c_acctbal < 0")
+    changes = debtors.select(F.col("c_custkey").alias("o_custkey"), priority.alias("o_orderpriority"))
+    return overwrite_attributes(spark, path, changes, "o_custkey")
+
+
+def load_by_cutoff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, and between them one that fails after it has written and before its cutoff is stored."""
+    folder, orders = _new_folder(spark), table(spark, sf_dir, "orders")
+    state, path = f"{folder}/cutoffs", f"{folder}/orders"
+
+    def merge(rows: DataFrame) -> None:
+        merge_table(spark, path, rows, ["o_orderkey"])
+
+    def merge_and_fail(rows: DataFrame) -> None:
+        merge(rows)
+        raise InterruptedError
+
+    load_by_cutoff(spark, state, "orders", orders, "o_orderdate", CUTOFF_START, merge)
+    try:
+        load_by_cutoff(spark, state, "orders", orders, "o_orderdate", FIRST_LOAD_END, merge_and_fail)
+    except InterruptedError:
+        pass
+    load_by_cutoff(spark, state, "orders", orders, "o_orderdate", CUTOFF_END, merge)
+    load_by_cutoff(spark, state, "orders", orders, "o_orderdate", CUTOFF_START, merge_and_fail)
+    return whole(read_parts(spark, path)).withColumn("reached", F.lit(stored_cutoff(spark, state, "orders")))
+
+
 def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_violations(_staged(Sources(spark, sf_dir), "order"), "picked_date_key")
 
@@ -602,6 +675,11 @@ QUERIES: dict[str, Query] = {
     "q_incremental_filter": incremental_filter_query,
     "q_watermark_max": watermark_max,
     "q_merge_upsert": merge_upsert_query,
+    "q_merge_table": merge_table_query,
+    "q_late_versions": late_versions,
+    "q_stable_keys": stable_keys,
+    "q_scd1_apply": scd1_apply,
+    "q_load_by_cutoff": load_by_cutoff_query,
     "q_not_null": not_null,
     "q_orphan_keys": orphan_keys_query,
     "q_cutoff_window": cutoff_window_query,

@@ -1,4 +1,4 @@
-from dimspark.operators.cutoff import cutoff_window, update_cutoff, with_lineage
+from dimspark.operators.cutoff import cutoff_window, load_by_cutoff, stored_cutoff, update_cutoff, with_lineage
 from dimspark.operators.incremental import (
     incremental_filter,
     incremental_scd2,
@@ -9,6 +9,13 @@ from dimspark.operators.incremental import (
 )
 from dimspark.operators.lookup import Lookup, lookup_key, lookup_keys
 from dimspark.operators.quality import null_violations, orphan_keys
+from dimspark.operators.stored import (
+    overwrite_attributes,
+    read_dimension,
+    rebuild_dimension,
+    splice_dimension,
+    stable_dimension,
+)
 from dimspark.operators.temporal import point_in_time_join, scd1_latest
 from dimspark.operators.versions import dense_key, scd2_close, version_dimension
 
@@ -18,6 +25,7 @@ __all__ = [
     "dense_key",
     "incremental_filter",
     "incremental_scd2",
+    "load_by_cutoff",
     "load_scd2",
     "lookup_key",
     "lookup_keys",
@@ -25,9 +33,15 @@ __all__ = [
     "merge_upsert",
     "null_violations",
     "orphan_keys",
+    "overwrite_attributes",
     "point_in_time_join",
+    "read_dimension",
+    "rebuild_dimension",
     "scd1_latest",
     "scd2_close",
+    "splice_dimension",
+    "stable_dimension",
+    "stored_cutoff",
     "update_cutoff",
     "version_dimension",
     "watermark",

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from dimspark.functions.scalars import END_OF_TIME, START_OF_TIME, ts_literal
 from dimspark.operators.versions import version_dimension
 from dimspark.sources.loads import append_load, read_loads
-from dimspark.sources.tables import read_table, write_table
+from dimspark.sources.parts import PARTS, part_column, parts_of, read_parts, replace_parts, whole, with_part, write_parts
+from dimspark.sources.shared import store
 
 
 def watermark(df: DataFrame, col: str, floor: Column) -> DataFrame:
@@ -39,15 +40,23 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(updates)
 
 
-def merge_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], new_path: str) -> DataFrame:
-    """Merge ``updates`` into the table at ``path`` and write the result to ``new_path``.
+def merge_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], parts: int = PARTS) -> DataFrame:
+    """``merge_upsert`` into the table in parts at ``path``, in place; returns the table.
 
-    Plain parquet cannot be changed in place, so the old table stays valid until
-    the caller moves its readers to the new path.
+    Only parts that hold an updated key are read and written. Without a table the
+    updates become one, in ``parts`` parts. Merging the same updates again changes
+    nothing but rows without a key, which match nothing.
     """
-    if path == new_path:
-        raise ValueError("a table cannot be rewritten while it is read; give a new path")
-    return write_table(merge_upsert(read_table(spark, path), updates, keys), new_path)
+    table = read_parts(spark, path)
+    if table is None:
+        nothing = spark.createDataFrame([], updates.schema)
+        return write_parts(merge_upsert(nothing, store(updates), keys), path, keys, parts)
+    column = part_column(table)
+    changes = store(with_part(updates.select(*whole(table).columns), keys, table))
+    affected = parts_of(changes)
+    if affected:
+        replace_parts(spark, path, affected, merge_upsert(table.where(F.col(column).isin(affected)), changes, keys))
+    return whole(read_parts(spark, path))
 
 
 def _high_marks(target: DataFrame, start: str, key_name: str) -> tuple[Column, Column]:

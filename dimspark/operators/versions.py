@@ -83,6 +83,19 @@ def scd2_close(
     return rows.select(*open_rows.columns, _end().alias(end))
 
 
+def closed_rows(
+    df: DataFrame, key: str, start: str = "valid_from", ties: Sequence[str] | None = None, end: str = "valid_to"
+) -> tuple[DataFrame, list[str]]:
+    """Ordered rows with ``end`` set, their slice and position, and ``_number``, their place in the whole order.
+
+    Also returns the columns of ``df`` without ``end``.
+    """
+    open_rows = df.drop(end)
+    others = _other_columns(open_rows, key, start)
+    rows = with_next(open_rows, key, start, others if ties is None else ties)
+    return rows.withColumn(end, _end()).withColumn("_number", F.col("_before") + place_in_slice()), open_rows.columns
+
+
 def version_dimension(
     df: DataFrame,
     key: str,

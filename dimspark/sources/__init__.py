@@ -1,4 +1,5 @@
 from dimspark.sources.loads import append_load, load_names, read_loads
+from dimspark.sources.parts import read_parts, replace_parts, whole, write_parts
 from dimspark.sources.schemas import SOURCE_SCHEMAS, source_schema
 from dimspark.sources.shared import collected, remove_stored, scratch, shared_folder, store
 from dimspark.sources.tables import (
@@ -19,14 +20,18 @@ __all__ = [
     "layer_path",
     "load_names",
     "read_loads",
+    "read_parts",
     "read_seed",
     "read_source",
     "read_table",
     "register_views",
     "remove_stored",
+    "replace_parts",
     "scratch",
     "shared_folder",
     "source_schema",
     "store",
+    "whole",
+    "write_parts",
     "write_table",
 ]

@@ -74,17 +74,6 @@ def test_merge(spark, rows):
     assert rows(merge_upsert(target, updates, ["id"])) == expected
 
 
-def test_merge_into_a_table(spark, rows, tmp_path):
-    old, new = str(tmp_path / "old"), str(tmp_path / "new")
-    write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string"), old)
-    updates = spark.createDataFrame([(2, "B")], "id bigint, v string")
-    merged = merge_table(spark, old, updates, ["id"], new)
-    assert rows(merged) == rows(read_table(spark, new)) == [(1, "a"), (2, "B")]
-    assert rows(read_table(spark, old)) == [(1, "a"), (2, "b")]
-    with pytest.raises(ValueError, match="new path"):
-        merge_table(spark, old, updates, ["id"], old)
-
-
 def test_cutoff_window(spark, ts, rows):
     df = spark.createDataFrame([(n, "", ts(n)) for n in range(5)], VERSIONS)
 
