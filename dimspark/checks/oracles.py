@@ -372,6 +372,31 @@ _MERGED = """SELECT c_custkey, c_name, CASE WHEN c_acctbal < 1000 THEN c_acctbal
     AS c_acctbal FROM customer UNION ALL SELECT s_suppkey + 1000000000, s_name, s_acctbal FROM supplier"""
 
 
+# Columns of two facts that must have a value, beside their keys.
+_REQUIRED = {
+    "order": ["order_date_key", "picked_date_key", "wwi_order_id", "quantity"],
+    "purchase": ["date_key", "wwi_purchase_order_id", "ordered_quantity", "is_order_finalized"],
+}
+
+
+def _checked() -> str:
+    """Rows that break a rule: NULLs, and keys of versions that are not current."""
+    models, parts = [], []
+    for fact, roles in (("order", _ORDER_ROLES), ("purchase", _PURCHASE_ROLES)):
+        keyed = _keyed(f"stg_{fact}", ", ".join(_REQUIRED[fact]), roles)
+        models.append(f"f_{fact} AS MATERIALIZED ({keyed})")
+        rules = [(c, "not_null", f"{c} IS NULL") for c in [*_REQUIRED[fact], *[r[0] for r in roles]]]
+        for alias, _, dim, _, key in roles:
+            rules.append((alias, "known", f"{alias} <> 0 AND {alias} NOT IN (SELECT {key} FROM {dim} WHERE valid_to = {_END})"))
+        for column, rule, broken in rules:
+            parts.append(
+                f"SELECT '{fact}' AS model, '{column}' AS column_name, '{rule}' AS rule, (SELECT count(*) FROM f_{fact} WHERE {broken}) AS failures, "
+                f"(SELECT count(*) FROM f_{fact}) AS rows"
+            )
+    text = ", ".join(models) + "\n" + " UNION ALL ".join(parts)
+    return _with(text).replace("\nf_order AS", ",\nf_order AS", 1)
+
+
 def _two_loads(first: str) -> str:
     """All order versions, closed; those of the first load are numbered first, then the others."""
     copy = "row_number() OVER (PARTITION BY o_custkey, valid_from ORDER BY o_orderkey) AS copy"
@@ -558,6 +583,8 @@ ORACLES: dict[str, str] = {
         LEFT JOIN customer ON o_custkey = c_custkey"""
     ),
     "q_load_by_cutoff": "SELECT *, '1998-06-30 00:00:00' AS reached FROM orders WHERE o_orderdate <= TIMESTAMP '1998-06-30'",
+    "q_checked_write": _checked(),
+    "q_run_log": f"SELECT lineage_key, model, n AS rows, true AS in_order FROM ({_build_warehouse()}), (VALUES (41::BIGINT), (42)) t(lineage_key)",
     "q_not_null": _with("SELECT * FROM stg_order WHERE picked_date_key IS NULL"),
     "q_orphan_keys": f"""SELECT k.* FROM ({_LOOKUP}) k WHERE customer_key <> 0 AND customer_key NOT IN (
         SELECT CAST(n AS BIGINT) FROM (SELECT row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey) AS n,

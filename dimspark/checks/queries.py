@@ -45,7 +45,9 @@ from dimspark.operators import (
     with_lineage,
 )
 from dimspark.plans import dimensions, enrichment, facts, staging
-from dimspark.plans.warehouse import build_warehouse, dimension_plans, fact_plans, plan_all
+from dimspark.operators.quality import REPORT
+from dimspark.plans.rules import fact_rules
+from dimspark.plans.warehouse import build_warehouse, checked, dimension_plans, fact_plans, logged, plan_all, store_log
 from dimspark.sources import (
     SOURCE_SCHEMAS,
     layer_path,
@@ -578,6 +580,30 @@ def not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return null_violations(_staged(Sources(spark, sf_dir), "order"), "picked_date_key")
 
 
+def checked_write_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order and purchase facts, checked while they are written; known are the current versions only."""
+    plans = _dimension_plans(spark, sf_dir)
+    dims = plan_all({name: plans[name] for name in ("city", "customer", "stock_item", "employee", "supplier")})
+    dims = {name: store(df) for name, df in dims.items()}
+    current = {name: df.where(F.col("valid_to") == ts_literal(END_OF_TIME)) for name, df in dims.items()}
+    rules, facts_of = fact_rules(current), fact_plans(Sources(spark, sf_dir), dims)
+    folder, report = _new_folder(spark), []
+    write = checked(lambda name, df: write_table(df, f"{folder}/{name}"), rules, report)
+    for name in ("order", "purchase"):
+        write(name, facts_of[name]())
+    return spark.createDataFrame(report, REPORT)
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of the whole build, logged by their ids; times only by their order."""
+    folder, src = _new_folder(spark), Sources(spark, sf_dir)
+    for run_id in (41, 42):
+        log: list[tuple] = []
+        build_warehouse(src, logged(lambda name, df: write_table(df, f"{folder}/{name}"), run_id, log), ts_literal(SNAPSHOT))
+        table_of_runs = store_log(spark, f"{folder}/runs", log)
+    return table_of_runs.select("lineage_key", "model", "rows", (F.col("started") <= F.col("finished")).alias("in_order"))
+
+
 def orphan_keys_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose customer version is no longer the current one."""
     dim = store(customer_dim(spark, sf_dir))
@@ -681,6 +707,8 @@ QUERIES: dict[str, Query] = {
     "q_scd1_apply": scd1_apply,
     "q_load_by_cutoff": load_by_cutoff_query,
     "q_not_null": not_null,
+    "q_checked_write": checked_write_query,
+    "q_run_log": run_log,
     "q_orphan_keys": orphan_keys_query,
     "q_cutoff_window": cutoff_window_query,
     "q_update_cutoff": update_cutoff_query,

@@ -8,7 +8,7 @@ from dimspark.operators.incremental import (
     watermark,
 )
 from dimspark.operators.lookup import Lookup, lookup_key, lookup_keys
-from dimspark.operators.quality import null_violations, orphan_keys
+from dimspark.operators.quality import Rules, checked_write, null_violations, orphan_keys
 from dimspark.operators.stored import (
     overwrite_attributes,
     read_dimension,
@@ -21,6 +21,8 @@ from dimspark.operators.versions import dense_key, scd2_close, version_dimension
 
 __all__ = [
     "Lookup",
+    "Rules",
+    "checked_write",
     "cutoff_window",
     "dense_key",
     "incremental_filter",

@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from datetime import UTC, datetime
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
+from dimspark.operators.quality import Rules, checked_write
 from dimspark.plans import dimensions, enrichment, facts, staging
+from dimspark.plans.rules import fact_rules
 from dimspark.session import require_settings
+from dimspark.sources.loads import append_load
 from dimspark.sources.shared import scratch
 
 Writer = Callable[[str, DataFrame], DataFrame]
 
+# A row for each model that a run has written.
+RUN_LOG = "lineage_key bigint, model string, rows bigint, started timestamp_ntz, finished timestamp_ntz"
+
 # Models that are built at the same time; they do not depend on each other.
 CONCURRENT_BUILDS = 8
 
@@ -107,11 +115,48 @@ def fact_plans(
     }
 
 
+def checked(write: Writer, rules: Mapping[str, Rules], report: list[tuple]) -> Writer:
+    """``write`` that checks the models which have rules, in the same pass, and adds to ``report``."""
+
+    def write_checked(name: str, df: DataFrame) -> DataFrame:
+        if name not in rules:
+            return write(name, df)
+        table, found = checked_write(name, df, rules[name], write)
+        report.extend(found)
+        return table
+
+    return write_checked
+
+
+def logged(write: Writer, run_id: int, log: list[tuple]) -> Writer:
+    """``write`` that adds a row of ``RUN_LOG`` to ``log`` for each model: rows written, counted while they are, and times."""
+
+    def write_logged(name: str, df: DataFrame) -> DataFrame:
+        seen, started = Observation(), datetime.now(UTC).replace(tzinfo=None)
+        table = write(name, df.observe(seen, F.count(F.lit(1)).alias("rows")))
+        log.append((run_id, name, seen.get["rows"], started, datetime.now(UTC).replace(tzinfo=None)))
+        return table
+
+    return write_logged
+
+
+def store_log(spark: SparkSession, path: str, log: Sequence[tuple]) -> DataFrame:
+    """Add the rows of a run to the table of runs at ``path``, and return the table."""
+    return append_load(spark.createDataFrame(list(log), RUN_LOG), path)
+
+
 def build_warehouse(
-    src: Mapping[str, DataFrame], write: Writer, as_of: Column | None = None, stored_city: DataFrame | None = None
+    src: Mapping[str, DataFrame],
+    write: Writer,
+    as_of: Column | None = None,
+    stored_city: DataFrame | None = None,
+    report: list[tuple] | None = None,
 ) -> dict[str, DataFrame]:
     """Build and write all dimensions, then all facts; returns ``dim_*`` and ``fct_*`` tables.
 
+    With a list ``report`` the facts are checked by their rules while they are written,
+    and a row of ``dimspark.operators.quality.REPORT`` is added for each rule.
+
     ``write`` must not replace the table that ``stored_city`` reads. Intermediate
     tables are removed at the end, also if a model fails. The session's settings
     are checked first.
@@ -120,6 +165,8 @@ def build_warehouse(
     require_settings(spark)
     with scratch(spark):
         dims = write_all(dimension_plans(src, stored_city), lambda name, df: write(f"dim_{name}", df))
+        if report is not None:
+            write = checked(write, {f"fct_{name}": rules for name, rules in fact_rules(dims).items()}, report)
         facts_written = write_all(fact_plans(src, dims, as_of), lambda name, df: write(f"fct_{name}", df))
     tables = {f"dim_{name}": df for name, df in dims.items()}
     return tables | {f"fct_{name}": df for name, df in facts_written.items()}
