@@ -22,7 +22,9 @@ Ways to find it, all with the same result:
 The first two are wishes: where the measured periods don't allow them, the lookup
 goes on as ``auto`` does. Broadcasts of all lookups of a fact share one budget of
 bytes. If any lookup needs the fact's moments, the fact is written once, so that
-its plan is evaluated once and a moment is the same wherever it is used.
+its plan is evaluated once and a moment is the same wherever it is used. If several
+lookups can't be broadcast, they are resolved on the ids and moments of numbered rows,
+and the fact itself is shuffled once, by the number.
 """
 
 from __future__ import annotations
@@ -53,6 +55,8 @@ from dimspark.sources.shared import store
 
 Strategy = Literal["auto", "broadcast", "union_window", "ranked"]
 
+_ROW = "_fact_row"
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -118,12 +122,29 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
         if choice.strategy == "broadcast" and choice.history.bytes <= left:
             left -= choice.history.bytes
             chosen[of] = replace(choice, small=True)
-    if any(choice.strategy != "broadcast" for choice in chosen.values()):
-        fact = store(fact)
-    keyed = fact
-    for looks in _sharing(lookups):
-        keyed = _add_keys(keyed, fact, looks, chosen[*looks[0].periods, looks[0].key, looks[0].strategy])
     columns = [*fact.columns, *[look.alias for look in lookups]]
+
+    def choice_of(looks: list[Lookup]) -> _Choice:
+        return chosen[*looks[0].periods, looks[0].key, looks[0].strategy]
+
+    together = _sharing(lookups)
+    large = [looks for looks in together if not choice_of(looks).small]
+    if sum(map(len, large)) > 1:
+        # The wide fact would move once for each role. Instead its rows are numbered, the
+        # roles are resolved on ids, moments and numbers alone, and the fact moves once.
+        fact = store(fact.withColumn(_ROW, F.monotonically_increasing_id()))
+        roles = [look for looks in large for look in looks]
+        keyed = narrow = fact.select(_ROW, *dict.fromkeys(c for look in roles for c in (look.fact_id, look.at)))
+        for looks in large:
+            keyed = _add_keys(keyed, narrow, looks, choice_of(looks))
+        keyed = fact.join(keyed.select(_ROW, *[look.alias for look in roles]), _ROW)
+        together = [looks for looks in together if choice_of(looks).small]
+    else:
+        if any(choice.strategy != "broadcast" for choice in chosen.values()):
+            fact = store(fact)
+        keyed = fact
+    for looks in together:
+        keyed = _add_keys(keyed, fact, looks, choice_of(looks))
     return keyed.select(*columns)
 
 

@@ -110,3 +110,26 @@ def test_broadcasts_share_a_budget_of_bytes(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # Types and payment methods fit; customers and suppliers are shuffled.
     assert "SortMergeJoin" in text and text.count("BroadcastHashJoin") >= 2
+
+
+@pytest.mark.parametrize("long", [False, True])
+def test_a_wide_fact_moves_once_for_five_large_lookups(spark, stored, long):
+    """Customers, cities, items and employees beyond the broadcasts, as joins and by sorted moments."""
+    import re
+
+    from dimspark.operators.histories import BROADCAST_BYTES, LONGEST_JOINED
+
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", BROADCAST_BYTES[0]: "0", **({LONGEST_JOINED[0]: "0"} if long else {})}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        result = queries.QUERIES["q_fct_sale"](spark, SF_DIR)
+        text = result._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        for key in changed:
+            spark.conf.unset(key)
+    exchanges = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", text)
+    assert len(exchanges) >= 6
+    assert sum("description#" in columns for columns in exchanges) == 1
+    # The fact's own plan, with its join of headers and lines, is evaluated once.
+    assert sum("lineitem.parquet" in p and "orders.parquet" in p and "monotonically_increasing_id" in p for p in stored) == 1
