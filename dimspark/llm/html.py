@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from zlib import crc32
 
 import numpy as np
@@ -70,7 +71,7 @@ BLOCKS = (
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section "
     "summary table tbody td tfoot th thead tr ul"
 ).split()
-CUT = "nav footer aside form menu button dialog search".split()
+CUT = "nav footer aside menu button dialog search".split()
 CUT_ROLES = "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split()
 CUT_NAMES = (
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent "
@@ -79,6 +80,13 @@ CUT_NAMES = (
     "toolbar widget"
 ).split()
 
+# Words that say where or how large a part is; with a word from CUT_NAMES they name one, as in "site-footer".
+PLACE_NAMES = (
+    "area bar block bottom box button buttons column container content desktop fixed form global group inner item items "
+    "layout left link links list main mobile outer page panel posts primary region right row secondary section site slot "
+    "sticky top unit wrap wrapper"
+).split()
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>"
     r"|<(?P<close>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)",
@@ -92,52 +100,86 @@ _SIBLINGS = {
     "option": {"option"}, "p": {"p"},
 }
 _VOID, _SILENT, _RAW, _BLOCKS, _CUT = map(frozenset, (VOID, SILENT, RAW, BLOCKS, CUT))
-_ROLES, _NAMES = frozenset(CUT_ROLES), frozenset(CUT_NAMES)
+_ROLES, _NAMES, _PLACES = frozenset(CUT_ROLES), frozenset(CUT_NAMES), frozenset(PLACE_NAMES)
 _HEADERS = frozenset("banner header masthead".split())
 _COMMENTS = frozenset("comment comments commentlist replies respond".split())
 
 
-def _is_cut(tag: str, attributes: str, in_main: bool) -> bool:
-    if tag in _CUT or (tag == "header" and not in_main):
-        return True
+def _named(value: str, names: frozenset[str]) -> bool:
+    """Whether a class or an id is one of ``names``, or made of one and words of place alone: not "share-price"."""
+    for whole in value.split():
+        parts = [part for part in re.split(r"[^a-z0-9]+", whole) if part]
+        if not names.isdisjoint(parts) and all(part in names or part in _PLACES for part in parts):
+            return True
+    return False
+
+
+def _cuts(tag: str, attributes: str, in_main: bool) -> str | None:
+    """``cut`` for elements that are no text by what they are; ``named`` for those that only seem so by a name, and forms."""
+    if tag == "form":
+        kind = "named"
+    else:
+        kind = "cut" if tag in _CUT or (tag == "header" and not in_main) else None
     if not attributes or tag in ("main", "body", "html"):
-        return False
+        return kind
     # Within the main part a header by name is its own, as a header element is.
     names = _COMMENTS if tag == "article" else _NAMES - _HEADERS if in_main else _NAMES
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "cut"
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return "cut"
         if name == "role" and value in _ROLES:
-            return True
-        if name in ("class", "id") and not names.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+            return "cut"
+        if name in ("class", "id"):
+            if _named(value, names & _COMMENTS):
+                return "cut"
+            if _named(value, names):
+                kind = kind or "named"
+    return kind
+
+
+class _Zone:
+    """An element that sets a zone, and the words in it: of main elements, and all."""
+
+    __slots__ = ("kind", "main", "words")
+
+    def __init__(self, kind: str):
+        self.kind, self.main, self.words = kind, 0, 0
 
 
 def blocks(page: str) -> list[tuple[str, str]]:
-    """(zone, text) of each block of a page, in order; white space is one space, empty blocks are left out."""
-    found: list[tuple[str, str]] = []
+    """(zone, text) of each block of a page, in order; white space is one space, empty blocks are left out.
+
+    An element that is cut by its name alone, or is a form, stays if it holds more
+    than half of the words in main elements, or of all words where no main element
+    has any: then it is a frame around the page.
+    """
+    found: list[tuple[tuple[_Zone, ...], str]] = []
     text: list[str] = []
-    stack: list[tuple[str, str | None]] = []  # open elements with the zone they set
-    zones: list[str] = ["open"]
+    stack: list[tuple[str, _Zone | None]] = []  # open elements with the zone they set
+    opened: Counter[str] = Counter()
+    bases: list[int] = []  # places in the stack of elements that aren't inline, or set a zone
+    zones: tuple[_Zone, ...] = ()
     silent = 0
 
     def flush() -> None:
         joined = _SPACE.sub(" ", html.unescape("".join(text))).strip()
         text.clear()
         if joined:
-            found.append((zones[-1], joined))
+            found.append((zones, joined))
 
     def leave() -> None:
-        nonlocal silent
+        nonlocal silent, zones
         tag, zone = stack.pop()
+        opened[tag] -= 1
+        if bases and bases[-1] == len(stack):
+            bases.pop()
         if tag in _BLOCKS or zone:
             flush()
         if zone:
-            zones.pop()
+            zones = zones[:-1]
         silent -= tag in _SILENT
 
     at = 0
@@ -153,7 +195,7 @@ def blocks(page: str) -> list[tuple[str, str]]:
             continue
         tag = m["tag"].lower()
         if m["close"]:
-            if any(tag == t for t, _ in reversed(stack)):
+            if opened[tag]:
                 while stack[-1][0] != tag:
                     leave()
                 leave()
@@ -173,41 +215,56 @@ def blocks(page: str) -> list[tuple[str, str]]:
             close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.IGNORECASE).search(page, at)
             at = close.end()
             continue
-        ends = _SIBLINGS.get(tag) or ({"p"} if tag in _CLOSES_P else set())
-        while stack and not silent and (stack[-1][0] in ends or (ends and _inline_above(stack, ends))):
-            leave()
+        ends = _SIBLINGS.get(tag) or ({"p"} if tag in _CLOSES_P else ())
+        # The nearest element that isn't inline, if it ends here; inline elements left open go with it.
+        while ends and bases and not silent and stack[bases[-1]][0] in ends:
+            for _ in range(len(stack) - bases[-1]):
+                leave()
         if tag in _BLOCKS and not silent:
             flush()
-        in_main = "main" in zones
-        zone = None
-        if zones[-1] != "cut":
-            if _is_cut(tag, m["attributes"], in_main):
-                zone = "cut"
-            elif tag in ("article", "main"):
-                zone = "main"
+        kind = None
+        if len(zones) < DEEPEST and (not zones or zones[-1].kind != "cut"):
+            kind = _cuts(tag, m["attributes"], any(zone.kind == "main" for zone in zones)) or ("main" if tag in ("article", "main") else None)
+        zone = _Zone(kind) if kind else None
         if zone and tag not in _BLOCKS:
             flush()
+        if zone or tag not in _INLINE:
+            bases.append(len(stack))
         stack.append((tag, zone))
+        opened[tag] += 1
         if zone:
-            zones.append(zone)
+            zones = (*zones, zone)
         silent += tag in _SILENT
     while stack:
         leave()
     flush()
-    return found
+    return _zoned(found)
 
 
-_INLINE = frozenset("a abbr b big cite code em font i mark q s small span strike strong sub sup tt u".split())
+# Zones within zones that are told apart; what lies deeper belongs to the last.
+DEEPEST = 64
 
 
-def _inline_above(stack: list[tuple[str, str | None]], ends: set[str]) -> bool:
-    """The nearest element that isn't inline is one of ``ends``: inline elements left open go with it."""
-    for tag, zone in reversed(stack):
-        if tag in ends:
-            return True
-        if tag not in _INLINE or zone:
-            return False
-    return False
+def _zoned(found: list[tuple[tuple[_Zone, ...], str]]) -> list[tuple[str, str]]:
+    """The zone of each block, when all words have been seen."""
+    all_words = all_main = 0
+    for zones, text in found:
+        words = text.count(" ") + 1
+        kinds = {zone.kind for zone in zones}
+        main = words if "main" in kinds and "cut" not in kinds else 0
+        all_words, all_main = all_words + words, all_main + main
+        for zone in zones:
+            zone.words += words
+            zone.main += main
+
+    def cuts(zone: _Zone) -> bool:
+        frame = 2 * zone.main > all_main if all_main else 2 * zone.words > all_words
+        return zone.kind == "cut" or (zone.kind == "named" and not frame)
+
+    return [("cut" if any(map(cuts, zones)) else "main" if any(z.kind == "main" for z in zones) else "open", text) for zones, text in found]
+
+
+_INLINE = frozenset("a abbr b big cite code em font i mark q s small span strike strong sub sup tt u".split())
 
 
 def main_text(page: str) -> str | None:

@@ -138,3 +138,40 @@ def test_repeats_judge_main_blocks_and_open_bodies_stay(spark):
     assert found[:10] == bodies[:10]
     assert found[10:20] == [f"t{i}\n{b}" for i, b in enumerate(bodies[10:20])]
     assert found[20:] == [f"{bodies[29]}\n{b}" if i < 3 else b for i, b in enumerate(bodies[20:29])]
+
+
+BODY = "the old mill on the river was sold to the people who had run it for years"
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<div class="layout has-sidebar"><article><p>{}</p></article></div>', "{}"),
+        ('<div id="page" class="content-sidebar"><article><p>{}</p></article></div>', "{}"),
+        ('<div class="with-fixed-header"><main><p>{}</p></main></div>', "{}"),
+        ("<form action=/x><div><article><p>{}</p></article></div><input name=q></form>", "{}"),
+        ('<div class="sidebar"><main><p>{}</p></main></div><footer>f</footer>', "{}"),
+        ('<article><p class="share-price">{}</p><div class="related-to-topic">x y</div></article>', "{}\nx y"),
+        ('<article><p>{}</p><div class="related-posts">other</div><form><p>search</p></form></article>', "{}"),
+        ('<div class="site-header">top</div><div class="cookie-banner">c</div><main>{}</main>', "{}"),
+        ("<main><p>{}</p></main><div class=related><article>a card</article><article>another</article></div>", "{}"),
+        ("<main><p>m</p></main><div id=comments>" + "<article>a long answer of a reader</article>" * 9 + "</div>", "m"),
+    ],
+)
+def test_names_cut_no_article_and_no_frame(page, text):
+    assert text_of(page.format(BODY)) == text.format(BODY)
+
+
+def test_a_form_around_a_page_without_a_main_element_is_a_frame(spark):
+    page = f"<form><div>{BODY}</div></form><div class=footer>f</div>"
+    assert texts_of(spark, [("http://a.example/", page)]) == [BODY]
+    assert html.blocks("<div>x y z a b c</div><form>search here</form>") == [("open", "x y z a b c"), ("cut", "search here")]
+
+
+@pytest.mark.parametrize("page", ["<b>" * 150_000 + "</i>" * 150_000, "<p><b>" * 100_000, "<div>" * 150_000 + "x", "<p><button>" + "<b>" * 50_000 + "<div></div>" * 50_000, "<nav>" * 100_000 + "</p>" * 50_000, "<article>" * 60_000 + "x"])
+def test_long_pages_of_open_elements_take_linear_time(page):
+    import time
+
+    began = time.perf_counter()
+    html.blocks(page)
+    assert time.perf_counter() - began < 5
