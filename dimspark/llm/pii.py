@@ -8,6 +8,9 @@ all parts of up to ``WIDEST`` tokens are. The words around an instance are its
 patterns. Instances and patterns make a graph. A pattern of a kind scores by
 the share of its distinct instances that are of the kind, an instance by how many
 scoring patterns hold it (noisy or); a few rounds carry scores through the graph.
+Instances without a base match that have the form of the kind are what a pattern is to
+find: once ``PROOF`` seeds speak for it, none of them counts against it. A reported
+part of a long run grows by the tokens behind it as far as it keeps the kind's form.
 Instances without a base form that end with a high score are reported, as spans,
 wherever a confident pattern holds them.
 
@@ -50,7 +53,11 @@ _TOKEN = rf"[^{_GAP}0-9@]*+[0-9@][^{_GAP}]*+"
 RUN = rf"(?<![^{_GAP}]){_TOKEN}(?:\x20{_TOKEN})*+"
 LABEL = r"^[A-Za-z_-]{2,}[:=](?=.)"  # glued to the value that it names
 WHOLE = 4  # tokens of a run that is an instance as it is
-WIDEST = 8  # tokens of a part of a longer run: 15 digits in pairs
+WIDEST = 8  # tokens of a part of a longer run that is an instance
+GROWN = 19  # tokens to which a reported part may grow, as many as an identifier has digits
+
+# Seeds of a pattern from which on unseen identifiers of the kind's form no longer count against it.
+PROOF = 10
 
 CONTEXT = 64  # code points on each side in which the neighbouring words are looked for
 
@@ -215,7 +222,7 @@ def _parts(rows: DataFrame) -> DataFrame:
     inside = _seed(F.col("bare"), lambda first, value: first != value)
     run = run.withColumn("whole", (F.size("tokens") <= WHOLE) & inside.isNull() & ~F.exists("tokens", lambda t: t.rlike(LABEL)))
     columns = ["_n", "start", "value", "before", "after"]
-    whole = run.where("whole").select(*columns, F.lit(True).alias("counts"))
+    whole = run.where("whole").select(*columns, F.lit(True).alias("counts"), F.array().cast("array<string>").alias("more"))
     split = _with_running_sums(run.where("NOT whole").withColumn("steps", F.transform("tokens", lambda t: F.length(t) + 1)), "steps", "ends")
     # Neighbours in the run, and the context of the run beyond its ends. Built before the run is dealt to rows, which
     # thus don't carry it.
@@ -227,7 +234,7 @@ def _parts(rows: DataFrame) -> DataFrame:
             F.when(i == 0, F.col("before")).when(i == 1, F.concat("before", own)).otherwise(own).alias("before"),
             F.when(left <= WIDEST, F.col("after")).otherwise("").alias("after"),
             left.alias("left"),
-            F.slice("tokens", i + 1, WIDEST + 1).alias("t"),
+            F.slice("tokens", i + 1, GROWN + 1).alias("t"),
         )
 
     places = F.transform(F.sequence(F.lit(0), F.size("tokens") - 1), near)
@@ -235,7 +242,12 @@ def _parts(rows: DataFrame) -> DataFrame:
     at = at.withColumn("w", F.explode(F.sequence(F.lit(1), F.least("left", F.lit(WIDEST)))))
     value = F.array_join(F.slice("t", F.lit(1), F.col("w")), " ")
     after = F.when(F.col("w") < F.col("left"), F.concat(F.lit(" "), F.element_at("t", F.col("w") + 1))).otherwise(F.col("after"))
-    parts = at.select("_n", "start", value.alias("value"), F.concat("before", F.lit(" ")).alias("before"), after.alias("after"), (F.col("w") == 1).alias("counts"))
+    # What the widest part may grow by when it is reported.
+    more = F.when((F.col("w") == WIDEST) & (F.col("left") > WIDEST), F.slice("t", WIDEST + 1, GROWN - WIDEST))
+    parts = at.select(
+        "_n", "start", value.alias("value"), F.concat("before", F.lit(" ")).alias("before"), after.alias("after"), (F.col("w") == 1).alias("counts"),
+        F.coalesce(more, F.array().cast("array<string>")).alias("more"),
+    )
     # A label is a neighbour, unless the colons are an address's own.
     label = F.when(is_like("ip", F.col("value")), "").otherwise(F.regexp_extract("value", LABEL, 0))
     parts = parts.withColumn("label", label)
@@ -243,7 +255,7 @@ def _parts(rows: DataFrame) -> DataFrame:
     return whole.unionByName(
         parts.select(
             "_n", (F.col("start") + n).alias("start"), F.expr("substring(value, length(label) + 1)").alias("value"),
-            F.concat("before", "label").alias("before"), "after", "counts",
+            F.concat("before", "label").alias("before"), "after", "counts", "more",
         )
     )
 
@@ -253,7 +265,7 @@ def _instances(rows: DataFrame) -> DataFrame:
     lead = F.length(F.regexp_extract("value", r"^[^A-Za-z0-9+(@]*", 0))
     run = _parts(rows).select(
         "_n", (F.col("start") + lead).alias("start"), _bare(F.col("value")).alias("value"),
-        F.lower("before").alias("l"), F.lower("after").alias("r"), "counts",
+        F.lower("before").alias("l"), F.lower("after").alias("r"), "counts", "more",
     ).where(F.length("value") > 0)
     one = F.regexp_extract("l", rf"([^{_GAP}]++)[{_GAP}]*+$", 1)
     two = F.regexp_extract("l", rf"([^{_GAP}]++[{_GAP}]++[^{_GAP}]++)[{_GAP}]*+$", 1)
@@ -269,7 +281,20 @@ def _instances(rows: DataFrame) -> DataFrame:
     # A part with more than a base match is none; the match is a part of its own, or lies across parts.
     run = run.where(F.col("seed").isNotNull() | _seed(F.col("value"), lambda first, value: F.lit(True)).isNull())
     end = (F.col("start") + F.length("value")).alias("end")
-    return run.select("_n", "start", end, "value", "seed", patterns.alias("patterns"), (F.col("counts") | F.col("seed").isNotNull()).alias("counts"))
+    return run.select(
+        "_n", "start", end, "value", "seed", patterns.alias("patterns"), (F.col("counts") | F.col("seed").isNotNull()).alias("counts"), "more"
+    )
+
+
+def _grown_end(kind: Column) -> Column:
+    """The end of a part with the tokens behind it, as many as leave it like its kind, so that none is reported in part."""
+
+    def longer(n: Column) -> Column:
+        return F.concat(F.col("value"), F.lit(" "), _bare(F.array_join(F.slice("more", F.lit(1), n), " ")))
+
+    fitting = F.filter(F.sequence(F.lit(1), F.size("more")), lambda n: _any_like(kind, longer(n)))
+    by = F.when(F.size("more") > 0, F.array_max(fitting))
+    return F.when(by.isNull(), F.col("end")).otherwise(F.col("start") + F.length(longer(by)))
 
 
 def _any_like(kind: Column, value: Column) -> Column:
@@ -288,19 +313,26 @@ def bootstrap(
     edges = store(edges.groupBy("value", "seed", "pattern").agg(F.max("counts").alias("counts")))
     seeds = edges.where("seed IS NOT NULL").select("value", F.col("seed").alias("kind")).distinct().withColumn("score", F.lit(1.0))
     counted = edges.where("counts")
-    sizes = counted.groupBy("pattern").agg(F.count("*").alias("size"))
-    scores, patterns = seeds, None
+    # Of each pattern: all instances, and for each kind those that have its form and no base match.
+    unseen = [F.count_if(F.col("seed").isNull() & is_like(kind, F.col("value"))) for kind in KINDS]
+    sizes = counted.groupBy("pattern").agg(F.count("*").alias("size"), F.array(*unseen).alias("unseen"))
+    scores, patterns = seeds.withColumn("seeds", F.lit(1)), None
     for _ in range(rounds):
-        mass = counted.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
+        mass = counted.join(scores, "value").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"), F.sum("seeds").alias("seeds"), F.count("*").alias("held"))
         scored = mass.where(F.col("mass") >= least_support).join(sizes, "pattern")
-        share = F.col("mass") / (F.col("size") + 1)
+        # Instances of another form or kind count against a pattern. Unseen ones of the form are what it is to
+        # find: they count against it only while few seeds speak for it.
+        alike = F.get("unseen", F.col("kind"))
+        against = F.col("size") - F.col("seeds") - alike
+        doubt = F.greatest(1 - F.col("seeds") / PROOF, F.lit(0.0)) * F.greatest(alike - (F.col("held") - F.col("seeds")), F.lit(0))
+        share = F.col("mass") / (F.col("mass") + against + doubt + 1)
         patterns = store(scored.select("pattern", "kind", share.alias("score")).where(F.col("score") >= pattern_score))
         if patterns.isEmpty():
             return None
         open_edges = edges.where("seed IS NULL").join(patterns, "pattern").where(_any_like(F.col("kind"), F.col("value")))
         missed = F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))
         found = store(open_edges.groupBy("value", "kind").agg((1 - missed).alias("score")))
-        scores = seeds.unionByName(found)
+        scores = seeds.withColumn("seeds", F.lit(1)).unionByName(found.withColumn("seeds", F.lit(0)))
     return patterns, found.where(F.col("score") >= instance_score).select("value", "kind")
 
 
@@ -326,7 +358,7 @@ def find_personal_data(
         slots = instances.where("seed IS NULL").withColumn("pattern", F.explode("patterns"))
         spans = slots.join(patterns.select("pattern", "kind"), "pattern").join(values, ["value", "kind"])
         # Of parts that begin alike the widest is reported.
-        widest = spans.groupBy("_n", "start", "kind").agg(F.max("end").alias("end"))
+        widest = spans.groupBy("_n", "start", "kind").agg(F.max(_grown_end(F.col("kind"))).alias("end"))
         added = widest.groupBy("_n").agg(F.collect_list(F.struct("start", "kind", "end")).alias("_more"))
         apart = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
         found = rows.join(added, "_n", "left").withColumn("_added", F.coalesce(apart, none))

@@ -77,3 +77,65 @@ def test_identifiers_in_lists_beside_others_and_behind_labels(spark):
     assert found[101]["spans"] == "phone:10:22,email:23:30"
     assert found[102]["spans"] == "phone:9:16"
     assert found[103]["spans"] == "email:4:11,phone:19:26,email:27:34"
+
+
+@pytest.mark.parametrize("unseen", [5, 60, 600])
+def test_unseen_identifiers_do_not_speak_against_their_pattern(spark, unseen):
+    rows = [(i, f"call phone: +49 (017) 555-{1000 + i} now please") for i in range(30)]
+    rows += [(1000 + i, f"call phone: 0171 {5550000 + i} now please") for i in range(unseen)]
+    found = pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r["spans"] for r in found if r["doc_id"] >= 1000} == {"phone:12:24"}
+
+
+def test_contexts_of_many_seeds_that_hold_other_forms_discover_nothing(spark):
+    rows = [(i, f"the +1 (017) 555-{1000 + i} x") for i in range(30)] + [(100 + i, f"the {i}00200300 x") for i in range(30)]
+    rows += [(200 + i, f"the {i} x") for i in range(40)] + [(300 + i, f"the a{i}@b.com x") for i in range(10)]
+    found = pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sum(r["n_added"] for r in found) == 0
+
+
+def test_a_number_of_single_digits_is_reported_whole(spark):
+    rows = [(i, f"lorem w{i} phone: +1 (017) 555-{1000 + i} ok") for i in range(40)]
+    rows += [(100, "my phone: 0 1 7 1 5 5 5 7 7 1 3 ok"), (101, "my phone: 0 1 7 1 5 5 5 7 7 1 3 4 4 4 4, ok")]
+    found = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found[100] == "phone:10:31" and found[101] == "phone:10:39"
+
+
+def loosely(text):
+    """Phone-like parts of up to four tokens behind the word ``tel``, in plain Python."""
+    import re
+
+    spans = []
+    for m in re.finditer(r"(?<!\S)tel ((?:[0-9()/.+-]+ ?)+)", text):
+        run = m[1].rstrip()
+        if 7 <= len(re.sub(r"\D", "", run)) <= 15 and re.fullmatch(r"[+(]?[0-9][0-9 ()./-]*[0-9]", run):
+            spans.append((m.start(1), m.start(1) + len(run)))
+    return spans
+
+
+def test_planted_identifiers_without_a_base_form_are_found_and_nothing_else(spark):
+    """All identifiers behind their word, in random documents, and no number elsewhere."""
+    rng = random.Random(11)
+    words = [f"w{c}" for c in "abcdefghijklmnopqrstuvwxyz"]
+    rows = []
+    for i in range(300):
+        text = [rng.choice(words) for _ in range(rng.randint(3, 30))]
+        for _ in range(rng.randint(0, 2)):
+            kind = rng.random()
+            if kind < 0.3:
+                text += ["tel", f"+49 (0171) 55{rng.randrange(10_000):05d}"]
+            elif kind < 0.6:
+                text += ["tel", rng.choice([f"0171/55{rng.randrange(10_000):05d}", f"0171 {rng.randrange(10**6, 10**7)}", f"(0171) {rng.randrange(10**6, 10**7)}"])]
+            else:
+                text += [rng.choice(words), str(rng.randrange(10 ** rng.randint(1, 9)))]
+            text += [rng.choice(words)]
+        rows.append((i, " ".join(text)))
+    found = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, SCHEMA)).collect()}
+    planted = missed = 0
+    for i, text in rows:
+        base = {(s, e) for s, _, e in plain.personal_data(text)}
+        added = {tuple(map(int, span.split(":")[1:])) for span in filter(None, found[i]["spans"].split(","))} - base
+        expected = {span for span in loosely(text) if not any(s < span[1] and span[0] < e for s, e in base)}
+        planted, missed = planted + len(expected), missed + len(expected - added)
+        assert added <= expected
+    assert planted > 50 and missed == 0
