@@ -4,8 +4,8 @@ Base kinds are found by their own form alone: ``assign``, ``access`` and ``hex``
 Besides, weak candidates for the parts of a credential are collected: identifiers
 (``id``), secrets (``secret``) and endpoints (``endpoint``) whose form alone proves
 nothing. Each identifier, weak or an ``access`` match, opens a scope: the lines
-within ``reach_lines`` of its own, at most ``reach_chars`` characters away, and the
-whole block of settings, sections and keys it lies in, however long. The
+within ``reach_lines`` of its own, however long they are, and the whole block of
+settings, sections and keys it lies in. The
 parts are interval-joined with the scopes, by bisection over their starts. A weak
 identifier or secret is reported only if a scope holds both an identifier and a
 secret, not overlapping, of which base matches may be one; an endpoint only if its
@@ -138,7 +138,7 @@ class _Parts:
         return any(self.spans[i][1] <= apart[0] for i in before) or any(self.spans[i][1] <= high for i in after)
 
 
-def linked_spans(text: str, base: list[Span], reach_lines: int = 5, reach_chars: int = 500) -> list[Span]:
+def linked_spans(text: str, base: list[Span], reach_lines: int = 5) -> list[Span]:
     """The weak spans whose complements are in scope."""
     taken = {(s, e) for s, e, _ in base}
     identifiers = [s for s in weak_ids(text) if s[:2] not in taken]
@@ -157,9 +157,7 @@ def linked_spans(text: str, base: list[Span], reach_lines: int = 5, reach_chars:
     def near(span: Span) -> tuple[int, int]:
         first = bisect_left(breaks, span[0]) - 1 - reach_lines
         last = bisect_left(breaks, span[1]) + reach_lines
-        low = breaks[first] + 1 if first >= 0 else 0
-        high = breaks[last] if last < len(breaks) else len(text)
-        return max(low, span[0] - reach_chars), min(high, span[1] + reach_chars)
+        return breaks[first] + 1 if first >= 0 else 0, breaks[last] if last < len(breaks) else len(text)
 
     def has(parts: _Parts, span: Span) -> bool:
         at = bisect_left(heads, span[0] + 1) - 1
@@ -181,21 +179,19 @@ FIELDS = [("n_assign", "bigint"), ("n_access", "bigint"), ("n_hex", "bigint"), (
 ADDED = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
 
 
-def scan(text: str, reach_lines: int = 5, reach_chars: int = 500) -> tuple:
+def scan(text: str, reach_lines: int = 5) -> tuple:
     base = base_spans(text)
     counts = [sum(kind == b for *_, b in base) for kind in BASE]
-    return (*counts, joined(base), joined([*base, *linked_spans(text, base, reach_lines, reach_chars)]))
+    return (*counts, joined(base), joined([*base, *linked_spans(text, base, reach_lines)]))
 
 
-def scan_secrets(
-    docs: DataFrame, reach_lines: int = 5, reach_chars: int = 500, keep: Sequence[str] | None = None
-) -> DataFrame:
+def scan_secrets(docs: DataFrame, reach_lines: int = 5, keep: Sequence[str] | None = None) -> DataFrame:
     """``docs`` with the numbers of base matches, a digest of them, and all spans, base and linked.
 
     ``keep`` names the columns to carry, all if it is None; one named like an added
     column is replaced.
     """
     rows = docs.select(packed(docs, keep), "text")
-    found = per_text(rows, "text", FIELDS, lambda: lambda text: scan(text, reach_lines, reach_chars))
+    found = per_text(rows, "text", FIELDS, lambda: lambda text: scan(text, reach_lines))
     digest: Column = F.sha2("base", 256)
     return found.withColumn("base_sha256", digest).select(ROW, *ADDED).select(*unpacked(keep or docs.columns, ADDED))
