@@ -2,8 +2,9 @@
 
 Each stage takes the documents that the one before kept, and all but the last
 return the columns of ``documents``. What a stage returns is written, and read
-again by the next; tables that a stage has stored on its way are removed when the
-next one begins.
+again by the next. ``run`` removes the tables that a stage has stored on its way when
+its result is written; a caller of single stages has them removed when the next one
+begins.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from dimspark.llm.quality import judge
 from dimspark.llm.queries import table
 from dimspark.llm.sharding import shard
 from dimspark.llm.simhash import one_of_each
-from dimspark.sources.shared import Scratch, collected, store
+from dimspark.sources.shared import Scratch, collected, scratch, store
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -86,8 +87,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read again."""
+    """All stages over ``documents``; what a stage returns is written and read again.
+
+    Tables that a stage stores on its way are removed when its result is written, but
+    for those of the last stage, which the returned DataFrame reads. Runs share nothing.
+    """
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        with scratch(spark) as own:
+            kept = stage.__wrapped__(spark, docs, sf_dir)
+            with own.suspended():
+                docs = store(kept)
+    return STAGES[-1][1].__wrapped__(spark, docs, sf_dir)

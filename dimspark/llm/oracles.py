@@ -87,10 +87,10 @@ FROM docs LEFT JOIN hits USING (r) LEFT JOIN found USING (r)
 
 
 def _crc32(text: str) -> str:
-    """The unsigned checksum of an ASCII text."""
+    """The unsigned checksum of a text in UTF-8."""
     step = "lambda x, _: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"
     of_byte = f"list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], {step})"
-    codes = f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
     return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), lambda c, b: {of_byte}), 4294967295::BIGINT)"
 
 
@@ -150,6 +150,19 @@ FROM placed p JOIN atop s USING (t) JOIN g{levels} g USING (doc), btop r
 """
 
 
+# Ranks within sources by the random key; all by fractional rank; sixteen even cuts.
+OP8 = f"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS t, md5(concat_ws(':', '42', doc_id::VARCHAR, md5(coalesce(text, '')))) AS k FROM documents),
+ranked AS (
+  SELECT *, ((row_number() OVER (PARTITION BY source ORDER BY k) - 1)::DOUBLE + 0.5) / (count(*) OVER (PARTITION BY source))::DOUBLE AS share FROM docs),
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY share, source IS NULL, source, k) - 1 AS n, count(*) OVER () AS total FROM ranked)
+SELECT doc_id, (strlen(t) + 1)::BIGINT AS size, {_crc32("t")}::BIGINT AS text_crc32, 'rows' AS law, (n * 16 // total)::INT AS shard,
+       (n - (n * 16 // total * total + 15) // 16)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM placed
+"""
+
 _CONV_KEY = "concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))"
 
 # Row by row, the least cost and audit for each state; up to two inserts before an edit, as more come back to a state.
@@ -168,8 +181,10 @@ placed AS (
   FROM damaged),
 judged AS MATERIALIZED (
   SELECT *, substr(role, 1, 1) AS c,
-         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN nth > 1 THEN 'd'
-              WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE '' END AS fault
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b' WHEN nth > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 't' ELSE '' END AS fault
   FROM placed),
 counts AS (
   SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) AS n,
@@ -209,4 +224,4 @@ FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN counts k ON c.conv
 LEFT JOIN pairs p ON c.conv_id IS NOT DISTINCT FROM p.conv_id LEFT JOIN ended e ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """
 
-ORACLES = {"op11_merkle": _op11(), "op13_repair": OP13, "op2_mixing": OP2, "op4_urls": _op4(), "op5_decontamination": OP5}
+ORACLES = {"op11_merkle": _op11(), "op13_repair": OP13, "op8_sharding": OP8, "op2_mixing": OP2, "op4_urls": _op4(), "op5_decontamination": OP5}

@@ -82,3 +82,15 @@ def test_sharding_places_every_document(stages):
 
 def test_run_gives_the_rows_of_the_last_stage(spark, stages):
     assert sorted(map(str, corpus_pipeline.run(spark, SF).collect())) == sorted(map(str, stages[-1][2].collect()))
+
+
+def test_runs_share_nothing(spark, stages):
+    first, second = corpus_pipeline.run(spark, SF), corpus_pipeline.run(spark, SF)
+    assert sorted(map(str, first.collect())) == sorted(map(str, second.collect()))
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_empty_tables(spark, name, stage):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = stage(spark, docs.limit(0), SF)
+    assert out.columns[: len(docs.columns)] == docs.columns and out.count() == 0
