@@ -8,9 +8,12 @@ from pyspark.sql import types as T
 
 
 def scattered(column: Column, kind: T.DataType, columns: list[str]) -> Column | None:
-    """``column``, with a hash of the row in place of NULL; None for types that can't hold one."""
-    if isinstance(kind, T.LongType):
-        return F.coalesce(column, F.xxhash64(*columns))
+    """``column``, with a hash of the row in place of NULL, in a type that holds both; None for other types."""
+    if isinstance(kind, T.IntegralType):
+        return F.coalesce(column.cast("bigint"), F.xxhash64(*columns))
+    if isinstance(kind, T.DecimalType):
+        # Whole digits for any hash beside the fractional digits of the id, which may be at most 18.
+        return F.coalesce(column, F.xxhash64(*columns).cast("decimal(20,0)")) if kind.scale <= 18 else None
     if isinstance(kind, T.StringType):
         return F.coalesce(column, F.xxhash64(*columns).cast("string"))
     return None

@@ -220,3 +220,25 @@ def test_one_id_with_a_third_of_moments_and_nested_versions(spark, ts):
     assert any("_cell" in c and "_width" in c for c in met)
     expected = sum(1 for n in range(2400) for v in (n // 3 - 1, n // 3 - 2) if v >= 0 and v < n / 3 <= v + 1.5 and n / 3 > v + 1)
     assert older.count() >= expected > 0
+
+
+@pytest.mark.parametrize("kind", ["int", "smallint", "bigint", "decimal(12,2)", "decimal(30,0)", "string"])
+def test_ids_of_any_type_are_scattered_where_they_are_missing(spark, kind):
+    """A third of the rows has no id; no task of the shuffle join gets them all."""
+    from dimspark.operators.joins import left_join
+
+    left = spark.range(9000).selectExpr(f"CAST(IF(id % 3 = 0, NULL, id % 500) AS {kind}) AS key", "id AS row")
+    right = spark.range(400).selectExpr(f"CAST(id AS {kind}) AS other", "id AS found")
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {key: spark.conf.get(key) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        joined = left_join(left, right, "key", "other", ["row"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        found = joined.agg(F.count("*"), F.count("found"), F.count_if(F.col("key").isNull() & F.col("found").isNotNull())).first()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert tuple(found) == (9000, sum(i % 500 < 400 for i in range(9000) if i % 3), 0)
+    assert len(sizes) == 8 and max(sizes) < 2 * 9000 / 8
