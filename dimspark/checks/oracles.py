@@ -583,6 +583,12 @@ ORACLES: dict[str, str] = {
         LEFT JOIN customer ON o_custkey = c_custkey"""
     ),
     "q_load_by_cutoff": "SELECT *, '1998-06-30 00:00:00' AS reached FROM orders WHERE o_orderdate <= TIMESTAMP '1998-06-30'",
+    "q_stage_order_bucketed": _with("SELECT * FROM stg_order"),
+    "q_adhoc_by_quarter": _with(
+        """SELECT CAST(year(order_date_key) AS INTEGER) AS year, CAST(month(order_date_key) AS INTEGER) AS month, count(*) AS lines,
+        count(DISTINCT wwi_order_id) AS orders, max(quantity) AS largest FROM stg_order
+        WHERE year(order_date_key) = 1997 AND quarter(order_date_key) = 2 GROUP BY ALL"""
+    ),
     "q_checked_write": _checked(),
     "q_run_log": f"SELECT lineage_key, model, n AS rows, true AS in_order FROM ({_build_warehouse()}), (VALUES (41::BIGINT), (42)) t(lineage_key)",
     "q_not_null": _with("SELECT * FROM stg_order WHERE picked_date_key IS NULL"),

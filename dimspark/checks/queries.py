@@ -51,6 +51,7 @@ from dimspark.plans.warehouse import build_warehouse, checked, dimension_plans,
 from dimspark.sources import (
     SOURCE_SCHEMAS,
     layer_path,
+    month_key,
     read_parts,
     read_seed,
     read_source,
@@ -59,6 +60,8 @@ from dimspark.sources import (
     shared_folder,
     store,
     whole,
+    write_bucketed,
+    write_monthly,
     write_parts,
     write_table,
 )
@@ -110,6 +113,15 @@ def _stage(name: str) -> Query:
     return query
 
 
+def stage_order_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines joined with their headers, both in buckets of the order id."""
+    src, folder, run = Sources(spark, sf_dir), _new_folder(spark), uuid.uuid4().hex
+    headers, lines = (
+        write_bucketed(src[name], f"{name.lower()}_{run}", f"{folder}/{name}", "orderid", 16) for name in ("Orders", "OrderLines")
+    )
+    return staging.stage_order(headers, lines, src["Customers"], src["PackageTypes"])
+
+
 def stage_order_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order amounts from a price of four and a rate of six fractional digits, and with a floating quantity."""
     src = Sources(spark, sf_dir)
@@ -640,6 +652,19 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def adhoc_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines by month of one quarter; only the partitions of its months are read."""
+    staged = _staged(Sources(spark, sf_dir), "order")
+    lines = write_monthly(staged, f"{_new_folder(spark)}/orders", "order_date_key")
+    days = dimensions.dim_date_for(table(spark, sf_dir, "orders"), "o_orderdate").withColumn("month_key", month_key(F.col("date_key")))
+    register_views(spark, {"monthly_orders": lines, "days": store(days)})
+    return spark.sql(
+        "SELECT d.year, d.month, count(*) AS lines, count(DISTINCT o.wwi_order_id) AS orders, max(o.quantity) AS largest "
+        "FROM monthly_orders o JOIN days d ON o.month_key = d.month_key AND o.order_date_key = d.date_key "
+        "WHERE d.year = 1997 AND d.quarter = 2 GROUP BY d.year, d.month"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "q_stage_rename": stage_rename,
     "q_stage_safe_int": stage_safe_int,
@@ -655,6 +680,7 @@ QUERIES: dict[str, Query] = {
     "q_stage_transaction_type": _stage("transaction_type"),
     "q_stage_movement": _stage("movement"),
     "q_stage_order": _stage("order"),
+    "q_stage_order_bucketed": stage_order_bucketed,
     "q_stage_order_decimal": stage_order_decimal,
     "q_stage_purchase": _stage("purchase"),
     "q_stage_sale": _stage("sale"),
@@ -714,4 +740,5 @@ QUERIES: dict[str, Query] = {
     "q_update_cutoff": update_cutoff_query,
     "q_with_lineage": with_lineage_query,
     "q_adhoc_sql": adhoc_sql,
+    "q_adhoc_by_quarter": adhoc_by_quarter,
 }

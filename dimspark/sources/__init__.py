@@ -1,3 +1,4 @@
+from dimspark.sources.layout import month_key, write_bucketed, write_monthly
 from dimspark.sources.loads import append_load, load_names, read_loads
 from dimspark.sources.parts import read_parts, replace_parts, whole, write_parts
 from dimspark.sources.schemas import SOURCE_SCHEMAS, source_schema
@@ -19,6 +20,7 @@ __all__ = [
     "collected",
     "layer_path",
     "load_names",
+    "month_key",
     "read_loads",
     "read_parts",
     "read_seed",
@@ -32,6 +34,8 @@ __all__ = [
     "source_schema",
     "store",
     "whole",
+    "write_bucketed",
+    "write_monthly",
     "write_parts",
     "write_table",
 ]

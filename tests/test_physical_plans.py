@@ -133,3 +133,40 @@ def test_a_wide_fact_moves_once_for_five_large_lookups(spark, stored, long):
     assert sum("description#" in columns for columns in exchanges) == 1
     # The fact's own plan, with its join of headers and lines, is evaluated once.
     assert sum("lineitem.parquet" in p and "orders.parquet" in p and "monotonically_increasing_id" in p for p in stored) == 1
+
+
+def test_bucketed_headers_and_lines_are_joined_without_a_shuffle(spark):
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    # Customers and packages are broadcast, as they may be in a large warehouse; headers and lines are beyond that.
+    spark.conf.set(key, "12000")
+    try:
+        text = plan(queries.QUERIES["q_stage_order_bucketed"](spark, SF_DIR))
+    finally:
+        spark.conf.set(key, before)
+    assert "SortMergeJoin" in text and "hashpartitioning" not in text and text.count("Bucketed: true") == 2, text
+
+
+def test_a_quarter_is_read_from_the_partitions_of_its_months(spark):
+    result = queries.QUERIES["q_adhoc_by_quarter"](spark, SF_DIR)
+    assert "dynamicpruning" in plan(result)
+    result.collect()
+    scans = [n for n in _nodes(result._jdf.queryExecution().executedPlan()) if "monthly" not in n.nodeName() and n.nodeName().startswith("Scan parquet")]
+    read = [n.metrics().apply("numPartitions").value() for n in scans if n.metrics().contains("numPartitions")]
+    assert read == [3]
+
+
+def _nodes(node):
+    """All nodes of a plan, through the final plans of adaptive execution."""
+    found, pending = [], [node]
+    while pending:
+        node = pending.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            pending.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            pending.append(node.plan())
+            continue
+        found.append(node)
+        children = node.children()
+        pending += [children.apply(i) for i in range(children.size())]
+    return found
