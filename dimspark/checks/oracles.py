@@ -589,6 +589,8 @@ ORACLES: dict[str, str] = {
         count(DISTINCT wwi_order_id) AS orders, max(quantity) AS largest FROM stg_order
         WHERE year(order_date_key) = 1997 AND quarter(order_date_key) = 2 GROUP BY ALL"""
     ),
+    "q_adhoc_join": """SELECT o_custkey AS c_custkey, count(*) AS lines, max(l_shipdate) AS last_shipped
+        FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_custkey <= 20 GROUP BY o_custkey""",
     "q_checked_write": _checked(),
     "q_run_log": f"SELECT lineage_key, model, n AS rows, true AS in_order FROM ({_build_warehouse()}), (VALUES (41::BIGINT), (42)) t(lineage_key)",
     "q_not_null": _with("SELECT * FROM stg_order WHERE picked_date_key IS NULL"),

@@ -50,6 +50,7 @@ from dimspark.plans.rules import fact_rules
 from dimspark.plans.warehouse import build_warehouse, checked, dimension_plans, fact_plans, logged, plan_all, store_log
 from dimspark.sources import (
     SOURCE_SCHEMAS,
+    by_cost,
     layer_path,
     month_key,
     read_parts,
@@ -60,6 +61,7 @@ from dimspark.sources import (
     shared_folder,
     store,
     whole,
+    write_analyzed,
     write_bucketed,
     write_monthly,
     write_parts,
@@ -652,6 +654,20 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def adhoc_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines, orders and a few of the customers, written in the worst order and joined by cost."""
+    folder, run = _new_folder(spark), uuid.uuid4().hex
+    names = {name: f"{name}_{run}" for name in ("lineitem", "orders", "customer")}
+    for name, stored in names.items():
+        write_analyzed(table(spark, sf_dir, name), stored, f"{folder}/{name}")
+    return by_cost(
+        spark,
+        f"SELECT c.c_custkey, count(*) AS lines, max(l.l_shipdate) AS last_shipped FROM {names['lineitem']} l "
+        f"JOIN {names['orders']} o ON l.l_orderkey = o.o_orderkey JOIN {names['customer']} c ON o.o_custkey = c.c_custkey "
+        "WHERE c.c_custkey <= 20 GROUP BY c.c_custkey",
+    )
+
+
 def adhoc_by_quarter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines by month of one quarter; only the partitions of its months are read."""
     staged = _staged(Sources(spark, sf_dir), "order")
@@ -741,4 +757,5 @@ QUERIES: dict[str, Query] = {
     "q_with_lineage": with_lineage_query,
     "q_adhoc_sql": adhoc_sql,
     "q_adhoc_by_quarter": adhoc_by_quarter,
+    "q_adhoc_join": adhoc_join,
 }

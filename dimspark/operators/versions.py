@@ -42,7 +42,8 @@ def with_next(df: DataFrame, key: str, start: str, ties: Sequence[str]) -> DataF
     ``_next`` is NULL for the last version of a key; a struct tells that apart
     from a next version whose start is NULL. ``_before`` counts the rows of
     earlier slices. Within a slice the next row is seen when the slice is written,
-    so the one range shuffle is all.
+    so the one range shuffle is all. The table of slices is found here, by a job while
+    the plan is built, and passes through the driver: one row for each slice.
     """
     rows = order_rows(df, _named([key, start, *ties]), next_of_key(key, df.schema[start]))
     head = F.min_by(F.struct(F.col(key).alias("key"), F.col(start).alias("start")), POSITION)

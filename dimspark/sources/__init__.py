@@ -1,4 +1,4 @@
-from dimspark.sources.layout import month_key, write_bucketed, write_monthly
+from dimspark.sources.layout import by_cost, month_key, write_analyzed, write_bucketed, write_monthly
 from dimspark.sources.loads import append_load, load_names, read_loads
 from dimspark.sources.parts import read_parts, replace_parts, whole, write_parts
 from dimspark.sources.schemas import SOURCE_SCHEMAS, source_schema
@@ -17,6 +17,7 @@ __all__ = [
     "SOURCE_SCHEMAS",
     "append_load",
     "as_view",
+    "by_cost",
     "collected",
     "layer_path",
     "load_names",
@@ -34,6 +35,7 @@ __all__ = [
     "source_schema",
     "store",
     "whole",
+    "write_analyzed",
     "write_bucketed",
     "write_monthly",
     "write_parts",

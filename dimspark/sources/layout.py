@@ -8,6 +8,9 @@ which adaptive execution splits.
 A fact in partitions by month of its date key is read in part where a query names
 days, months or quarters through the date dimension: ``month_key`` is in both tables,
 and a join on it lets the dimension's filter choose the partitions at run time.
+
+A table of the catalog with statistics of all its columns lets ``by_cost`` order the
+joins of an ad-hoc query by what they leave, not by how they are written.
 """
 
 from __future__ import annotations
@@ -46,3 +49,30 @@ def write_monthly(df: DataFrame, path: str, day: str) -> DataFrame:
 def read_monthly(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at ``path`` with the columns of ``like``."""
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+def write_analyzed(df: DataFrame, name: str, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` as the catalog's table ``name``, with statistics of all columns, and return it.
+
+    Types without statistics, such as arrays and maps, leave the rows and bytes only.
+    """
+    spark = df.sparkSession
+    df.write.format("parquet").mode("overwrite").option("path", path).saveAsTable(name)
+    nested = any(kind.startswith(("array", "map", "struct")) for _, kind in df.dtypes)
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS" + ("" if nested else " FOR ALL COLUMNS"))
+    return spark.table(name)
+
+
+def by_cost(spark: SparkSession, query: str) -> DataFrame:
+    """``spark.sql(query)``, its joins ordered by the statistics of the tables; the session's settings stay."""
+    settings = {"spark.sql.cbo.enabled": "true", "spark.sql.cbo.joinReorder.enabled": "true"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        result = spark.sql(query)
+        result._jdf.queryExecution().optimizedPlan()  # kept by the DataFrame
+        return result
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

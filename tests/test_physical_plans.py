@@ -155,6 +155,22 @@ def test_a_quarter_is_read_from_the_partitions_of_its_months(spark):
     assert read == [3]
 
 
+def test_statistics_order_the_joins_of_an_adhoc_query(spark, monkeypatch):
+    def order(result):
+        text = result._jdf.queryExecution().optimizedPlan().toString()
+        return sorted(("lineitem", "orders", "customer"), key=lambda name: text.index(f".{name}_"))
+
+    with_statistics = queries.QUERIES["q_adhoc_join"](spark, SF_DIR)
+    before = spark.conf.get("spark.sql.cbo.enabled")
+    monkeypatch.setattr(queries, "by_cost", lambda spark, query: spark.sql(query))
+    as_written = queries.QUERIES["q_adhoc_join"](spark, SF_DIR)
+    # The few customers meet their orders first, and only then the lines.
+    assert order(as_written) == ["lineitem", "orders", "customer"] != order(with_statistics)
+    assert set(order(with_statistics)[:2]) == {"customer", "orders"}
+    assert spark.conf.get("spark.sql.cbo.enabled") == before
+    assert sorted(map(tuple, with_statistics.collect())) == sorted(map(tuple, as_written.collect()))
+
+
 def _nodes(node):
     """All nodes of a plan, through the final plans of adaptive execution."""
     found, pending = [], [node]
