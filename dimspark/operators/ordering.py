@@ -12,7 +12,7 @@ whatever the data.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,9 +29,8 @@ _PLACE_BITS = 33
 SLICE = "_slice"
 POSITION = "_position"
 
-Batches = Iterator[pa.RecordBatch]
-# What is added to the rows of a slice, and how.
-Scan = tuple[Sequence[T.StructField], Callable[[Batches], Batches]]
+# A column's name, and a function of the columns of a slice's sorted rows that gives its values.
+Scan = tuple[str, Column]
 
 
 def order_rows(df: DataFrame, order: Sequence[Column], scan: Scan | None = None) -> DataFrame:
@@ -41,8 +40,8 @@ def order_rows(df: DataFrame, order: Sequence[Column], scan: Scan | None = None)
     range bounds are sampled, so a second evaluation could cut differently, and
     all readers must see the same slices. The last order column is the number of
     the input partition: it spreads exact copies, and unlike a random number it
-    is the same when a lost task runs again. ``scan`` adds columns to the sorted
-    rows of each slice on their way.
+    is the same when a lost task runs again. ``scan`` adds a column to the sorted
+    rows of each slice on their way; only the columns it reads pass through Python.
     """
     keys = [F.asc_nulls_first(c) for c in (*order, F.col("_origin"))]
     placed = (
@@ -53,8 +52,7 @@ def order_rows(df: DataFrame, order: Sequence[Column], scan: Scan | None = None)
         .withColumn(POSITION, F.monotonically_increasing_id())
     )
     if scan is not None:
-        fields, run = scan
-        placed = placed.mapInArrow(run, T.StructType([*placed.schema.fields, *fields]))
+        placed = placed.withColumn(*scan)
     return store(placed).withColumn(SLICE, F.shiftright(POSITION, _PLACE_BITS))
 
 
@@ -78,56 +76,53 @@ def _same(a: pa.Array, b: pa.Array) -> pa.Array:
     return pc.or_(both_null, pc.fill_null(pc.equal(a, b), False))
 
 
-def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, values], names=[*batch.schema.names, name])
-
-
 def next_of_key(key: str, start: T.StructField) -> Scan:
-    """Adds ``_next``: a struct with the ``start`` of the next row if that has the same ``key``, else NULL."""
-
-    def run(batches: Batches) -> Batches:
-        def marked(batch: pa.RecordBatch, following: pa.RecordBatch | None) -> pa.RecordBatch:
-            def shifted(name: str) -> pa.Array:
-                own = batch.column(name)
-                last = pa.nulls(1, own.type) if following is None else following.column(name).slice(0, 1)
-                return pa.concat_arrays([own.slice(1), last])
-
-            same = _same(batch.column(key), shifted(key)).to_numpy(zero_copy_only=False).copy()
-            if following is None:
+    """``_next``: a struct with the ``start`` of the next row if that has the same ``key``, else NULL."""
+    kind = T.StructType([T.StructField("start", start.dataType)])
+
+    @F.arrow_udf(kind)
+    def following(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        def marked(keys: pa.Array, starts: pa.Array, after: tuple[pa.Array, pa.Array] | None) -> pa.Array:
+            def shifted(own: pa.Array, first: pa.Array | None) -> pa.Array:
+                return pa.concat_arrays([own.slice(1), pa.nulls(1, own.type) if first is None else first])
+
+            next_key, next_start = (a.slice(0, 1) for a in after) if after else (None, None)
+            same = _same(keys, shifted(keys, next_key)).to_numpy(zero_copy_only=False).copy()
+            if after is None:
                 same[-1] = False
-            values = pa.StructArray.from_arrays([shifted(start.name)], names=["start"], mask=pa.array(~same))
-            return _with(batch, "_next", values)
+            return pa.StructArray.from_arrays([shifted(starts, next_start)], names=["start"], mask=pa.array(~same))
 
         held = None
         for batch in batches:
-            if batch.num_rows:
+            if len(batch[0]):
                 if held is not None:
-                    yield marked(held, batch)
+                    yield marked(*held, batch)
                 held = batch
         if held is not None:
-            yield marked(held, None)
+            yield marked(*held, None)
 
-    return [T.StructField("_next", T.StructType([T.StructField("start", start.dataType)]))], run
+    # What a row gets depends on its place, so the function must stay behind the sort.
+    return "_next", following.asNondeterministic()(F.col(key), F.col(start.name))
 
 
 def last_of_key(key: str, value: T.StructField) -> Scan:
-    """Adds ``_seen``: the last ``value`` that is not NULL among this row and those of its ``key`` before it."""
+    """``_seen``: the last ``value`` that is not NULL among this row and those of its ``key`` before it."""
 
-    def run(batches: Batches) -> Batches:
+    @F.arrow_udf(value.dataType)
+    def seen(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         import numpy as np
 
         kept: tuple[pa.Array, pa.Array] | None = None  # key and value of the last row that had one
-        for batch in batches:
-            keys, values = batch.column(key), batch.column(value.name)
+        for keys, values in batches:
             has = pc.is_valid(values).to_numpy(zero_copy_only=False)
             places = np.maximum.accumulate(np.where(has, np.arange(1, len(has) + 1), 0))
             before = kept or (pa.nulls(1, keys.type), pa.nulls(1, values.type))
             at = pa.array(places)
             of_key = pa.concat_arrays([before[0], keys]).take(at)
-            seen = pa.concat_arrays([before[1], values]).take(at)
-            yield _with(batch, "_seen", pc.if_else(_same(of_key, keys), seen, pa.nulls(len(seen), seen.type)))
+            found = pa.concat_arrays([before[1], values]).take(at)
+            yield pc.if_else(_same(of_key, keys), found, pa.nulls(len(found), found.type))
             if len(places) and places[-1]:
                 last = int(places[-1]) - 1
                 kept = keys.slice(last, 1), values.slice(last, 1)
 
-    return [T.StructField("_seen", value.dataType)], run
+    return "_seen", seen.asNondeterministic()(F.col(key), F.col(value.name))

@@ -1,6 +1,7 @@
 """What the plans must and must not contain."""
 
 import os
+import re
 
 import pytest
 
@@ -75,6 +76,17 @@ def test_versions_are_shuffled_once_to_close_and_number_them(spark, stored, name
     assert "Window" not in result.split("BroadcastExchange")[0] and "SortMergeJoin" not in result
 
 
+@pytest.mark.parametrize("name", ["q_scd2_close", "q_dim_customer"])
+def test_only_id_and_start_pass_through_python_to_close_versions(spark, stored, name):
+    queries.QUERIES[name](spark, SF_DIR)
+    (ordered,) = [p for p in stored if "rangepartitioning" in p]
+    assert "MapInArrow" not in ordered
+    (call,) = [line for line in ordered.splitlines() if "ArrowEvalPython [" in line]
+    given = re.search(r"following\(([^)]*)\)", call).group(1).split(", ")
+    # The rows are sorted before they are read in order; the other columns stay in the JVM.
+    assert len(given) == 2 and "Sort [" in ordered[ordered.index("ArrowEvalPython") :]
+
+
 def test_a_fact_is_evaluated_once_for_long_histories(spark, stored):
     from dimspark.checks.bindings import Sources
     from dimspark.operators.histories import LONGEST_JOINED

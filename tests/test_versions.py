@@ -43,6 +43,30 @@ def test_close_and_number_match_brute_force(spark, ts, rows, skewed):
     assert rows(scd2_close(df, "id")) == sorted([r[1:] for r in expected_versions(skewed, ts)], key=repr)
 
 
+@pytest.mark.parametrize("batch", [1, 7, 100])
+def test_periods_span_arrow_batches(spark, ts, rows, skewed, batch):
+    from dimspark.operators.histories import latest_versions
+
+    data = skewed[:600] + skewed[-40:]
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(batch))
+    try:
+        df = spark.createDataFrame(data, SCHEMA).repartition(3)
+        assert rows(scd2_close(df, "id")) == sorted([r[1:] for r in expected_versions(data, ts)], key=repr)
+        versions = df.select(F.col("id").alias("_id"), F.struct(F.col("valid_from").alias("start"), "name").alias("_version"))
+        moments = [(key, ts(at)) for key in (7, 3, 5, 250) for at in range(0, 400, 23)]
+        asked = spark.createDataFrame(moments, "_id bigint, _at timestamp_ntz")
+        found = latest_versions(asked, versions, True).select("_id", "_at", "_version.start", "_version.name")
+        expected = []
+        for key, at in moments:
+            seen = [(start, name) for k, start, name in data if k == key and start is not None and start <= at]
+            expected += [(key, at, *max(seen))] if seen else []
+        assert rows(found) == sorted(expected, key=repr)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_numbers_match_row_number(spark, ts, rows, skewed):
     df = spark.createDataFrame(skewed, SCHEMA).repartition(5)
     found = dense_key(df, ["id", "valid_from", "name"], "key", above=100)
