@@ -430,6 +430,10 @@ ORACLES: dict[str, str] = {
             "order", "purchase", "sale", "stock_holding", "transaction",
         )
     },
+    "q_stage_sale_window": _with(
+        """SELECT s.* FROM stg_sale s JOIN orders ON wwi_invoice_id = o_orderkey
+        WHERE o_orderdate > TIMESTAMP '1996-01-01' AND o_orderdate <= TIMESTAMP '1998-06-30'"""
+    ),
     "q_pit_inner": _with(
         """SELECT c_custkey, valid_from, stateprovincename AS state_province, countryname AS country FROM (
         SELECT c_custkey, c_nationkey, min(o_orderdate) AS valid_from FROM customer JOIN orders ON c_custkey = o_custkey

@@ -115,6 +115,13 @@ def _stage(name: str) -> Query:
     return query
 
 
+def stage_sale_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales of the invoices of one cutoff window; see ``session.LARGE_WINDOWS`` for what spares the other lines a shuffle."""
+    src = Sources(spark, sf_dir)
+    invoices = cutoff_window(src["Invoices"], "invoicedate", CUTOFF_START, CUTOFF_END)
+    return staging.stage_sale(invoices, src["InvoiceLines"], src["Customers"], src["StockItems"], src["PackageTypes"])
+
+
 def stage_order_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines joined with their headers, both in buckets of the order id."""
     src, folder, run = Sources(spark, sf_dir), _new_folder(spark), uuid.uuid4().hex
@@ -700,6 +707,7 @@ QUERIES: dict[str, Query] = {
     "q_stage_order_decimal": stage_order_decimal,
     "q_stage_purchase": _stage("purchase"),
     "q_stage_sale": _stage("sale"),
+    "q_stage_sale_window": stage_sale_window,
     "q_stage_stock_holding": _stage("stock_holding"),
     "q_stage_transaction": _stage("transaction"),
     "q_pit_inner": pit_inner,

@@ -17,6 +17,19 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# For windowed loads of a large warehouse: the ids of a window's headers, a Bloom filter of
+# fixed size, drop the other lines before the shuffle. Spark's own limits are for headers
+# of 10 MB by estimate and lines of 10 GB. More ids than a filter is made for let more lines pass.
+LARGE_WINDOWS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1t",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "50000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "402653184",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "50000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "402653184",
+}
+
 # Names under which a machine may have its zone set to UTC.
 _UTC = {"utc", "etc/utc", "uct", "etc/uct", "universal", "etc/universal", "zulu", "etc/zulu", "gmt", "etc/gmt", "z", "+00:00"}
 

@@ -183,6 +183,33 @@ def test_statistics_order_the_joins_of_an_adhoc_query(spark, monkeypatch):
     assert sorted(map(tuple, with_statistics.collect())) == sorted(map(tuple, as_written.collect()))
 
 
+def test_lines_outside_a_window_are_dropped_before_the_shuffle(spark):
+    from dimspark.session import LARGE_WINDOWS
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+    }
+    shuffled, results = [], []
+    for enabled in ("true", "false"):
+        changed = {**LARGE_WINDOWS, **small, "spark.sql.optimizer.runtime.bloomFilter.enabled": enabled}
+        before = {key: spark.conf.get(key, None) for key in changed}
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        try:
+            result = queries.QUERIES["q_stage_sale_window"](spark, SF_DIR)
+            results.append(sorted(map(str, result.collect())))
+            executed = result._jdf.queryExecution().executedPlan()
+            assert ("might_contain" in executed.toString()) == (enabled == "true")
+            exchanges = [n for n in _nodes(executed) if n.nodeName() == "Exchange" and "lineprofit" in n.output().mkString(",")]
+            shuffled.append(max(n.metrics().apply("shuffleRecordsWritten").value() for n in exchanges))
+        finally:
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    kept, every = shuffled
+    assert results[0] == results[1] and len(results[0]) <= kept < 0.6 * every
+
+
 def _nodes(node):
     """All nodes of a plan, through the final plans of adaptive execution."""
     found, pending = [], [node]
