@@ -9,10 +9,12 @@ lie: the length bound asks that the document has as many words, the positional
 bound that the window begins and ends inside it. What passes is compared word by
 word over the item-sized window.
 
-The benchmark is the side that is sent to the tasks, in blocks of about
-``block_words`` words whose size is checked; a larger benchmark takes more passes
-over the documents, with the same result. Documents never move. Long items are cut
-into overlapping pieces, so a block never depends on the length of an item.
+A benchmark of at most ``broadcast_words`` words is sent to the tasks, and documents
+never move. Beyond that, documents are shuffled by what can match: a bitmap of
+bounded size says which of their shingles can be a window's, these are counted, and
+the runs of words around rarest shingles are joined with the windows and compared
+there. Both ways give the same rows, and both read the documents a fixed number of
+times whatever the benchmark's size. Long items are cut into overlapping pieces.
 
 Defined results: a NULL or empty text, of a document or an item, has no words and
 matches nothing; items with the same text all count; items
@@ -24,10 +26,11 @@ get a row each; an empty benchmark leaves all documents clean.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimspark.llm.text import ROW, packed, per_text, unpacked
@@ -35,8 +38,14 @@ from dimspark.sources.shared import store
 
 WINDOW = 13
 SHINGLE = 5
-BLOCK_WORDS = 200_000
+BROADCAST_WORDS = 200_000
 PIECE = 10_000
+# The bitmap of shingles has 16 bits for each, but never more than 64 MB; if that is
+# too few, more runs of words are shuffled that match nothing.
+BITS_EACH = 16
+MOST_BITS = 29
+# Rows of an Arrow batch that a task makes from a text, however long.
+ROWS_AT_ONCE = 20_000
 
 FOUND = [("n_words", "bigint"), ("hits", "array<bigint>"), ("items", "array<string>")]
 ADDED = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
@@ -151,16 +160,10 @@ class Block:
         return of
 
 
-def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int) -> tuple[DataFrame, int]:
-    """The items cut into pieces that overlap by a window, dealt to blocks of bounded size; the number of blocks.
-
-    Pieces are distinct and dealt by all they hold, so that enough blocks part any two of them, also those of one
-    item whose id many rows bear.
-    """
+def benchmark_pieces(benchmark: DataFrame, window: int) -> DataFrame:
+    """The items cut into distinct pieces that overlap by a window."""
 
     def cut(batches):
-        import pyarrow as pa
-
         for batch in batches:
             rows = []
             for item, text in zip(batch.column("item"), batch.column("text"), strict=True):
@@ -175,16 +178,7 @@ def benchmark_blocks(benchmark: DataFrame, window: int, block_words: int) -> tup
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     named = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
-    pieces = store(named.mapInArrow(cut, "item string, n bigint, words binary").distinct())
-    total = pieces.agg(F.sum("n")).first()[0] or 0
-    blocks = max(1, -(-total // block_words))
-    while True:
-        number = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
-        largest = pieces.groupBy(number.alias("b")).agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
-        if largest <= 2 * block_words + PIECE + window:
-            break
-        blocks *= 2
-    return pieces.withColumn("block", number), blocks
+    return store(named.mapInArrow(cut, "item string, n bigint, words binary").distinct())
 
 
 def _occurrences(docs: DataFrame, block: Block, shingles: np.ndarray) -> np.ndarray:
@@ -192,8 +186,6 @@ def _occurrences(docs: DataFrame, block: Block, shingles: np.ndarray) -> np.ndar
     shared = docs.sparkSession.sparkContext.broadcast((block, shingles))
 
     def count(batches):
-        import pyarrow as pa
-
         block, shingles = shared.value
         of, total = block.counter(shingles), np.zeros(len(shingles), dtype=np.int64)
         for batch in batches:
@@ -218,6 +210,152 @@ def _found(rows: DataFrame, block: Block) -> DataFrame:
     return per_text(rows, "text", FOUND, lambda: shared.value.matcher())
 
 
+def _hashed(words: list[bytes]) -> np.ndarray:
+    """A hash of each word that is the same in every task."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+
+
+def _batch(columns: Sequence[tuple[str, object, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values, kind) for _, values, kind in columns], names=[c[0] for c in columns])
+
+
+def _windows(pieces: DataFrame, window: int) -> DataFrame:
+    """Distinct (item, window), the window's words joined by spaces."""
+
+    def cut(batches):
+        for batch in batches:
+            for item, words in zip(batch.column("item"), batch.column("words"), strict=True):
+                words = words.as_py().decode().split(" ")
+                texts = [" ".join(words[at : at + window]) for at in range(max(len(words) - window, 0) + 1)]
+                yield _batch([("item", [item.as_py()] * len(texts), pa.string()), ("window", texts, pa.string())])
+
+    return store(pieces.mapInArrow(cut, "item string, window string").distinct())
+
+
+def _window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
+    """The shingles of each distinct window, with their places and the number of words of both."""
+
+    def cut(batches):
+        for batch in batches:
+            rows = []
+            for text in batch.column("window").to_pylist():
+                numbers = _hashed(text.encode().split(b" "))
+                width = min(shingle, len(numbers))
+                hashes = _shingles(numbers, width).view(np.int64).tolist()
+                rows += [(text, at, len(numbers), width, h) for at, h in enumerate(hashes)]
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+            yield _batch(list(zip(["window", "at", "length", "width", "hash"], columns, kinds, strict=True)))
+
+    distinct = windows.select("window").distinct()
+    return store(distinct.mapInArrow(cut, "window string, at bigint, length bigint, width bigint, hash bigint"))
+
+
+def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """``2**bits`` bits, set where the first ``bits`` bits of a hash point; built in parts, whatever the number of hashes."""
+    slot = F.shiftrightunsigned("hash", 64 - bits) + 1
+    parts = hashes.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("set")
+    )
+    found = np.zeros(max(2**bits // 8, 4096), dtype=np.uint8)
+    for part, values in parts.toLocalIterator():
+        found[(part - 1) * 4096 : part * 4096] = np.frombuffer(bytes(values), dtype=np.uint8)
+    return found
+
+
+def _places(numbers: np.ndarray, width: int, bitmap: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the shingles that the bitmap holds."""
+    hashes = _shingles(numbers, width)
+    slots = hashes >> np.uint64(64 - bits)
+    at = np.flatnonzero((bitmap[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1)
+    return at, hashes[at]
+
+
+def _counted(docs: DataFrame, widths: list[int], bitmap: np.ndarray, bits: int) -> DataFrame:
+    """How often each shingle that the bitmap holds occurs in all documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def count(batches):
+        for batch in batches:
+            for text in batch.column("text"):
+                numbers = _hashed(words_of(text.as_py() or ""))
+                for width in widths:
+                    hashes, n = np.unique(_places(numbers, width, shared.value, bits)[1], return_counts=True)
+                    yield _batch([("hash", hashes.view(np.int64), pa.int64()), ("n", n, pa.int64())])
+
+    return store(docs.select("text").mapInArrow(count, "hash bigint, n bigint").groupBy("hash").agg(F.sum("n").alias("n")))
+
+
+def _surroundings(docs: DataFrame, window: int, widths: list[int], bitmap: np.ndarray, bits: int) -> DataFrame:
+    """Runs of words, wide enough for a window on either side, around shingles that the bitmap holds."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def cut(batches):
+        for batch in batches:
+            for number, text in zip(batch.column("_n").to_pylist(), batch.column("text"), strict=True):
+                words = words_of(text.as_py() or "")
+                numbers = _hashed(words)
+                for width in widths:
+                    places, hashes = _places(numbers, width, shared.value, bits)
+                    for i in range(0, len(places), ROWS_AT_ONCE):
+                        at = places[i : i + ROWS_AT_ONCE]
+                        before = np.minimum(at, window - width)
+                        spans = zip((at - before).tolist(), (at + window).tolist(), strict=True)
+                        around = [b" ".join(words[a:b]).decode() for a, b in spans]
+                        yield _batch(
+                            [
+                                ("_n", [number] * len(at), pa.int64()),
+                                ("place", at, pa.int64()),
+                                ("before", before, pa.int64()),
+                                ("around", around, pa.string()),
+                                ("hash", hashes[i : i + ROWS_AT_ONCE].view(np.int64), pa.int64()),
+                            ]
+                        )
+
+    return docs.select("_n", "text").mapInArrow(cut, "_n bigint, place bigint, before bigint, around string, hash bigint")
+
+
+def _joined(rows: DataFrame, pieces: DataFrame, window: int, shingle: int) -> DataFrame:
+    """``n_words``, ``n_hit`` and ``items`` of all ``rows``, by joins of shingles with windows."""
+    rows = store(per_text(rows.withColumn("_n", F.monotonically_increasing_id()), "text", [("n_words", "bigint")], lambda: _n_words, True))
+    windows = _windows(pieces, window)
+    shingles = _window_shingles(windows, shingle)
+    widths = [r["width"] for r in shingles.select("width").distinct().collect()]
+    bits = min(max(int(BITS_EACH * shingles.count()).bit_length(), 15), MOST_BITS)
+
+    # The rarest shingle of each window; a window with a shingle that no document holds is in none.
+    counts = _counted(rows, widths, _bitmap(shingles, bits), bits)
+    often = F.coalesce(F.col("n"), F.lit(0))
+    rarest = shingles.join(counts, "hash", "left").groupBy("window").agg(F.min(F.struct(often.alias("n"), "at", "hash", "length")).alias("r"))
+    prefixes = store(rarest.where("r.n > 0").select("window", "r.at", "r.hash", "r.length"))
+
+    # Bounds by position and length, then the words themselves.
+    around = _surroundings(rows, window, widths, _bitmap(prefixes, bits), bits)
+    words, first = F.split("around", " "), F.col("before") - F.col("at")
+    fits = (first >= 0) & (first + F.col("length") <= F.size(words))
+    same = F.when(fits, F.array_join(F.slice(words, (first + 1).cast("int"), F.col("length").cast("int")), " ") == F.col("window"))
+    start = F.col("place") - F.col("at")
+    matches = store(around.join(prefixes, "hash").where(same).select("_n", start.alias("start"), (start + F.col("length")).alias("end"), "window"))
+
+    # Words that no match before has covered, in the order of the matches' starts.
+    earlier = Window.partitionBy("_n").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    fresh = F.greatest(F.col("end") - F.greatest(F.col("start"), F.coalesce(F.max("end").over(earlier), F.lit(0))), F.lit(0))
+    hits = matches.select("_n", fresh.alias("fresh")).groupBy("_n").agg(F.sum("fresh").alias("n_hit"))
+    held = matches.select("_n", "window").distinct().join(windows, "window").select("_n", "item").distinct()
+    items = held.groupBy("_n").agg(F.collect_list(F.struct("item")).alias("i")).select("_n", F.array_sort("i.item").alias("items"))
+    return (
+        rows.drop("text")
+        .join(hits, "_n", "left")
+        .join(items, "_n", "left")
+        .withColumn("n_hit", F.coalesce("n_hit", F.lit(0).cast("bigint")))
+        .withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
+    )
+
+
+def _n_words(text: str) -> tuple[int]:
+    return (len(words_of(text)),)
+
+
 def _digest(items: Column) -> Column:
     """Of the ids; an item without one is left out."""
     return F.sha2(F.array_join(items, ","), 256)
@@ -228,7 +366,7 @@ def decontaminate(
     benchmark: DataFrame,
     window: int = WINDOW,
     shingle: int = SHINGLE,
-    block_words: int = BLOCK_WORDS,
+    broadcast_words: int = BROADCAST_WORDS,
     least_share: float = 0.05,
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -239,33 +377,17 @@ def decontaminate(
     """
     rows = docs.select(packed(docs, keep), "text")
     per_hit = int(round(1 / least_share))
-    pieces, blocks = benchmark_blocks(benchmark, window, block_words)
-
-    def found(rows: DataFrame, number: int) -> DataFrame:
-        own = pieces.where(F.col("block") == number).collect()
-        return _found(rows, Block([(r["item"], bytes(r["words"]).split()) for r in own], window, shingle))
-
-    if blocks == 1:
-        merged = found(rows, 0)
+    pieces = benchmark_pieces(benchmark, window)
+    if (pieces.agg(F.sum("n")).first()[0] or 0) <= broadcast_words:
+        block = Block([(r["item"], bytes(r["words"]).split()) for r in pieces.collect()], window, shingle)
+        merged = _found(rows, block).withColumn("n_hit", F.size("hits").cast("bigint"))
     else:
-        # Numbers that are written with the rows bring a row's matches together.
-        rows = store(rows.withColumn("_n", F.monotonically_increasing_id()))
-        narrow = rows.select("_n", "text")
-        parts = [store(found(narrow, number).where(F.size("hits") > 0)) for number in range(blocks)]
-        matches = reduce(DataFrame.unionByName, parts).groupBy("_n").agg(
-            F.array_distinct(F.flatten(F.collect_list("hits"))).alias("_hits"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"),
-        )
-        empty = Block([], window, shingle)
-        counted = per_text(rows, "text", FOUND, empty.matcher)
-        merged = counted.join(matches, "_n", "left").withColumns(
-            {"hits": F.coalesce("_hits", "hits"), "items": F.coalesce("_items", "items")}
-        )
-    n_hit = F.size("hits").cast("bigint")
+        merged = _joined(rows, pieces, window, shingle)
+    n_hit = F.col("n_hit")
     return merged.select(
         ROW,
         "n_words",
-        n_hit.alias("n_hit"),
+        n_hit,
         F.size("items").cast("bigint").alias("n_items"),
         _digest(F.col("items")).alias("items_sha256"),
         ((n_hit > 0) & (per_hit * n_hit >= F.col("n_words"))).alias("contaminated"),

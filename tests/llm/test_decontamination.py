@@ -1,6 +1,5 @@
 import hashlib
 import random
-import signal
 
 import plain
 import pytest
@@ -35,22 +34,47 @@ def test_windows_equal_the_plain_version(spark, tables):
     assert found(spark, *tables) == expected(*tables)
 
 
-@pytest.mark.parametrize("block_words", [60, 250])
-def test_blocks_of_a_large_benchmark_give_the_same(spark, tables, block_words):
-    assert found(spark, *tables, block_words=block_words) == expected(*tables)
+@pytest.mark.parametrize("bits_each", [1, 16])
+def test_the_join_of_a_large_benchmark_gives_the_same(spark, monkeypatch, tables, bits_each):
+    from dimspark.llm import decontamination
+
+    # With few bits most shingles pass the bitmap, and the join alone decides.
+    monkeypatch.setattr(decontamination, "BITS_EACH", bits_each)
+    monkeypatch.setattr(decontamination, "ROWS_AT_ONCE", 3)
+    assert found(spark, *tables, broadcast_words=0) == expected(*tables)
 
 
-def test_long_items_are_cut_into_pieces(spark, monkeypatch, tables):
+@pytest.mark.parametrize("broadcast_words", [200_000, 0])
+def test_long_items_are_cut_into_pieces(spark, monkeypatch, tables, broadcast_words):
     from dimspark.llm import decontamination
 
     monkeypatch.setattr(decontamination, "PIECE", 4)
-    assert found(spark, *tables) == expected(*tables)
+    assert found(spark, *tables, broadcast_words=broadcast_words) == expected(*tables)
+
 
+def test_the_join_reads_documents_as_often_whatever_the_benchmark(spark, monkeypatch):
+    """Passes over the documents, counted for a small and for a large benchmark."""
+    from dimspark.llm import decontamination
 
-def test_a_window_at_the_borders_of_a_text(spark):
+    passes = []
+    for name in ("per_text", "_counted", "_surroundings"):
+        of = getattr(decontamination, name)
+        monkeypatch.setattr(decontamination, name, lambda *args, of=of, name=name: (passes.append(name), of(*args))[1])
+    rng, counts = random.Random(4), []
+    docs = [(i, " ".join(f"w{rng.randrange(9)}" for _ in range(60))) for i in range(20)]
+    for n in (3, 300):
+        items = [(i, " ".join(f"w{rng.randrange(9)}" for _ in range(40))) for i in range(n)] + [(n, docs[0][1])]
+        passes.clear()
+        assert found(spark, docs, items, broadcast_words=50) == expected(docs, items)
+        counts.append(len(passes))
+    assert counts == [3, 3]
+
+
+@pytest.mark.parametrize("broadcast_words", [200_000, 0])
+def test_a_window_at_the_borders_of_a_text(spark, broadcast_words):
     item = " ".join(f"q{i}" for i in range(13))
     docs = [(1, item), (2, "a " + item), (3, item + " b"), (4, item[3:]), (5, item.replace("q6", "z")), (6, f"{item} {item}")]
-    assert found(spark, docs, [(1, item)]) == expected(docs, [(1, item)])
+    assert found(spark, docs, [(1, item)], broadcast_words=broadcast_words) == expected(docs, [(1, item)])
 
 
 def test_the_share_of_hit_words_decides(spark):
@@ -65,41 +89,26 @@ def test_empty_tables_and_clashing_columns(spark):
     clean = decontaminate(docs, none)
     assert clean.where("NOT contaminated AND n_hit = 0 AND _n = 'x'").count() == docs.count()
     assert decontaminate(docs.limit(0), spark.createDataFrame([(1, "a b")], ITEMS)).count() == 0
-    many = decontaminate(docs, spark.createDataFrame([(1, "word1"), (2, "word2")], ITEMS), block_words=1)
+    many = decontaminate(docs, spark.createDataFrame([(1, "word1"), (2, "word2")], ITEMS), broadcast_words=1)
     assert many.count() == docs.count() and many.where("_n = 'x'").count() == docs.count()
 
 
 @pytest.mark.parametrize("piece", [4, 20])
-def test_one_id_of_many_rows_is_dealt_to_several_blocks(spark, monkeypatch, piece):
+def test_one_id_of_many_rows_is_joined_like_others(spark, monkeypatch, piece):
     from dimspark.llm import decontamination
 
-    def too_long(*_):
-        raise TimeoutError("the benchmark isn't dealt")
-
     monkeypatch.setattr(decontamination, "PIECE", piece)
     rng = random.Random(5)
     items = [(7, " ".join(f"w{rng.randrange(40)}" for _ in range(20))) for _ in range(25)]
     items += [items[0]] * 20 + [(i, items[1][1]) for i in range(20)]
     docs = [(i, f"a {text} b") for i, (_, text) in enumerate(items)]
-    before = signal.signal(signal.SIGALRM, too_long)
-    signal.alarm(180)
-    try:
-        pieces, blocks = decontamination.benchmark_blocks(spark.createDataFrame(items, ITEMS), 13, 50)
-        sizes = [r["n"] for r in pieces.groupBy("block").agg({"n": "sum"}).toDF("block", "n").collect()]
-    finally:
-        signal.alarm(0)
-        signal.signal(signal.SIGALRM, before)
-    assert len(sizes) <= blocks and max(sizes) <= 2 * 50 + piece + 13
-    if piece == 20:
-        some = docs[:3] + docs[-2:]
-        one = decontaminate(spark.createDataFrame(some, DOCS), spark.createDataFrame(items, ITEMS))
-        assert sorted(map(str, (tuple(r) for r in one.select("doc_id", *ADDED).collect()))) == found(spark, some, items, block_words=400)
-
-
-@pytest.mark.parametrize("block_words", [200_000, 8])
-def test_items_without_an_id_contaminate(spark, block_words):
+    assert found(spark, docs, items, broadcast_words=50) == found(spark, docs, items) == expected(docs, items)
+
+
+@pytest.mark.parametrize("broadcast_words", [200_000, 8])
+def test_items_without_an_id_contaminate(spark, broadcast_words):
     items = [(None, "a b c d"), (None, "e f g h"), (1, "a b c d"), (2, "i j k l")]
     docs = [(1, "x a b c d y e f g h"), (2, "e f g h"), (3, "i j k l"), (4, "z")]
     digest = {ids: hashlib.sha256(ids.encode()).hexdigest() for ids in ("", "1", "2")}
     rows = [(1, 10, 8, 2, digest["1"], True), (2, 4, 4, 1, digest[""], True), (3, 4, 4, 1, digest["2"], True), (4, 1, 0, 0, digest[""], False)]
-    assert found(spark, docs, items, block_words=block_words) == sorted(map(str, rows))
+    assert found(spark, docs, items, broadcast_words=broadcast_words) == sorted(map(str, rows))
