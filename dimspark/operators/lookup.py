@@ -24,7 +24,8 @@ goes on as ``auto`` does. Broadcasts of all lookups of a fact share one budget o
 bytes. If any lookup needs the fact's moments, the fact is written once, so that
 its plan is evaluated once and a moment is the same wherever it is used. If several
 lookups can't be broadcast, they are resolved on the ids and moments of numbered rows,
-and the fact itself is shuffled once, by the number.
+and the fact itself is shuffled once, by the number; rows without any of their ids stay
+where they are.
 """
 
 from __future__ import annotations
@@ -132,12 +133,17 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
     if sum(map(len, large)) > 1:
         # The wide fact would move once for each role. Instead its rows are numbered, the
         # roles are resolved on ids, moments and numbers alone, and the fact moves once.
+        # Rows that have none of these ids don't move: they find nothing.
         fact = store(fact.withColumn(_ROW, F.monotonically_increasing_id()))
         roles = [look for looks in large for look in looks]
-        keyed = narrow = fact.select(_ROW, *dict.fromkeys(c for look in roles for c in (look.fact_id, look.at)))
+        findable = reduce(Column.__or__, [_bigint(fact, look.fact_id).isNotNull() for look in roles])
+        moved, left_out = fact.where(findable), fact.where(~findable)
+        keyed = narrow = moved.select(_ROW, *dict.fromkeys(c for look in roles for c in (look.fact_id, look.at)))
         for looks in large:
             keyed = _add_keys(keyed, narrow, looks, choice_of(looks))
-        keyed = fact.join(keyed.select(_ROW, *[look.alias for look in roles]), _ROW)
+        keyed = moved.join(keyed.select(_ROW, *[look.alias for look in roles]), _ROW)
+        unknown = [F.lit(UNKNOWN_KEY).cast("bigint").alias(look.alias) for look in roles]
+        keyed = keyed.unionByName(left_out.select("*", *unknown))
         together = [looks for looks in together if choice_of(looks).small]
     else:
         if any(choice.strategy != "broadcast" for choice in chosen.values()):

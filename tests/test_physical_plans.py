@@ -6,6 +6,7 @@ import re
 import pytest
 
 from dimspark.checks import queries
+from dimspark.operators import Lookup, lookup_keys
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -147,6 +148,32 @@ def test_a_wide_fact_moves_once_for_five_large_lookups(spark, stored, long):
     assert sum("lineitem.parquet" in p and "orders.parquet" in p and "monotonically_increasing_id" in p for p in stored) == 1
 
 
+def test_rows_without_an_id_do_not_move_for_large_lookups(spark):
+    """Supplier transactions have no customer."""
+    from dimspark.operators.histories import BROADCAST_BYTES
+
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", BROADCAST_BYTES[0]: "0"}
+    before = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        staged = spark.range(1000).selectExpr(
+            "CASE WHEN id < 10 THEN id % 3 END AS a", "CASE WHEN id = 10 THEN id END AS b", "id AS description", "timestamp_ntz'2000-01-01 00:00:00' AS at"
+        )
+        dim = spark.createDataFrame([(0, 7), (10, 9)], "id long, key long").selectExpr(
+            "*", "timestamp_ntz'1990-01-01 00:00:00' AS valid_from", "timestamp_ntz'9999-01-01 00:00:00' AS valid_to"
+        )
+        result = lookup_keys(staged, [Lookup(dim, c, "id", "key", f"{c}_key", "at") for c in "ab"])
+        found = sorted((r["description"], r["a_key"], r["b_key"]) for r in result.collect())
+        executed = result._jdf.queryExecution().executedPlan()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert found == [(i, 7 if i < 10 and i % 3 == 0 else 0, 9 if i == 10 else 0) for i in range(1000)]
+    exchanges = [n for n in _nodes(executed) if n.nodeName() == "Exchange" and "description" in n.output().mkString(",")]
+    assert [n.metrics().apply("shuffleRecordsWritten").value() for n in exchanges] == [11]
+
+
 def test_bucketed_headers_and_lines_are_joined_without_a_shuffle(spark):
     key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     # Customers and packages are broadcast, as they may be in a large warehouse; headers and lines are beyond that.
