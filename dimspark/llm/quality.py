@@ -8,9 +8,9 @@ divided by its number of n-grams. Every document with a score under the
 threshold is rejected.
 
 The raw counts cover every document. Trusted documents are those whose labels all
-say so; at most ``most_trusted`` of them are taken, chosen by a hash of the id, so
-that their ids have a bounded size when they are broadcast. Another hash deals them
-to two folds, each of which has a trusted multinomial. A trusted document is scored
+say so, and all of them count. Their ids are broadcast up to ``most_broadcast``; beyond
+that the documents are joined with them by a shuffle, once, and written. A hash deals
+them to two folds, each of which has a trusted multinomial. A trusted document is scored
 by the fold that has not seen it, any other by the mean of both. The trusted scores
 set the threshold: their ``quantile``, less ``margin`` of its distance from their
 median. Multinomials have as many rows as there are buckets, and a trusted one is
@@ -24,15 +24,21 @@ is 0 and passes; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimspark.llm.slices import with_number
 from dimspark.llm.text import per_text
+from dimspark.operators.joins import left_join
+from dimspark.operators.ordering import order_rows
 from dimspark.sources.shared import store
 
 BUCKETS = 1 << 16
+MOST_BROADCAST = 500_000
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\r\x0b\x0c"
 
@@ -92,14 +98,46 @@ def measures(text: str, words: np.ndarray, distinct: int) -> tuple[int, int, int
     )
 
 
-def trusted_ids(labels: DataFrame, most_trusted: int) -> DataFrame:
-    """(``_id``, ``_counted``) of the trusted documents, about ``most_trusted`` rows at the most."""
+def trusted_ids(labels: DataFrame, most_trusted: int | None = None) -> DataFrame:
+    """(``_id``, ``_fold``) of all trusted documents; with ``most_trusted``, of about as many, chosen by a hash."""
     rows = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
     good = rows.where("_quality = 1").select(F.col("doc_id").alias("_id"))
-    share = min(1.0, most_trusted / max(good.count(), 1))
-    place = F.pmod(F.xxhash64(F.lit("trusted"), "_id"), F.lit(1 << 32))
     fold = F.pmod(F.xxhash64(F.lit("half"), "_id"), F.lit(2)).cast("int")
-    return good.where(place < F.lit(int(share * (1 << 32)))).select("_id", fold.alias("_fold"))
+    if most_trusted is not None:
+        share = min(1.0, most_trusted / max(good.count(), 1))
+        place = F.pmod(F.xxhash64(F.lit("trusted"), "_id"), F.lit(1 << 32))
+        good = good.where(place < F.lit(int(share * (1 << 32))))
+    return good.select("_id", fold.alias("_fold"))
+
+
+def with_folds(docs: DataFrame, trusted: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """``docs`` with ``__fold``, which is NULL unless ``trusted`` has the id. Rows are neither lost nor repeated."""
+    trusted = store(trusted.withColumnsRenamed({"_id": "__trusted", "_fold": "__fold"}))
+    if trusted.count() <= most_broadcast:
+        return docs.join(F.broadcast(trusted), F.col("doc_id") == F.col("__trusted"), "left").drop("__trusted")
+    # Three readers follow; written, the texts are shuffled for the first only.
+    return store(left_join(docs, trusted, "doc_id", "__trusted", ["text"]).drop("__trusted"))
+
+
+def quantiles(values: DataFrame, column: str, shares: list[float]) -> list[float] | None:
+    """Exact quantiles of ``column``, interpolated as ``percentile`` does; None without rows.
+
+    The values are sorted across slices and looked up by number, so that no task holds them all.
+    """
+    ordered = order_rows(store(values.select(column)), [F.col(column)])
+    last = ordered.count() - 1
+    if last < 0:
+        return None
+    places = [last * share for share in shares]
+    wanted = sorted({whole for place in places for whole in (math.floor(place), math.ceil(place))})
+    rows = with_number(ordered, "_number").where(F.col("_number").isin(wanted)).select("_number", column)
+    at = dict(map(tuple, rows.collect()))
+
+    def between(place: float) -> float:
+        low, high = math.floor(place), math.ceil(place)
+        return at[low] if at[low] == at[high] else (high - place) * at[low] + (place - low) * at[high]
+
+    return [between(place) for place in places]
 
 
 def bucket_counts(texts: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -147,24 +185,25 @@ def judge(
     docs: DataFrame,
     labels: DataFrame,
     buckets: int = BUCKETS,
-    most_trusted: int = 100_000,
+    most_trusted: int | None = None,
     quantile: float = 0.005,
     margin: float = 0.1,
     smoothing: float = 0.1,
     min_words: int = 50,
     most_repeated_percent: int = 50,
     keep_text: bool = True,
+    most_broadcast: int = MOST_BROADCAST,
 ) -> DataFrame:
     """``docs`` with ``MEASURES``, ``base_failed``, ``score`` and ``kept``.
 
     An input column of one of these names is replaced. Without ``keep_text`` the
-    text doesn't come back from the tasks.
+    text doesn't come back from the tasks. All trusted documents count unless
+    ``most_trusted`` is given.
     """
     spark = docs.sparkSession
     added = [*[name for name, _ in MEASURES], "base_failed", "score", "kept"]
     docs = docs.select(*[c for c in docs.columns if c.lower() not in added])
-    trusted = store(trusted_ids(labels, most_trusted).withColumnsRenamed({"_id": "__trusted", "_fold": "__fold"}))
-    flagged = docs.join(F.broadcast(trusted), F.col("doc_id") == F.col("__trusted"), "left").drop("__trusted")
+    flagged = with_folds(docs, trusted_ids(labels, most_trusted), most_broadcast)
     raw, counted = bucket_counts(flagged.select("text", F.col("__fold").alias("_fold")), buckets)
     shared = spark.sparkContext.broadcast([log_ratios(raw, fold, smoothing) for fold in counted])
 
@@ -185,9 +224,9 @@ def judge(
     unseen = F.when(F.col("__fold") == 0, F.col("__second")).when(F.col("__fold") == 1, F.col("__first"))
     score = F.coalesce(unseen, (F.col("__first") + F.col("__second")) / 2)
     held_out = per_text(flagged.where("__fold IS NOT NULL").select("text", "__fold"), "text", fields, build).where(~failed)
-    # Exact, so that it doesn't depend on the order of tasks; at most most_trusted scores meet.
-    low, middle = held_out.agg(F.percentile(score, quantile), F.percentile(score, 0.5)).first()
-    threshold = min(low - margin * (middle - low), 0.0) if low is not None else 0.0
+    # Exact, so that it doesn't depend on the order of tasks.
+    found = quantiles(held_out.select(score.alias("score")), "score", [quantile, 0.5])
+    threshold = min(found[0] - margin * (found[1] - found[0]), 0.0) if found else 0.0
     judged = per_text(flagged, "text", fields, build, keep_text).withColumn("base_failed", failed).withColumn("score", score)
     kept = ~F.col("base_failed") & (F.col("score") >= F.lit(threshold))
     return judged.withColumn("kept", kept).select(*[c for c in docs.columns if keep_text or c != "text"], *added)

@@ -90,6 +90,37 @@ def test_trusted_ids_are_bounded_and_need_agreeing_labels(spark):
     assert 50 < quality.trusted_ids(labels, 100).count() < 160
 
 
+def test_all_trusted_documents_count(spark):
+    labels = spark.range(120_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic")
+    docs = spark.range(120_000).selectExpr("id AS doc_id", "concat('w', id % 7) AS text")
+    assert quality.trusted_ids(labels).count() == 120_000
+    flagged = quality.with_folds(docs, quality.trusted_ids(labels))
+    assert flagged.count() == flagged.where("__fold IS NOT NULL").count() == 120_000
+
+
+def test_judging_takes_no_share_of_the_trusted_documents(spark, monkeypatch):
+    asked = []
+    ids = quality.trusted_ids
+    monkeypatch.setattr(quality, "trusted_ids", lambda labels, most=None: asked.append(most) or ids(labels, most))
+    quality.judge(spark.createDataFrame([(1, "a")], DOCS), spark.createDataFrame([(1, 1, 0)], LABELS))
+    assert asked == [None]
+
+
+def test_trusted_ids_beyond_the_broadcast_give_the_same(spark, corpus):
+    docs, labels = corpus
+    docs = docs.union(docs.limit(20)).union(spark.createDataFrame([(None, "good1 " * 3), (None, None)], DOCS))
+    small, large = (sorted(map(tuple, quality.judge(docs, labels, most_broadcast=most).collect()), key=repr) for most in (1000, 0))
+    assert small == large and len(small) == 322
+
+
+def test_quantiles_are_those_of_percentile(spark):
+    rng = random.Random(5)
+    for n in (0, 1, 2, 3, 1001):
+        values = spark.createDataFrame([(rng.choice([rng.random(), 0.5]),) for _ in range(n)], "score double")
+        expected = values.selectExpr("percentile(score, array(0.005, 0.5, 0.9))").first()[0]
+        assert quality.quantiles(values, "score", [0.005, 0.5, 0.9]) == expected
+
+
 def test_empty_tables_and_clashing_columns(spark):
     labels = spark.createDataFrame([], LABELS)
     assert quality.judge(spark.createDataFrame([], DOCS), labels).count() == 0
