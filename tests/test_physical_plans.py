@@ -174,6 +174,22 @@ def test_rows_without_an_id_do_not_move_for_large_lookups(spark):
     assert [n.metrics().apply("shuffleRecordsWritten").value() for n in exchanges] == [11]
 
 
+def test_amounts_of_order_lines_are_found_after_the_shuffle(spark):
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        executed = queries.QUERIES["q_stage_order"](spark, SF_DIR)._jdf.queryExecution().executedPlan()
+        exchanges = [n.output().mkString(",") for n in _nodes_before_running(executed) if n.nodeName() == "Exchange"]
+    finally:
+        spark.conf.set(key, before)
+    lines = [columns for columns in exchanges if "quantity" in columns and "_order#" in columns]
+    assert lines and not any("total_" in columns or "tax_amount" in columns for columns in lines)
+
+
+def _nodes_before_running(executed):
+    return _nodes(executed.initialPlan()) if executed.nodeName() == "AdaptiveSparkPlan" else _nodes(executed)
+
+
 def test_bucketed_headers_and_lines_are_joined_without_a_shuffle(spark):
     key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     # Customers and packages are broadcast, as they may be in a large warehouse; headers and lines are beyond that.
