@@ -130,6 +130,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
 
     together = _sharing(lookups)
     large = [looks for looks in together if not choice_of(looks).small]
+    moments = _Moments([looks for looks in together if choice_of(looks).strategy != "broadcast"])
     if sum(map(len, large)) > 1:
         # The wide fact would move once for each role. Instead its rows are numbered, the
         # roles are resolved on ids, moments and numbers alone, and the fact moves once.
@@ -140,7 +141,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
         moved, left_out = fact.where(findable), fact.where(~findable)
         keyed = narrow = moved.select(_ROW, *dict.fromkeys(c for look in roles for c in (look.fact_id, look.at)))
         for looks in large:
-            keyed = _add_keys(keyed, narrow, looks, choice_of(looks))
+            keyed = _add_keys(keyed, narrow, looks, choice_of(looks), moments)
         keyed = moved.join(keyed.select(_ROW, *[look.alias for look in roles]), _ROW)
         unknown = [F.lit(UNKNOWN_KEY).cast("bigint").alias(look.alias) for look in roles]
         keyed = keyed.unionByName(left_out.select("*", *unknown))
@@ -150,7 +151,7 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             fact = store(fact)
         keyed = fact
     for looks in together:
-        keyed = _add_keys(keyed, fact, looks, choice_of(looks))
+        keyed = _add_keys(keyed, fact, looks, choice_of(looks), moments)
     return keyed.select(*columns)
 
 
@@ -196,13 +197,33 @@ def _choose(look: Lookup, history: History) -> _Choice:
     return _Choice(versions, "ranked", history)
 
 
-def _add_keys(keyed: DataFrame, fact: DataFrame, looks: list[Lookup], choice: _Choice) -> DataFrame:
+class _Moments:
+    """The distinct (id, time) pairs of a fact, written once for groups of lookups that take the same."""
+
+    def __init__(self, groups: list[list[Lookup]]):
+        taken = [self._of(looks) for looks in groups]
+        self._repeated = {of for of in taken if taken.count(of) > 1}
+        self._stored: dict[frozenset, DataFrame] = {}
+
+    @staticmethod
+    def _of(looks: list[Lookup]) -> frozenset:
+        return frozenset((look.fact_id, look.at) for look in looks)
+
+    def distinct(self, fact: DataFrame, looks: list[Lookup]) -> DataFrame:
+        of = self._of(looks)
+        if of not in self._stored:
+            pairs = [fact.select(_bigint(fact, i).alias("_id"), F.col(at).alias("_at")).dropna() for i, at in sorted(of)]
+            found = reduce(DataFrame.unionByName, pairs).distinct()
+            if of not in self._repeated:
+                return found
+            self._stored[of] = store(found)
+        return self._stored[of]
+
+
+def _add_keys(keyed: DataFrame, fact: DataFrame, looks: list[Lookup], choice: _Choice, moments: _Moments) -> DataFrame:
     """Add the keys of ``looks``, which take the same versions, to ``keyed``; moments come from ``fact``."""
     if choice.strategy != "broadcast":
-        moments = [
-            fact.select(_bigint(fact, look.fact_id).alias("_id"), F.col(look.at).alias("_at")).dropna() for look in looks
-        ]
-        resolved = _resolve(reduce(DataFrame.unionByName, moments).distinct(), choice)
+        resolved = _resolve(moments.distinct(fact, looks), choice)
         if len(looks) > 1:
             resolved = store(resolved)
     for look in looks:

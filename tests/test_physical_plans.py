@@ -190,6 +190,12 @@ def _nodes_before_running(executed):
     return _nodes(executed.initialPlan()) if executed.nodeName() == "AdaptiveSparkPlan" else _nodes(executed)
 
 
+def test_lookups_of_the_same_ids_and_times_share_their_pairs(spark, stored):
+    result = plan(queries.QUERIES["q_lookup_two_keys"](spark, SF_DIR))
+    distinct = re.compile(r"Aggregate\(keys=\[_id#\d+L?, _at#\d+\], functions=\[\]")
+    assert sum(bool(distinct.search(p)) for p in [*stored, result]) == 1
+
+
 def test_bucketed_headers_and_lines_are_joined_without_a_shuffle(spark):
     key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     # Customers and packages are broadcast, as they may be in a large warehouse; headers and lines are beyond that.
