@@ -186,6 +186,57 @@ def test_amounts_of_order_lines_are_found_after_the_shuffle(spark):
     assert lines and not any("total_" in columns or "tax_amount" in columns for columns in lines)
 
 
+def _exchanged(spark, name, budget):
+    """Columns of each exchange of a query's result, where nothing is broadcast but lookups within ``budget`` bytes."""
+    from dimspark.operators.histories import BROADCAST_BYTES
+
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", BROADCAST_BYTES[0]: str(budget)}
+    before = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        executed = queries.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan()
+        return [re.sub(r"#\d+L?", "", n.output().mkString(",")).split(",") for n in _nodes_before_running(executed) if n.nodeName() == "Exchange"]
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_an_id_stays_behind_once_its_key_is_found(spark):
+    narrow = [columns for columns in _exchanged(spark, "q_fct_sale", 0) if "_fact_row" in columns and "description" not in columns]
+    found = [columns for columns in narrow if any(c.endswith("_key") for c in columns)]
+    assert len(found) >= 4
+    for columns in found:
+        assert not {c[: -len("_key")] for c in columns if c.endswith("_key")} & {c[len("wwi_") : -len("_id")] for c in columns}
+
+
+@pytest.mark.parametrize(
+    ("name", "found_later"),
+    [
+        ("q_fct_sale", {"total_excluding_tax", "total_dry_items", "total_chiller_items"}),
+        ("q_fct_order", {"total_excluding_tax", "tax_amount", "total_including_tax"}),
+    ],
+)
+def test_totals_do_not_move_with_the_fact(spark, stored, name, found_later):
+    (wide,) = [columns for columns in _exchanged(spark, name, 0) if "description" in columns]
+    assert "_fact_row" in wide and not found_later & set(wide)
+    # Nor are they written before the lookups.
+    (kept,) = [p for p in stored if "monotonically_increasing_id" in p and "description" in p]
+    assert not any(c in kept for c in found_later)
+
+
+def test_moments_of_broadcast_lookups_do_not_move_with_the_fact(spark):
+    # Employees have the fewest versions, and only they fit.
+    (wide,) = [columns for columns in _exchanged(spark, "q_fct_sale", _employee_bytes(spark)) if "description" in columns]
+    assert "salesperson_key" in wide and not {"wwi_salesperson_id", "last_modified_when"} & set(wide)
+
+
+def _employee_bytes(spark):
+    from dimspark.operators.histories import VERSION_BYTES
+
+    return queries._dimension_plans(spark, SF_DIR)["employee"]().count() * VERSION_BYTES
+
+
 def _nodes_before_running(executed):
     return _nodes(executed.initialPlan()) if executed.nodeName() == "AdaptiveSparkPlan" else _nodes(executed)
 
