@@ -237,6 +237,15 @@ def _employee_bytes(spark):
     return queries._dimension_plans(spark, SF_DIR)["employee"]().count() * VERSION_BYTES
 
 
+def test_purchases_move_without_what_items_packages_and_broadcasts_tell(spark):
+    from dimspark.operators.histories import VERSION_BYTES
+
+    # Suppliers fit, items don't.
+    suppliers = queries._dimension_plans(spark, SF_DIR)["supplier"]().count() * VERSION_BYTES
+    first, *_ = [columns for columns in _exchanged(spark, "q_fct_purchase", suppliers)[::-1] if {"date_key", "receivedouters"} <= set(columns)]
+    assert "wwi_stock_item_id" in first and not {"ordered_quantity", "package", "supplier_key"} & set(first)
+
+
 def _nodes_before_running(executed):
     return _nodes(executed.initialPlan()) if executed.nodeName() == "AdaptiveSparkPlan" else _nodes(executed)
 
