@@ -2,7 +2,7 @@ from dimspark.sources.layout import by_cost, month_key, write_analyzed, write_bu
 from dimspark.sources.loads import append_load, load_names, read_loads
 from dimspark.sources.parts import read_parts, replace_parts, whole, write_parts
 from dimspark.sources.schemas import SOURCE_SCHEMAS, source_schema
-from dimspark.sources.shared import collected, remove_stored, scratch, shared_folder, store
+from dimspark.sources.shared import collected, freed_shuffles, remove_stored, scratch, shared_folder, store
 from dimspark.sources.tables import (
     as_view,
     layer_path,
@@ -19,6 +19,7 @@ __all__ = [
     "as_view",
     "by_cost",
     "collected",
+    "freed_shuffles",
     "layer_path",
     "load_names",
     "month_key",

@@ -242,3 +242,49 @@ def test_ids_of_any_type_are_scattered_where_they_are_missing(spark, kind):
             spark.conf.set(key, value)
     assert tuple(found) == (9000, sum(i % 500 < 400 for i in range(9000) if i % 3), 0)
     assert len(sizes) == 8 and max(sizes) < 2 * 9000 / 8
+
+
+def test_large_facts_keep_what_was_found_instead_of_shuffle_files(spark, rows, monkeypatch):
+    """Keys are written halfway and at the end; the halfway table goes."""
+    import os
+
+    from dimspark.operators import lookup
+    from dimspark.operators.histories import BROADCAST_BYTES
+    from dimspark.sources.shared import collected
+
+    fact = spark.range(300).selectExpr(
+        "id", "id % 5 AS a", "IF(id % 3 = 0, NULL, id % 4) AS b", "id % 2 AS c", "timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(CAST(id % 50 AS INT)) AS at"
+    )
+    dims = [
+        spark.range(n + 2).selectExpr(
+            "id AS n", f"id * 10 + {n} AS key", "timestamp_ntz'2000-01-10 00:00:00' AS valid_from", "timestamp_ntz'9999-01-01 00:00:00' AS valid_to"
+        )
+        for n in range(2)
+    ]
+    lookups = [Lookup(dims[n], c, "n", "key", f"{c}_key", "at") for c, n in (("b", 1), ("c", 1), ("a", 0))]
+    usual = rows(lookup_keys(fact, lookups))
+    written, write = [], lookup.store_named
+
+    def noted(df):
+        table, path = write(df)
+        written.append(path)
+        return table, path
+
+    monkeypatch.setattr(lookup, "store_named", noted)
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", BROADCAST_BYTES[0]: "0", lookup.SHUFFLED_BYTES[0]: "0"}
+    before = {key: spark.conf.get(key, None) for key in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        with collected() as stored:
+            result = lookup_keys(fact, lookups)
+            plan = result._jdf.queryExecution().executedPlan().toString()
+            found = rows(result)
+        stored.remove(spark)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert found == usual and any(r[-1] for r in found) and any(r[-2] for r in found)
+    # The fact and what was found for it, each by the number.
+    assert plan.count("hashpartitioning") == 2
+    assert len(written) == 1 and not os.path.exists(written[0].removeprefix("file://"))

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from dimspark.functions import safe_timestamp
 from dimspark.sources import (
@@ -97,3 +98,39 @@ def test_folder_setting_is_required_on_a_cluster(spark):
     Session.conf[shared.SETTING] = "/shared/folder/"
     assert shared_folder(Session()) == "/shared/folder"
     assert os.path.isdir(shared_folder(spark).removeprefix("file:"))
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("how", ["store", "write_table"])
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path, how):
+    import time
+
+    from dimspark.sources.shared import FREED
+
+    setting, before = spark.conf.get(FREED, None), _shuffle_files(spark)
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    table = store(df) if how == "store" else write_table(df, f"{tmp_path}/t")
+    until = time.time() + 10
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)  # they are deleted beside the next work
+    assert not left and spark.conf.get(FREED, None) == setting
+    assert sorted(r["count"] for r in table.collect()) == [142] * 1 + [143] * 6
+    # What was written can still be made again from the same DataFrame.
+    assert df.count() == len(df.collect()) == 7
+
+
+def test_the_setting_holds_until_the_last_thread_is_done(spark):
+    from dimspark.sources.shared import FREED, freed_shuffles
+
+    setting, first, second = spark.conf.get(FREED, None), freed_shuffles(spark), freed_shuffles(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(FREED) == "true"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(FREED, None) == setting
