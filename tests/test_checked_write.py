@@ -79,3 +79,62 @@ def test_a_build_is_logged_with_its_row_counts(spark, built):
     assert found.keys() == tables.keys() and len(found) == 13
     assert all(r.rows == tables[m].count() and r.lineage_key == 7 and r.started <= r.finished for m, r in found.items())
     assert read_loads(spark, f"{folder}/runs").count() == 13 and read_table(spark, f"{folder}/fct_order").count() == found["fct_order"].rows
+
+
+@pytest.mark.parametrize("apart", [1, 10**12])
+def test_a_checked_fact_stays_where_it_is_for_large_dense_dimensions(spark, tmp_path, apart):
+    """Keys far apart, which bitmaps don't suit, are joined; both count the same."""
+    plans = []
+
+    def noted(name, df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write_table(df, f"{tmp_path}/{name}")
+
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, "-1")
+    try:
+        fact = spark.range(-50, 100_000).selectExpr(f"IF(id % 10 = 9, NULL, (id % 70000) * {apart}) AS city_key", "id AS n")
+        cities = spark.range(-10, 60_000).selectExpr(f"id * {apart} AS city_key").union(spark.sql("SELECT CAST(NULL AS bigint)"))
+        table, report = checked_write("fct", fact, Rules([], {"city_key": (cities.union(cities), "city_key")}), noted)
+    finally:
+        spark.conf.set(key, before)
+    unknown = sum(not (-10 <= k < 60_000) for i in range(-50, 100_000) if (k := i % 70_000 if i >= 0 else i) != 0 and not _tenth(i))
+    assert report == [("fct", "city_key", "known", unknown, 100_050)] and table.count() == 100_050
+    assert ("SortMergeJoin" in plans[0]) == (apart > 1)
+
+
+def _tenth(i):
+    """SQL's remainder has the sign of the number."""
+    return i >= 0 and i % 10 == 9
+
+
+def test_facts_of_a_build_are_written_one_by_one_and_leave_nothing_behind(spark, tmp_path):
+    import os
+
+    from dimspark.checks.bindings import Sources
+    from dimspark.operators.histories import BROADCAST_BYTES
+    from dimspark.plans.warehouse import build_warehouse
+    from dimspark.sources.shared import shared_folder
+
+    folder = shared_folder(spark).removeprefix("file://").removeprefix("file:")
+    seen, writing = {}, []
+
+    def write(name, df):
+        if name.startswith("fct_"):
+            assert not writing
+            writing.append(name)
+            seen[name] = {f for f in os.listdir(folder) if f.startswith("stored-")}
+        table = write_table(df, f"{tmp_path}/{name}")
+        if name.startswith("fct_"):
+            writing.remove(name)
+        return table
+
+    spark.conf.set(BROADCAST_BYTES[0], "0")
+    try:
+        build_warehouse(Sources(spark, "/root/testdata/sf0.001"), write)
+    finally:
+        spark.conf.unset(BROADCAST_BYTES[0])
+    # What a fact keeps on its way is its own: beside that of the dimensions, no two have a table in common.
+    common = set.intersection(*seen.values())
+    own = [kept - common for kept in seen.values()]
+    assert len(seen) == 6 and any(own) and sum(map(len, own)) == len(set.union(*own))
