@@ -114,16 +114,20 @@ def test_facts_of_a_build_are_written_one_by_one_and_leave_nothing_behind(spark,
     from dimspark.checks.bindings import Sources
     from dimspark.operators.histories import BROADCAST_BYTES
     from dimspark.plans.warehouse import build_warehouse
-    from dimspark.sources.shared import shared_folder
+    from dimspark.sources import shared
 
-    folder = shared_folder(spark).removeprefix("file://").removeprefix("file:")
-    seen, writing = {}, []
+    stored, left, writing = {}, [], []
+
+    def exists(path):
+        return os.path.exists(path.removeprefix("file://").removeprefix("file:"))
 
     def write(name, df):
         if name.startswith("fct_"):
             assert not writing
             writing.append(name)
-            seen[name] = {f for f in os.listdir(folder) if f.startswith("stored-")}
+            left.extend(path for paths in stored.values() for path in paths if exists(path))
+            stored[name] = list(shared._open[-1].paths)
+            assert all(map(exists, stored[name]))
         table = write_table(df, f"{tmp_path}/{name}")
         if name.startswith("fct_"):
             writing.remove(name)
@@ -134,7 +138,5 @@ def test_facts_of_a_build_are_written_one_by_one_and_leave_nothing_behind(spark,
         build_warehouse(Sources(spark, "/root/testdata/sf0.001"), write)
     finally:
         spark.conf.unset(BROADCAST_BYTES[0])
-    # What a fact keeps on its way is its own: beside that of the dimensions, no two have a table in common.
-    common = set.intersection(*seen.values())
-    own = [kept - common for kept in seen.values()]
-    assert len(seen) == 6 and any(own) and sum(map(len, own)) == len(set.union(*own))
+    # What a fact keeps on its way is gone before the next is written.
+    assert len(stored) == 6 and any(stored.values()) and not left
